@@ -29,7 +29,7 @@ def level_label(col: Column, dtype: T.DataType) -> Column:
     if not is_fractional(dtype):
         return col.cast("string")
     value = present(col, dtype)
-    whole = value == F.floor(value)
+    whole = value == F.rint(value)
     return (
         F.when(whole & (F.abs(value) < _EXACT_LONG), value.cast("bigint").cast("string"))
         .when(whole & (F.abs(value) < _EXACT_DECIMAL),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dossier.operators.joins import BROADCAST_BYTES, measured_bytes, route_statements
 from dossier.operators.prefix import hash_rank
+from dossier.session import scratch_path
 from dossier.spec import EntitySpec
 
 MAX_STRATA = 1000       # class labels; more than this and the ranked way is taken
@@ -62,34 +65,70 @@ def split_thresholds(labels: DataFrame, spec: EntitySpec) -> DataFrame:
                 .alias(name) for name in list(spec.ratios)[:-1]]))
 
 
+@dataclass(frozen=True)
+class SplitPlan:
+    """A fitted split: per class, the hash thresholds between the splits.
+
+    ``cuts`` has one ``(class, threshold, ...)`` tuple per class, at most
+    ``MAX_STRATA`` of them. A class too small to reach a cut has an empty
+    threshold there; a class absent here lies wholly in the last split.
+    """
+
+    spec: EntitySpec
+    class_type: str
+    cuts: tuple[tuple, ...]
+    complete: bool      # whether every class is listed in ``cuts``
+
+    @property
+    def names(self) -> list[str]:
+        return list(self.spec.ratios)
+
+    def place(self, thresholds: list[Column]) -> Column:
+        """The split of a row, given the thresholds of its class."""
+        hashed = split_hash(self.spec)
+        split = F.lit(self.names[-1])
+        for name, threshold in reversed(list(zip(self.names, thresholds))):
+            split = F.when(hashed <= threshold, F.lit(name)).otherwise(split)
+        return split
+
+    def assign(self, labels: DataFrame) -> DataFrame:
+        """``labels`` with their ``split``: a comparison, no shuffle of the label table."""
+        inner = self.names[:-1]
+        if not self.cuts:
+            return labels.withColumn("split", F.lit(self.names[-1]))
+        schema = ", ".join([f"_class {self.class_type}", *[f"`_{n}` string" for n in inner]])
+        table = labels.sparkSession.createDataFrame(list(self.cuts), schema)
+        joined = labels.join(F.broadcast(table),        # one row per class
+                             labels[self.spec.target_col].eqNullSafe(table["_class"]), "left")
+        split = self.place([F.col(f"`_{n}`") for n in inner])
+        return joined.select(*[labels[c] for c in labels.columns], split.alias("split"))
+
+    def bounds(self) -> tuple[list[str], list[str]]:
+        """Per cut, the lowest and the highest threshold of any class."""
+        columns = list(zip(*[c[1:] for c in self.cuts])) or [("",)] * (len(self.names) - 1)
+        low = [min(c) if self.complete else "" for c in columns]
+        return low, [max(c) for c in columns]
+
+
+def fit_split(labels: DataFrame, spec: EntitySpec) -> SplitPlan | None:
+    """Find the thresholds of an exact stratified split; None with too many classes."""
+    classes = labels.select(spec.target_col).distinct().limit(MAX_STRATA + 1).count()
+    if classes > MAX_STRATA:
+        return None
+    cuts = split_thresholds(labels, spec).collect()         # at most MAX_STRATA rows
+    return SplitPlan(spec, labels.schema[spec.target_col].dataType.simpleString(),
+                     tuple(tuple(c) for c in cuts), len(cuts) == classes)
+
+
 def assign_splits(labels: DataFrame, spec: EntitySpec) -> DataFrame:
     """``labels`` with a ``split`` column: exact ratios inside every class.
 
     Entities of a class are ordered by hash and cut at whole-number ranks
     (``n * 7 // 10`` and ``n * 9 // 10`` for 7:2:1), so the same seed gives the
-    same split everywhere. Assigning is then a comparison with a few literal
-    thresholds, with no shuffle of the label table.
+    same split everywhere.
     """
-    names = list(spec.ratios)
-    strata = labels.select(spec.target_col).distinct().limit(MAX_STRATA + 1).count()
-    if strata > MAX_STRATA:
-        return assign_splits_ranked(labels, spec)
-    known = split_thresholds(labels, spec).collect()        # at most MAX_STRATA rows
-    table = labels.sparkSession.createDataFrame(
-        known, split_thresholds_schema(labels, spec)) if known else None
-    if table is None:
-        return labels.withColumn("split", F.lit(names[-1]))
-    joined = labels.join(F.broadcast(table),
-                         labels[spec.target_col].eqNullSafe(table["_class"]), "left")
-    place = F.lit(names[-1])
-    for name in reversed(names[:-1]):
-        place = F.when(split_hash(spec) <= F.col(f"_{name}"), F.lit(name)).otherwise(place)
-    return joined.select(*[labels[c] for c in labels.columns], place.alias("split"))
-
-
-def split_thresholds_schema(labels: DataFrame, spec: EntitySpec) -> str:
-    kind = labels.schema[spec.target_col].dataType.simpleString()
-    return ", ".join([f"_class {kind}", *[f"`_{n}` string" for n in list(spec.ratios)[:-1]]])
+    plan = fit_split(labels, spec)
+    return plan.assign(labels) if plan else assign_splits_ranked(labels, spec)
 
 
 def assign_splits_ranked(labels: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -102,6 +141,48 @@ def assign_splits_ranked(labels: DataFrame, spec: EntitySpec) -> DataFrame:
     return ranked.select(*labels.columns, place.alias("split"))
 
 
+def route_by_plan(statements: DataFrame, labels: DataFrame, plan: SplitPlan,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Statements with the split of their entity, without shuffling the statements.
+
+    The thresholds of all classes lie close together, so the hash of an id
+    alone tells its split, but for two kinds of ids: labelled ones between the
+    thresholds of two classes, and unlabelled ones, which go to the first
+    split. Those exceptions are found from ids alone, written once, and
+    broadcast when measured small; otherwise routing falls back to a salted
+    shuffle join on the whole assignment.
+    """
+    spec, spark = plan.spec, statements.sparkSession
+    key, first = spec.id_col, plan.names[0]
+    low, high = plan.bounds()
+    earliest = plan.place([F.lit(t) for t in high])     # the split if every class cut late
+    latest = plan.place([F.lit(t) for t in low])        # the split if every class cut early
+
+    between = plan.assign(labels).where(earliest != latest).select(key, "split")
+    beyond = F.coalesce(latest != first, F.lit(False))
+    strangers = (statements.select(key).where(beyond).distinct()
+                 .join(labels.select(key).where(beyond), key, "left_anti")
+                 .select(key, F.lit(first).alias("split")))
+    path = scratch_path(spark, "split-exceptions")
+    between.unionByName(strangers).write.parquet(path)
+    exceptions = spark.read.parquet(path)
+    if measured_bytes(exceptions) > broadcast_bytes:
+        return route_statements(statements, plan.assign(labels), spec,
+                                broadcast_bytes=broadcast_bytes)
+    named = exceptions.withColumnRenamed("split", "_exception")
+    default = F.when(F.col(key).isNull(), first).otherwise(earliest)
+    return (statements.join(F.broadcast(named), key, "left")
+            .withColumn("split", F.coalesce("_exception", default)).drop("_exception"))
+
+
+def route_labelled(statements: DataFrame, labels: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Route by the fitted plan where there is one, else by join."""
+    plan = fit_split(labels, spec)
+    if plan:
+        return route_by_plan(statements, labels, plan)
+    return route_statements(statements, assign_splits_ranked(labels, spec), spec)
+
+
 def split_report(statements: DataFrame, spec: EntitySpec, split: str = "split") -> DataFrame:
     """Rows and distinct entities per split."""
     return statements.groupBy(split).agg(

@@ -14,11 +14,11 @@ from dossier.operators.collapse import collapse
 from dossier.operators.importance import (
     importance_table, merge_by_base, ranked, top_features, unused_features)
 from dossier.operators.joins import (
-    join_labels, label_audit, require_matches, route_statements, unique_rows)
+    join_labels, label_audit, require_matches, unique_rows)
 from dossier.operators.metric import ranking_metric
 from dossier.operators.selection import best_iteration
 from dossier.operators.splits import (
-    assign_splits, class_balance, label_coverage, split_overlap, split_report)
+    assign_splits, class_balance, label_coverage, route_labelled, split_overlap, split_report)
 from dossier.operators.vocabulary import Vocabulary
 from dossier.plans import model as trees
 from dossier.session import scratch_path
@@ -60,7 +60,8 @@ def split_job(spark: SparkSession, statements: DataFrame, labels: DataFrame, out
     statement_path, label_path = f"{out}/statements", f"{out}/labels"
     write_splits(assign_splits(truth, spec), label_path)
     assigned = spark.read.parquet(label_path)
-    write_splits(route_statements(statements, assigned, spec), statement_path, narrow=narrow)
+    known = assigned.select(spec.id_col, spec.target_col)
+    write_splits(route_labelled(statements, known, spec), statement_path, narrow=narrow)
     routed = spark.read.parquet(statement_path)
 
     log = f"{out}/lineage"

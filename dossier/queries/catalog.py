@@ -145,13 +145,15 @@ def stratified_split_ranked(spark, sf_dir):
 
 
 def _routed(spark, sf_dir):
-    assigned = splits.assign_splits(st.customer_labels(spark, sf_dir), CUSTOMERS)
-    return joins.route_statements(st.statements(spark, sf_dir), assigned, ORDERS)
+    return splits.route_labelled(
+        st.statements(spark, sf_dir), st.customer_labels(spark, sf_dir), CUSTOMERS)
 
 
 @query
 def route_statements(spark, sf_dir):
-    return _routed(spark, sf_dir).select("o_orderkey", "o_custkey", "split")
+    assigned = splits.assign_splits(st.customer_labels(spark, sf_dir), CUSTOMERS)
+    return joins.route_statements(st.statements(spark, sf_dir), assigned, ORDERS).select(
+        "o_orderkey", "o_custkey", "split")
 
 
 @query
@@ -163,6 +165,18 @@ def route_statements_salted(spark, sf_dir):
     ).select("o_orderkey", "o_custkey", "split")
 
 
+@query
+def route_statements_by_hash(spark, sf_dir):
+    """Labels of customers with a balance, so that many statements have no label."""
+    labels = st.customer_labels(spark, sf_dir)
+    known = st.table(spark, sf_dir, "customer").where("c_acctbal < 6000").select(
+        F.col("c_custkey").alias("o_custkey"))
+    labels = labels.join(known, "o_custkey", "left_semi")
+    plan = splits.fit_split(labels, CUSTOMERS)
+    return splits.route_by_plan(st.statements(spark, sf_dir), labels, plan).select(
+        "o_orderkey", "o_custkey", "split")
+
+
 @query
 def membership_filter(spark, sf_dir):
     assigned = splits.assign_splits(st.customer_labels(spark, sf_dir), CUSTOMERS)
@@ -526,8 +540,7 @@ def _fitted(spark, sf_dir):
     """A small model on order features, fitted on the train customers."""
     rows = st.statements(spark, sf_dir)
     labels = st.customer_labels(spark, sf_dir)
-    assigned = splits.assign_splits(labels, CUSTOMERS)
-    routed = joins.route_statements(rows, assigned, ORDERS)
+    routed = splits.route_labelled(rows, labels, CUSTOMERS)
     path = writers.write_splits(routed, scratch_path(spark, "model-splits"))
     train_rows = spark.read.parquet(f"{path}/split=train")
     levels = vocabulary.fit_vocabulary(train_rows, ORDERS)

@@ -160,6 +160,8 @@ ORACLES["stratified_split"] = f"WITH {SPLITS} SELECT o_custkey, target, split FR
 ORACLES["stratified_split_ranked"] = ORACLES["stratified_split"]
 ORACLES["route_statements"] = f"WITH {ROUTED} SELECT o_orderkey, o_custkey, split FROM routed"
 ORACLES["route_statements_salted"] = ORACLES["route_statements"]
+ORACLES["route_statements_by_hash"] = (
+    ORACLES["route_statements"].replace("FROM customer)", "FROM customer WHERE c_acctbal < 6000)"))
 ORACLES["membership_filter"] = f"""
 WITH {STATEMENTS}, {SPLITS} SELECT o_orderkey, o_custkey FROM st
 WHERE o_custkey IN (SELECT o_custkey FROM assigned WHERE split = 'test')"""
