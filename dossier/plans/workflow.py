@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from dossier.functions.digest import files_digest, json_digest, split_digest, table_digest
 from dossier.functions.naming import last_feature
 from dossier.operators.audits import overflow_audit, require_same_columns
-from dossier.operators.collapse import collapse
+from dossier.operators.collapse import BATCH_AGGREGATES, collapse
 from dossier.operators.importance import (
     importance_table, merge_by_base, ranked, top_features, unused_features)
 from dossier.operators.joins import (
@@ -86,8 +86,9 @@ def collapse_job(spark: SparkSession, source: str, out: str, log: str, spec: Ent
     statements = spark.read.parquet(source)
     inputs = {"source": files_digest(statements), "vocabulary": json_digest(vocabulary),
               "feature_version": FEATURE_VERSION}
-    features = materialize(spark, lambda: collapse(statements, spec, vocabulary),
-                           out, inputs, force)
+    features = materialize(
+        spark, lambda: collapse(statements, spec, vocabulary, batch=BATCH_AGGREGATES),
+        out, inputs, force)
     lineage.inherit(spark, log, out, source, categories_digest=inputs["vocabulary"],
                     source_digest=inputs["source"], feature_version=FEATURE_VERSION,
                     produced_by="collapse_job", features=len(features.columns) - 1)

@@ -12,7 +12,8 @@ from dossier.functions.levels import folded_label, level_label
 from dossier.functions.naming import base_column
 from dossier.functions.numeric import half_round
 from dossier.operators import audits, importance, joins, metric, splits, vocabulary
-from dossier.operators.collapse import category_features, collapse, numeric_features
+from dossier.operators.collapse import (
+    BATCH_AGGREGATES, category_features, collapse, numeric_features)
 from dossier.operators.prefix import prefix_sum
 from dossier.operators.selection import best_iteration
 from dossier.plans import model as trees
@@ -55,13 +56,23 @@ def numeric_mean_max_last_diff(spark, sf_dir):
     return numeric_features(st.event_statements(spark, sf_dir), EVENTS)
 
 
-@query
-def wide_collapse(spark, sf_dir):
-    rows = st.statements(spark, sf_dir)
-    wide = rows.select("o_custkey", "o_orderdate", "o_orderkey", *[
+def _wide_statements(spark, sf_dir):
+    return st.statements(spark, sf_dir).select("o_custkey", "o_orderdate", "o_orderkey", *[
         F.when((F.col("o_orderkey") + i) % 7 != 0, F.col("o_orderkey") * (i + 3) % 1009)
         .alias(f"x{i}") for i in range(40)])
-    return numeric_features(wide, replace(ORDERS, cat_cols=()))
+
+
+@query
+def wide_collapse(spark, sf_dir):
+    """Forty number columns in one pass."""
+    return collapse(_wide_statements(spark, sf_dir), replace(ORDERS, cat_cols=()), {}, "double")
+
+
+@query
+def wide_collapse_batched(spark, sf_dir):
+    """The same in batches of columns, joined on the entity."""
+    return collapse(_wide_statements(spark, sf_dir), replace(ORDERS, cat_cols=()), {}, "double",
+                    batch=BATCH_AGGREGATES)
 
 
 @query

@@ -68,6 +68,8 @@ WITH {STATEMENTS}, w AS (SELECT o_custkey, k, {', '.join(
 SELECT o_custkey, {', '.join(number_parts(f'x{i}', 'DOUBLE') for i in range(40))}
 FROM w GROUP BY o_custkey"""
 
+ORACLES["wide_collapse_batched"] = ORACLES["wide_collapse"]
+
 EVENT_STATEMENTS = """
 ev AS (
   SELECT user_id, event_id, event_type, (epoch_us(ts), event_id) AS k,

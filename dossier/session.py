@@ -17,6 +17,7 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true"))
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -113,6 +113,17 @@ def test_time_of_day_needs_micro(spark):
         numeric_features(df, spec).collect()
 
 
+def test_batches_of_columns_give_the_same_table(tiny):
+    wide = tiny.withColumns({f"x{i}": F.col("x") * i for i in range(5)})
+    vocabulary = fit_vocabulary(wide, SPEC)
+    one = collapse(wide, SPEC, vocabulary)
+    many = collapse(wide, SPEC, vocabulary, batch=4)
+    assert many.columns == one.columns
+    assert sorted(many.collect()) == sorted(one.collect())
+    with pytest.raises(PySparkException, match="without an id"):
+        collapse(wide.withColumn("id", F.lit(None).cast("string")), SPEC, vocabulary, batch=4).collect()
+
+
 def test_missing_columns_are_named(tiny):
     with pytest.raises(KeyError, match="cat"):
         collapse(tiny.drop("cat"), SPEC, {"cat": ["NaN"]})
