@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dossier.functions.levels import is_fractional
 from dossier.operators.audits import align_features
 from dossier.operators.metric import ranking_metric
+from dossier.session import scratch_path
 from dossier.spec import EntitySpec
 
 # How the boosted model is fitted unless told otherwise. Depth 7
@@ -81,35 +81,54 @@ def expected_features(model: PipelineModel) -> list[str]:
     return list(model.stages[0].getInputCols())
 
 
+def probability(margin: Column) -> Column:
+    """The probability of a boosted margin under logistic loss."""
+    return 1 / (1 + F.exp(-2 * margin))
+
+
+def leaf_values(spark: SparkSession, model: PipelineModel) -> Column:
+    """``values[tree][leaf]``: what each leaf adds to the margin, as a one-value subquery.
+
+    Read from the saved node table, where the leaves of a tree are numbered by
+    node id. The size is that of the model, whatever the data.
+    """
+    path = scratch_path(spark, "trees")
+    model.write().save(path)
+    weights = F.array(*[F.lit(float(w)) for w in trees_of(model).treeWeights])
+    leaves = (spark.read.parquet(f"{path}/stages/*/data").select("treeID", "nodeData.*")
+              .where(F.col("leftChild") < 0)
+              .select("treeID", "id", (F.col("prediction") * F.get(weights, F.col("treeID")))
+                      .alias("value")))
+    by_tree = leaves.groupBy("treeID").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("id", "value"))), lambda s: s["value"])
+        .alias("values"))
+    return by_tree.agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("treeID", "values"))), lambda s: s["values"])).scalar()
+
+
+def _with_parts(rows: DataFrame, model: PipelineModel, keep: list[str]) -> DataFrame:
+    """Rows with ``parts``: what each tree adds to their margin, in boosting order."""
+    values = leaf_values(rows.sparkSession, model)
+    leafed = trees_of(model).copy().setLeafCol("_leaf").transform(model.stages[0].transform(rows))
+    return leafed.select(*keep, vector_to_array("_leaf").alias("leaf"), values.alias("values")) \
+        .select(*keep, F.transform("leaf", lambda x, i: F.get(
+            F.get(F.col("values"), i), x.cast("int"))).alias("parts"))
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x)
+
+
 def score(features: DataFrame, model: PipelineModel, spec: EntitySpec,
           cat_levels: Mapping[str, list[str]], rounds: int | None = None,
           output: str = "prediction") -> DataFrame:
     """``(id, probability)`` from a feature table, optionally from the first rounds only."""
     rows = model_input(features, spec, expected_features(model), cat_levels)
-    trees = trees_of(model)
-    if rounds is None or rounds >= trees.getNumTrees:
-        scored = model.transform(rows)
-        return scored.select(
+    if rounds is None or rounds >= trees_of(model).getNumTrees:
+        return model.transform(rows).select(
             spec.id_col, vector_to_array("probability")[1].alias(output))
-    with_trees, parts = _tree_outputs(rows, model, rounds)
-    margin = reduce(lambda a, b: a + b, parts)
-    return with_trees.select(spec.id_col, probability(margin).alias(output))
-
-
-def probability(margin):
-    """The probability of a boosted margin under logistic loss."""
-    return 1 / (1 + F.exp(-2 * margin))
-
-
-def _tree_outputs(rows: DataFrame, model: PipelineModel, rounds: int):
-    """Rows with one column per tree, and the weighted expressions over them."""
-    trees = trees_of(model)
-    out = model.stages[0].transform(rows)
-    parts = []
-    for i, (tree, weight) in enumerate(zip(trees.trees[:rounds], trees.treeWeights)):
-        out = tree.copy().setPredictionCol(f"_t{i}").transform(out)
-        parts.append(F.lit(float(weight)) * F.col(f"_t{i}"))
-    return out, parts
+    parts = _with_parts(rows, model, [spec.id_col])
+    return parts.select(spec.id_col, probability(_sum(F.slice("parts", 1, rounds))).alias(output))
 
 
 def staged_scores(features: DataFrame, model: PipelineModel, spec: EntitySpec,
@@ -117,21 +136,23 @@ def staged_scores(features: DataFrame, model: PipelineModel, spec: EntitySpec,
                   keep: list[str] = ()) -> DataFrame:
     """``(id, *keep, iteration, prediction)`` at the first round and every ``every`` rounds.
 
-    All checkpoints come from one pass over the rows.
+    One pass over the rows finds the leaf of every tree; all checkpoints follow
+    from sums over stretches of trees.
     """
-    rows = model_input(features, spec, expected_features(model), cat_levels, list(keep))
     rounds = trees_of(model).getNumTrees
-    with_trees, parts = _tree_outputs(rows, model, rounds)
     stops = sorted({1, rounds, *range(every, rounds + 1, every)})
-    margins, running = [], F.lit(0.0)
-    for i, part in enumerate(parts, start=1):
-        running = running + part
-        if i in stops:
-            margins.append(F.struct(F.lit(i).alias("iteration"),
-                                    probability(running).alias("prediction")))
-    return with_trees.select(
-        spec.id_col, *keep, F.explode(F.array(*margins)).alias("m")).select(
-        spec.id_col, *keep, "m.iteration", "m.prediction")
+    kept = [spec.id_col, *keep]
+    rows = model_input(features, spec, expected_features(model), cat_levels, list(keep))
+    parts = _with_parts(rows, model, kept)
+    stretches = F.array(*[_sum(F.slice("parts", first + 1, last - first))
+                          for first, last in zip([0, *stops], stops)])
+    summed = parts.select(*kept, stretches.alias("stretches"))
+    staged = F.array(*[
+        F.struct(F.lit(stop).alias("iteration"),
+                 probability(_sum(F.slice("stretches", 1, i))).alias("prediction"))
+        for i, stop in enumerate(stops, start=1)])
+    return summed.select(*kept, F.explode(staged).alias("m")).select(
+        *kept, "m.iteration", "m.prediction")
 
 
 def staged_metric(staged: DataFrame, spec: EntitySpec) -> DataFrame:

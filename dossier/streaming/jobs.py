@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from dossier.operators.collapse import collapse
+from dossier.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join
 from dossier.operators.vocabulary import Vocabulary
 from dossier.spec import EntitySpec
 
@@ -24,16 +25,20 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, kind: str
 
 
 def route_stream(stream: DataFrame, assigned: DataFrame, spec: EntitySpec, out: str,
-                 checkpoint: str) -> StreamingQuery:
+                 checkpoint: str, hot: list = (), broadcast_bytes: int = BROADCAST_BYTES) -> StreamingQuery:
     """Send arriving statements to the split of their entity; unknown entities go first.
 
-    A stream-static join: Spark broadcasts the assignment while it is small and
-    shuffles otherwise. The file sink makes replays exact.
+    A stream-static join. An assignment measured small is broadcast; a larger
+    one is joined by shuffle, with the entities listed in ``hot`` salted, as a
+    stream cannot be scanned for them. The file sink makes replays exact.
     """
     first = next(iter(spec.ratios))
     lookup = assigned.select(spec.id_col, "split")
-    routed = stream.join(lookup, spec.id_col, "left").withColumn(
-        "split", F.coalesce("split", F.lit(first)))
+    if measured_bytes(lookup) <= broadcast_bytes:
+        joined = stream.join(F.broadcast(lookup), spec.id_col, "left")
+    else:
+        joined = salted_join(stream, lookup, spec.id_col, list(hot))
+    routed = joined.withColumn("split", F.coalesce("split", F.lit(first)))
     return (routed.writeStream.format("parquet").partitionBy("split")
             .option("path", out).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
