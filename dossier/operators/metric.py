@@ -6,7 +6,8 @@ running weight is within the whole part of 4 % of the total weight. ``gini`` is
 the weighted area between the positives' running share and the weight's running
 share, over the same area for a perfect ranking; ``auc`` is ``(gini + 1) / 2``
 and ``score`` the mean of ``gini`` and ``top4``. Tied predictions are ordered by
-a hash of the id. Everything is NULL when positives or negatives are absent.
+a hash of the id. Without positives everything is NULL; without negatives only
+``top4`` is defined.
 
 Both sums in the gini reduce to counts plus one term that needs the ranking,
 the running weight summed over positives, so one prefix sum serves the metric
@@ -102,7 +103,7 @@ def ranking_metric(scored: DataFrame, id_col: str = "id", target: str = "target"
     perfect = (NEGATIVE_WEIGHT / 2) * n * (total - (NEGATIVE_WEIGHT - 1)) / F.nullif(total, F.lit(0))
     return (
         sums.withColumn("gini", F.when((p > 0) & (n > 0), raw / F.nullif(perfect, F.lit(0.0))))
-        .withColumn("top4", F.when((p > 0) & (n > 0), ratio(F.col("n_captured"), p)))
+        .withColumn("top4", ratio(F.col("n_captured"), p))
         .select(*groups,
                 (0.5 * (F.col("gini") + F.col("top4"))).alias("score"), "gini", "top4",
                 ((F.col("gini") + 1) / 2).alias("auc"), "n_rows", "n_positive"))

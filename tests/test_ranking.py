@@ -107,11 +107,12 @@ def test_perfect_and_reversed_rankings(frame):
     assert math.isclose(got.gini, brute_metric(worst)["gini"]) and got.gini < 0
 
 
-@pytest.mark.parametrize("targets", [[0] * 5, [1] * 5, []])
-def test_metric_without_both_classes_is_null(frame, targets):
+@pytest.mark.parametrize("targets,top4", [([0] * 5, None), ([1] * 5, 0.0), ([1] * 50, 0.04), ([], None)])
+def test_metric_without_both_classes(frame, targets, top4):
+    """Without negatives the gini is 0/0, but the captured share is still a share."""
     rows = [(i, "a", t, float(i)) for i, t in enumerate(targets)]
     got = ranking_metric(frame(rows), "id").first()
-    assert (got.score, got.gini, got.top4, got.auc) == (None, None, None, None)
+    assert (got.score, got.gini, got.top4, got.auc) == (None, None, top4, None)
     assert got.n_rows == len(targets)
 
 
