@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from dossier.functions.levels import is_fractional
 from dossier.operators.audits import align_features
 from dossier.operators.metric import ranking_metric
-from dossier.session import scratch_path
+from dossier.session import scratch_path, work_dir
 from dossier.spec import EntitySpec
 
 # How the boosted model is fitted unless told otherwise. Depth 7
@@ -63,6 +63,7 @@ def model_input(features: DataFrame, spec: EntitySpec, expected: list[str],
 def fit_trees(train: DataFrame, spec: EntitySpec, expected: list[str],
               cat_levels: Mapping[str, list[str]], params: dict | None = None) -> PipelineModel:
     """Fit boosted trees on a labelled feature table."""
+    work_dir(train.sparkSession)        # boosting checkpoints there every tenth round
     settings = {**PARAMS, **(params or {})}
     widest = max([32, *[len(levels) for levels in cat_levels.values()]])
     rows = model_input(train, spec, expected, cat_levels, [spec.target_col])

@@ -272,6 +272,39 @@ def test_staged_scores_end_at_the_full_model(spark):
     assert all(abs(first[k] - half[k]) < 1e-12 for k in first) and half != last
 
 
+def test_codes_are_split_as_categories(spark):
+    """Only a categorical split can part code 1 from codes 0 and 2 in one step."""
+    rows = spark.createDataFrame([(f"e{i}", i % 3, int(i % 3 == 1)) for i in range(90)],
+                                 "id string, cat_last tinyint, target int")
+    model = trees.fit_trees(rows, SPEC, ["cat_last"], {"cat_last": ["a", "b", "NaN"]}, {
+        "maxIter": 1, "maxDepth": 1, "minInstancesPerNode": 1, "subsamplingRate": 1.0,
+        "featureSubsetStrategy": "all"})
+    scored = trees.score(rows, model, SPEC, {"cat_last": ["a", "b", "NaN"]})
+    both = scored.join(rows, "id").groupBy("target").agg(F.min("prediction"), F.max("prediction"))
+    low, high = (tuple(r)[1:] for r in both.orderBy("target").collect())
+    assert low[1] < 0.5 < high[0]
+
+
+def test_missing_and_infinite_features_are_taken(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = spark.createDataFrame(
+        [("a", nan, 1), ("b", None, 1), ("c", inf, 0), ("d", -inf, 0), ("e", 0.5, 0)],
+        "id string, x float, target int")
+    model = trees.fit_trees(rows, SPEC, ["x"], {}, {
+        "maxIter": 1, "maxDepth": 2, "minInstancesPerNode": 1, "subsamplingRate": 1.0,
+        "featureSubsetStrategy": "all"})
+    got = {r.id: r.prediction for r in trees.score(rows, model, SPEC, {}).collect()}
+    assert got["a"] == got["b"] > 0.5 > got["c"]
+
+
+def test_split_files_can_be_evened_out(spark, folder):
+    rows = spark.range(1000).repartition(8).withColumn(
+        "split", F.when(F.col("id") % 10 < 7, "train").otherwise("test"))
+    writers.write_splits(rows, f"{folder}/even", even_files=True)
+    back = spark.read.parquet(f"{folder}/even")
+    assert len(back.inputFiles()) < 8 and back.count() == 1000
+
+
 def test_stream_of_files_gives_the_batch_result(spark, folder):
     statements, labels = history(spark, 60)
     vocabulary = fit_vocabulary(statements, SPEC)
