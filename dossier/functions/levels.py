@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F, types as T
 
 # A number as plain text. Guards the cast below, which would also take "1d".
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
+# A whole number as it is written by its label.
+WHOLE = re.compile(r"0|-?[1-9]\d*")
+
 _EXACT_LONG = 9.0e15
 _EXACT_DECIMAL = 1.0e37
 
@@ -51,31 +56,19 @@ def level_order(label: Column) -> list[Column]:
 def level_code(col: Column, dtype: T.DataType, levels: list[str], missing: str) -> Column:
     """Index of the row's level in ``levels``; unseen levels get the missing code.
 
-    Number columns are matched by value, so the hot path builds no strings.
+    A number column with whole-number levels is matched by value, so the usual
+    case builds no text per row; anything else is matched by its label.
     """
-    known = [level for level in levels if level != missing]
-    missing_code = len(levels) - 1
-    if is_fractional(dtype) or isinstance(dtype, T.IntegralType):
-        codes = {number: levels.index(level) for level in known
-                 if (number := _canonical_number(level)) is not None}
-        wanted = list(codes)
-        target = present(col, dtype).cast("double")
+    known = {level: code for code, level in enumerate(levels) if level != missing}
+    if not known:
+        return F.lit(len(levels) - 1)
+    whole = all(WHOLE.fullmatch(level) and abs(int(level)) < _EXACT_LONG for level in known)
+    if whole and isinstance(dtype, T.IntegralType):
+        value, wanted = col.cast("bigint"), [F.lit(int(v)).cast("bigint") for v in known]
+    elif whole and is_fractional(dtype):
+        value, wanted = present(col, dtype).cast("double"), [F.lit(float(v)) for v in known]
     else:
-        codes = {level: levels.index(level) for level in known}
-        wanted = list(codes)
-        target = level_label(col, dtype)
-    if not wanted:
-        return F.lit(missing_code)
-    place = F.array_position(F.array(*[F.lit(w) for w in wanted]), target)
-    lookup = F.array(*[F.lit(codes[w]) for w in wanted])
-    return F.coalesce(F.get(lookup, (place - 1).cast("int")), F.lit(missing_code))
-
-
-def _canonical_number(level: str) -> float | None:
-    """The value of a level that a number column could have produced."""
-    try:
-        value = float(level)
-    except ValueError:
-        return None
-    text = str(int(value)) if value.is_integer() else str(value)
-    return value if text == level else None
+        value, wanted = level_label(col, dtype), [F.lit(v) for v in known]
+    place = F.array_position(F.array(*wanted), value)
+    codes = F.array(*[F.lit(code) for code in known.values()])
+    return F.coalesce(F.get(codes, (place - 1).cast("int")), F.lit(len(levels) - 1))

@@ -51,7 +51,10 @@ def order_key(df: DataFrame, spec: EntitySpec) -> Column:
     if spec.date_unit != "day":
         raise ValueError(f"date_unit must be 'day' or 'micro', not {spec.date_unit!r}")
     fits = (seq >= 0) & (seq < SEQ_SPAN)
-    if not isinstance(df.schema[spec.date_col].dataType, (T.DateType, T.StringType)):
+    kind = df.schema[spec.date_col].dataType
+    if isinstance(kind, T.StringType):
+        fits = fits & F.coalesce(F.length(date) <= len(LAST_DAY), F.lit(True))
+    elif not isinstance(kind, T.DateType):
         fits = fits & F.coalesce(date == F.date_trunc("day", date), F.lit(True))
     day = F.coalesce(date.cast("date"), F.lit(LAST_DAY).cast("date"))
     packed = F.unix_date(day).cast("bigint") * SEQ_SPAN + seq

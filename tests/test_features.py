@@ -111,6 +111,11 @@ def test_time_of_day_needs_micro(spark):
     spec = replace(SPEC, cat_cols=())
     with pytest.raises(PySparkException, match="date_unit"):
         numeric_features(df, spec).collect()
+    text = df.withColumn("day", F.col("day").cast("string"))
+    with pytest.raises(PySparkException, match="date_unit"):
+        numeric_features(text, spec).collect()
+    dated = text.withColumn("day", F.substring("day", 1, 10))
+    assert numeric_features(dated, spec).first().x_last == 1.0
 
 
 def test_batches_of_columns_give_the_same_table(tiny):
@@ -164,6 +169,19 @@ def test_a_number_column_never_matches_text_it_cannot_print(spark):
     assert df.select(code).first()[0] == 1
 
 
+@pytest.mark.parametrize("kind", ["float", "double", "bigint", "string"])
+def test_every_level_of_a_vocabulary_gets_its_code(spark, kind):
+    values = {"float": ["0.1", "2", "1.0E-5", "1.6E9"], "double": ["0.1", "-3", "1.25E-7"],
+              "bigint": ["7", "-1", "9007199254740993"], "string": ["01", "1", "x", "1.0"]}[kind]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, v string")
+    df = df.withColumn("cat", F.col("v").cast(kind)).drop("v")
+    spec = EntitySpec(id_col="id", date_col=None, cat_cols=("cat",))
+    vocabulary = fit_vocabulary(df, spec)
+    assert len(vocabulary["cat"]) == len(values) + 1
+    out = category_features(df, spec, vocabulary)
+    assert sorted(r.cat_last for r in out.collect()) == list(range(len(values)))
+
+
 def test_natural_level_order(spark):
     levels = ["10", "2", "-1", "O", "1d", "01", "1"]
     df = spark.createDataFrame([(v,) for v in levels], "level string")
