@@ -73,8 +73,9 @@ def unseen_levels(df: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
     totals = counts.groupBy("col").agg(F.sum("n").alias("n_rows"))
     ranked = counts.withColumn("place", F.row_number().over(
         Window.partitionBy("col").orderBy(*level_order(F.col("level")))))
+    # Keeping the counts here lets both uses share one shuffle of them.
     first = (ranked.where(F.col("place") <= show)
              .groupBy("col")
-             .agg(F.array_sort(F.collect_list(F.struct("place", "level"))).alias("found"))
+             .agg(F.array_sort(F.collect_list(F.struct("place", "level", "n"))).alias("found"))
              .select("col", F.transform("found", lambda s: s["level"]).alias("levels")))
     return totals.join(first, "col")
