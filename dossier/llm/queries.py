@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import license, lines, simhash
+from dossier.llm import (
+    brown, decontaminate, langid, license, lines, mainhtml, pieces, quality, simhash)
 from dossier.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,16 +20,50 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 @query
 def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op2_class_model(spark, sf_dir):
+    return brown.score(documents(spark, sf_dir))
+
+
+@query
+def op3_main_text(spark, sf_dir):
+    return mainhtml.main_text(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_language(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
+@query
+def op6_quality_rules(spark, sf_dir):
+    return quality.quality_rules(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_license_scan(spark, sf_dir):
     return license.license_scan(documents(spark, sf_dir))
 
 
+@query
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.decontamination(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_line_dedup(spark, sf_dir):
     return lines.line_dedup(documents(spark, sf_dir))
+
+
+@query
+def op10_pieces(spark, sf_dir):
+    return pieces.encode(documents(spark, sf_dir))
