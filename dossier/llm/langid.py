@@ -25,7 +25,7 @@ from dossier.llm.common import slices, written
 DIMENSIONS = 1024
 UNKNOWN = "und"
 #: A document of the pipeline goes if its best cosine is below this.
-LEAST_SCORE = 0.1
+LEAST_SCORE = 0.03
 _CHARS = 1_000_000
 _GRAMS = 4096
 

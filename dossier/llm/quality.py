@@ -2,21 +2,24 @@
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text (null: none). The rules count words, code points in words,
 characters of ``#*$%&|<>``, lines with a word that are equal to an earlier line, and words in 5-word windows
-found twice or more. The forest sees shares of these (``FEATURES``), not sizes, so that long documents are no
-anomaly by length alone. ``TREES`` trees each split ``PER_TREE`` rows, drawn from a sample of about ``SAMPLE``
-rows (twice that at most) chosen by a hash of the row, at random features and values; short mean paths are anomalies and
-``score`` is 2^(-path / expected path). The threshold is the score with the largest share of bad rows
-above it less the share of good rows above it, both over all labelled rows, where at most ``MAX_GOOD_LOST``
-of the good rows may lie above. Without labels of both kinds only the base rules decide.
+found twice or more. The forests see shares of these, not sizes, so that long documents are no
+anomaly by length alone. Each family of rules (``FAMILIES``) has a forest: ``TREES`` trees each split ``PER_TREE`` rows,
+drawn from a sample of about ``SAMPLE`` rows (twice that at most) chosen by a hash of the row, at random features
+and values; short mean paths are anomalies and a score is 2^(-path / expected path). A family's threshold is the
+score with the best share of bad rows at or above it, less ``GOOD_WEIGHT`` times the share of good rows, over all
+labelled rows; a family that the labels do not bear out has none. Without labels of both kinds only the base
+rules decide.
 
 A document is kept if the base rules pass (10 words or more, at most 20 % of words in repeated windows)
-and its score is not above the threshold. Null and empty texts fail by the word count. Repeated ids are rows
+and no family's score reaches its threshold. Null and empty texts fail by the word count. Repeated ids are rows
 like any other (an id labelled twice counts as bad if one label says so); extra columns are ignored;
 an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from operator import eq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from dossier.llm.common import slices, written
 
 SYMBOLS = "#*$%&|<>"  # fixed value
+_MARKS = frozenset(SYMBOLS)
 LEAST_WORDS = 10
 MOST_REPEATED = 20
 WINDOW = 5
@@ -31,9 +35,13 @@ WINDOW = 5
 SAMPLE = 16_384
 TREES = 128
 PER_TREE = 256
-MAX_GOOD_LOST = 0.002
-FEATURES = ("symbol_share", "dup_line_share", "repeat_share", "mean_word", "upper_share", "digit_share",
-            "distinct_share", "longest_word")
+GOOD_WEIGHT = 20
+#: Features of each family, in the order of ``_features``.
+FAMILIES = {
+    "symbols": ("symbol_share", "symbol_word_share"),
+    "repeats": ("dup_line_share", "repeat_share", "twin_share"),
+    "shape": ("mean_word", "upper_share", "digit_share"),
+}
 _BINS = 2000
 
 
@@ -61,12 +69,11 @@ def rule_counts(text: str) -> tuple[int, int, int, int, int]:
 
 def _features(text: str, counts: tuple[int, ...]) -> list[float]:
     n_words, chars, symbols, dup_lines, repeated = counts
-    words = text.split()
-    letters = max(chars, 1)
-    upper = sum(map(str.isupper, words))
-    return [symbols / letters, dup_lines / (text.count("\n") + 1), repeated / max(n_words, 1),
-            chars / max(n_words, 1), upper / max(n_words, 1), sum(map(text.count, "0123456789")) / letters,
-            len(set(words)) / max(n_words, 1) ** 0.75, float(np.log1p(max(map(len, words), default=0)))]
+    words, n, letters = text.split(), max(n_words, 1), max(chars, 1)
+    marked = sum(1 for w in words if not _MARKS.isdisjoint(w)) if symbols else 0
+    return [symbols / letters, marked / n,
+            dup_lines / (text.count("\n") + 1), repeated / n, sum(map(eq, words, words[1:])) / n,
+            chars / n, sum(map(str.isupper, words)) / n, sum(map(text.count, "0123456789")) / letters]
 
 
 def rule_table(docs: DataFrame) -> DataFrame:
@@ -136,38 +143,49 @@ def anomaly(rows: np.ndarray, forest) -> np.ndarray:
     return np.exp2(-total / max(len(trees), 1) / max(float(_expected(size)), 1e-9))
 
 
-def _scored(table: DataFrame, forest) -> DataFrame:
+def _scored(table: DataFrame, forests) -> DataFrame:
     names = [c for c in table.columns if c != "features"]
     kinds = ", ".join(f"`{c}` {table.schema[c].dataType.simpleString()}" for c in names)
+    n = sum(map(len, FAMILIES.values()))
 
     def scan(batches):
         for part in slices(batches, 5000):
-            rows = np.array(part.column(part.num_columns - 1).to_pylist(), float).reshape(-1, len(FEATURES))
+            rows = np.array(part.column(part.num_columns - 1).to_pylist(), float).reshape(-1, n)
+            scores, at = [], 0
+            for features, forest in zip(FAMILIES.values(), forests):
+                scores.append(anomaly(rows[:, at:at + len(features)], forest))
+                at += len(features)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(anomaly(rows, forest))], [*names, "score"])
+                [*part.columns[:-1], pa.array(np.max(scores, axis=0)),
+                 pa.array(np.transpose(scores).tolist(), pa.list_(pa.float64()))], [*names, "score", "scores"])
 
-    return table.select(*names, "features").mapInArrow(scan, f"{kinds}, score double")
+    return table.select(*names, "features").mapInArrow(scan, f"{kinds}, score double, scores array<double>")
 
 
-def threshold(scored: DataFrame, labels: DataFrame, max_good_lost: float = MAX_GOOD_LOST) -> float:
-    """Rows with this score or more go; 2 (none) where the labels show no difference."""
+def thresholds(scored: DataFrame, labels: DataFrame, good_weight: float = GOOD_WEIGHT) -> list[int]:
+    """For each family the bin of scores (of ``_BINS``) from which rows go; past the last where none does."""
     labelled = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("quality").alias("quality"))
     bins = (
-        scored.where(~F.col("base_failed")).select("doc_id", F.floor(F.col("score") * _BINS).alias("bin"))
-        .join(labelled, "doc_id").groupBy("bin", (F.col("quality") > 0).alias("good")).count().collect())
-    counts = np.zeros((2, _BINS + 2))
+        scored.where(~F.col("base_failed")).select("doc_id", F.posexplode("scores").alias("family", "score"))
+        .join(labelled, "doc_id")
+        .groupBy("family", F.floor(F.col("score") * _BINS).alias("bin"), (F.col("quality") > 0).alias("good"))
+        .count().collect())
+    counts = np.zeros((len(FAMILIES), 2, _BINS + 2))
     for r in bins:
-        counts[int(r["good"]), int(r["bin"])] += r["count"]
-    if not counts.sum(axis=1).all():
-        return 2.0
-    above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] / counts.sum(axis=1, keepdims=True)
-    gain = np.where(above[1] <= max_good_lost, above[0] - above[1], -1)
-    return float(gain.argmax() / _BINS) if gain.max() > 0 else 2.0
+        counts[r["family"], int(r["good"]), int(r["bin"])] += r["count"]
+    found = []
+    for bad, good in counts:
+        above_bad, above_good = (x[::-1].cumsum()[::-1] / max(x.sum(), 1) for x in (bad, good))
+        gain = above_bad - good_weight * above_good
+        # The highest score of the best ones: rows between it and the others are not known to be bad.
+        best = len(gain) - 1 - int(gain[::-1].argmax())
+        found.append(best if bad.sum() and good.sum() and gain[best] > 0.05 else _BINS + 2)
+    return found
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the counts, base_failed, score and kept of every row."""
+    """doc_id, the counts, base_failed, score (the highest of the families), scores and kept of every row."""
     table = rule_table(docs).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     table = written(table.select(
@@ -175,10 +193,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "features"), "rules")
     rows = table.where(~F.col("base_failed"))
     every = max(1, -(-rows.count() // SAMPLE))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", "features"), F.lit(every)) == 0).limit(
-        2 * SAMPLE).select("features").collect()
-    forest = fit_forest(np.array([r["features"] for r in sample], float).reshape(-1, len(FEATURES))) \
-        if sample else ([], 1)
-    scored = written(_scored(table, forest), "scored")
-    most = threshold(scored, labels)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") * _BINS) < round(most * _BINS)))
+    sample = np.array([r["features"] for r in rows.where(
+        F.pmod(F.xxhash64("doc_id", "features"), F.lit(every)) == 0).limit(2 * SAMPLE).select(
+        "features").collect()], float).reshape(-1, sum(map(len, FAMILIES.values())))
+    forests, at = [], 0
+    for features in FAMILIES.values():
+        forests.append(fit_forest(sample[:, at:at + len(features)]) if len(sample) else ([], 1))
+        at += len(features)
+    scored = written(_scored(table, forests), "scored")
+    passes = ~F.col("base_failed")
+    for family, least in enumerate(thresholds(scored, labels)):
+        passes = passes & (F.floor(F.col("scores")[family] * _BINS) < least)
+    return scored.withColumn("kept", passes)
