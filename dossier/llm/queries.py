@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dossier.llm import (
-    brown, decontaminate, langid, license, lines, mainhtml, pieces, quality, simhash)
+    brown, decontaminate, langid, license, lines, mainhtml, pieces, quality, simhash, substrings)
 from dossier.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op4_language(spark, sf_dir):
     return langid.identify(documents(spark, sf_dir))
 
 
+@query
+def op5_substrings(spark, sf_dir):
+    return substrings.substring_dedup(documents(spark, sf_dir))
+
+
 @query
 def op6_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
