@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import lines, simhash
+from dossier.llm import decontaminate, langid, lines, pieces, simhash
 from dossier.llm.common import documents, written
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or like none of the learned languages, go."""
+    return langid.language_stage(docs)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows go."""
+    """The lines of later occurrences of a three-line window go; the documents stay."""
     return lines.dedup_stage(docs)
 
 
@@ -18,12 +23,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.dedup_stage(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark`` within its edit budget go."""
+    return decontaminate.decontamination_stage(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document's text, with the check that they decode to it."""
+    return pieces.encode(docs)
+
+
 STAGES = [
+    ("language ID", language),
     ("line dedup", line_dedup),
     ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding", encoding),
 ]
 
-#: The fingerprints and the learned models have no SQL form; the stages are tested by brute force.
+#: The learned prototypes, fingerprints and shortest paths have no SQL form; the stages are tested by brute force.
 ORACLE_SQL = None
 
 
