@@ -49,7 +49,7 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     for i, c in enumerate(pattern):
         masks[c] = masks.get(c, 0) | 1 << i
     full, high = (1 << n) - 1, 1 << n - 1
-    plus, minus, distance, best = full, 0, n, (most + 1, 0)
+    plus, minus, distance, best = full, 0, n, (min(n, most + 1), 0)
     for end, c in enumerate(text, 1):
         match = masks.get(c, 0)
         diagonal = (((match & plus) + plus) ^ plus) | match | minus

@@ -145,59 +145,50 @@ def prototypes(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str]
         .agg(F.sum("x").alias("x")).groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
         .select("lang", "v.x").orderBy("lang").collect())
-    vectors = np.array([r["x"] for r in rows]).reshape(len(rows), -1)
+    vectors = np.array([r["x"] for r in rows]).reshape(len(rows), dimensions)
     lengths = np.linalg.norm(vectors, axis=1)
     return ([r["lang"] for r, n in zip(rows, lengths) if n > 0],
             vectors[lengths > 0] / lengths[lengths > 0, None])
 
 
-def predict(docs: DataFrame, names: list[str], vectors: np.ndarray, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with lang_pred and score."""
-    dimensions = vectors.shape[1] if len(names) else DIMENSIONS
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+def _cosines(texts: list[str], names: list[str], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cosine of each text with each prototype, and whether the text has a letter and there is a prototype."""
+    if not names:
+        return np.zeros((len(texts), 1)), np.zeros(len(texts), bool)
+    own = bundles(texts, list(range(len(texts))), len(texts), vectors.shape[1])
+    lengths = np.linalg.norm(own, axis=1)
+    return own @ vectors.T / np.maximum(lengths, 1e-9)[:, None], lengths > 0
+
+
+def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row, learned from the rows not held out."""
+    docs = docs.select("doc_id", "text", "lang", held_out().alias("held_out"))
+    names, vectors = prototypes(docs.where("NOT held_out"), dimensions)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches):
         for part in slices(batches, 500):
-            texts = part.column(0).to_pylist()
-            own = bundles(texts, list(range(len(texts))), len(texts), dimensions)
-            lengths = np.linalg.norm(own, axis=1)
-            known = (lengths > 0) & (len(names) > 0)
-            cosine = own @ vectors.T / np.maximum(lengths, 1e-9)[:, None] if len(names) else np.zeros((len(own), 1))
+            cosine, known = _cosines(part.column(0).to_pylist(), names, vectors)
             best = cosine.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[1:],
+                [part.column(1), part.column(2),
                  pa.array([names[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
                  pa.array(np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0.0))],
-                [*columns, "lang_pred", "score"])
+                ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("text", *columns).mapInArrow(scan, f"{kinds}, lang_pred string, score double")
-
-
-def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row, learned from the rows not held out."""
-    docs = docs.select("doc_id", "text", "lang", held_out().alias("held_out"))
-    names, vectors = prototypes(docs.where("NOT held_out"), dimensions)
-    return predict(docs, names, vectors, ["doc_id", "held_out"])
+    return docs.select("text", "doc_id", "held_out").mapInArrow(
+        scan, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
 
 
 def language_stage(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of at least ``least``."""
     names, vectors = prototypes(docs.where(~held_out()))
-    table = docs.select("*", F.col("text").alias("llm__text")).select("llm__text", *docs.columns)
-    return _passed(table, docs, names, vectors, least)
-
-
-def _passed(table, docs, names, vectors, least):
-    dimensions = vectors.shape[1] if len(names) else DIMENSIONS
+    columns, at = docs.columns, docs.columns.index("text")
 
     def scan(batches):
         for part in slices(batches, 500):
-            texts = part.column(0).to_pylist()
-            own = bundles(texts, list(range(len(texts))), len(texts), dimensions)
-            lengths = np.linalg.norm(own, axis=1)
-            best = (own @ vectors.T).max(axis=1) if len(names) else np.zeros(len(own))
-            stays = (lengths > 0) & (best >= least * lengths)
-            kept = part.filter(pa.array(stays))
-            yield pa.RecordBatch.from_arrays(kept.columns[1:], docs.columns)
-
-    return table.mapInArrow(scan, docs.schema)
+            cosine, known = _cosines(part.column(at).to_pylist(), names, vectors)
+            stays = part.filter(pa.array(known & (cosine.max(axis=1) >= least)))
+            yield pa.RecordBatch.from_arrays(stays.columns, columns)
+
+    return docs.mapInArrow(scan, docs.schema)

@@ -32,8 +32,12 @@ from dossier.llm.common import slices
 
 TRAIN_PAGES = 2000
 MIXED, MAIN, BESIDE = 0, 1, 2
+#: The pages written here count at least so many times: their marks are sure.
+LEAST_WEIGHT = 50.0
 #: So many nodes of the mean of all labels are added to each label's lengths, so that a few pages do not decide.
 SHRINK = 20
+#: Power of the length potentials: few pages show lengths beside the content, so they bear witness at half weight.
+LENGTH_WEIGHT = 0.85
 #: Log prior of a whole page's label.
 ROOT = np.array([0.0, -8.0, -4.0])
 
@@ -86,6 +90,12 @@ LABELLED = (
     Walking is slow, and that is the point of it. Begin with an hour.</p><p data-main>Then take a day, a bag and some bread.
     </p><div class="ads"><p>Shoes for every road, at half the price.</p></div><div class="copyright">A walker's page.</div>
     </body></html>""",
+    """<html><body><nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav><div class="ad">Cheap flights to everywhere.
+    </div><article data-main><h1>On sleep</h1><p>Sleep is long for the young, and short for the old.</p><p>No one knows why.</p>
+    </article><section class="comments"><p>I sleep badly.</p></section><footer>Some site &middot; all rights kept.</footer></body>
+    </html>""",
+    """<html><body><header><h2>The Paper</h2><nav><a>Home</a></nav></header><article data-main><p>One line of news.</p></article>
+    <aside><p>Weather: it rains.</p></aside><footer><p>Imprint</p></footer></body></html>""",
 )
 
 _TOKEN = re.compile(
@@ -230,12 +240,12 @@ class Model:
         own = np.zeros((len(parent), 3))
         traits = [(i, self.traits[t], ":" in t) for i, own_traits in enumerate(t for p in pages for t in p.traits)
                   for t in own_traits if t in self.traits]
-        # Siblings of one tag are alike, so their lengths together weigh as much as one.
+        # Siblings of one tag are alike, so their lengths together weigh as those of one.
         _, group, alike = np.unique(parent * 65536 + np.array(
             [zlib.crc32(tag.encode()) & 65535 for p in pages for tag in p.tags]), return_inverse=True,
             return_counts=True)
         place = np.array([i for i, _, _ in traits], np.int64)
-        share = np.where([length for _, _, length in traits], 1 / alike[group][place], 1.0)
+        share = np.where([length for _, _, length in traits], LENGTH_WEIGHT / alike[group][place], 1.0)
         np.add.at(own, place, np.array([v for _, v, _ in traits]).reshape(-1, 3) * share[:, None])
         order = np.argsort(depth, kind="stable")
         cuts = np.searchsorted(depth[order], np.arange(depth.max() + 2))
@@ -283,7 +293,7 @@ def fitted(learned: dict[str, np.ndarray], written: tuple[str, ...] = LABELLED)
     Both kinds weigh the same for words and edges; lengths are counted as they are.
     """
     own = _counts([Page(source) for source in written])
-    weight = max(1.0, learned["node"].sum() / own["node"].sum()) if "node" in learned else 1.0
+    weight = max(LEAST_WEIGHT, learned["node"].sum() / own["node"].sum() if "node" in learned else 0)
     return Model({
         k: learned.get(k, 0) + (1 if ":" in k or k[:5] == "node " else weight) * own.get(k, np.zeros(3))
         for k in learned.keys() | own.keys()})

@@ -6,8 +6,8 @@ found twice or more. The forests see shares of these, not sizes, so that long do
 anomaly by length alone. Each family of rules (``FAMILIES``) has a forest: ``TREES`` trees each split ``PER_TREE`` rows,
 drawn from a sample of about ``SAMPLE`` rows (twice that at most) chosen by a hash of the row, at random features
 and values; short mean paths are anomalies and a score is 2^(-path / expected path). A family's threshold is the
-score with the best share of bad rows at or above it, less ``GOOD_WEIGHT`` times the share of good rows, over all
-labelled rows; a family that the labels do not bear out has none. Without labels of both kinds only the base
+score with the best share of bad rows at or above it, less ``GOOD_WEIGHT`` times the share of good rows (one more counted), over all
+labelled rows that the families before it leave; a family that the labels do not bear out has none. Without labels of both kinds only the base
 rules decide.
 
 A document is kept if the base rules pass (10 words or more, at most 20 % of words in repeated windows)
@@ -163,24 +163,31 @@ def _scored(table: DataFrame, forests) -> DataFrame:
 
 
 def thresholds(scored: DataFrame, labels: DataFrame, good_weight: float = GOOD_WEIGHT) -> list[int]:
-    """For each family the bin of scores (of ``_BINS``) from which rows go; past the last where none does."""
+    """For each family the bin of scores (of ``_BINS``) from which rows go; past the last where none does.
+
+    A family is judged on the labelled rows that the base rules and the families before it leave.
+    """
     labelled = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("quality").alias("quality"))
-    bins = (
-        scored.where(~F.col("base_failed")).select("doc_id", F.posexplode("scores").alias("family", "score"))
-        .join(labelled, "doc_id")
-        .groupBy("family", F.floor(F.col("score") * _BINS).alias("bin"), (F.col("quality") > 0).alias("good"))
-        .count().collect())
-    counts = np.zeros((len(FAMILIES), 2, _BINS + 2))
-    for r in bins:
-        counts[r["family"], int(r["good"]), int(r["bin"])] += r["count"]
-    found = []
-    for bad, good in counts:
-        above_bad, above_good = (x[::-1].cumsum()[::-1] / max(x.sum(), 1) for x in (bad, good))
-        gain = above_bad - good_weight * above_good
-        # The highest score of the best ones: rows between it and the others are not known to be bad.
-        best = len(gain) - 1 - int(gain[::-1].argmax())
-        found.append(best if bad.sum() and good.sum() and gain[best] > 0.05 else _BINS + 2)
+    rows = written(scored.where(~F.col("base_failed")).join(labelled, "doc_id").select(
+        F.transform("scores", lambda s: F.floor(s * _BINS)).alias("bins"), (F.col("quality") > 0).alias("good")),
+        "labelled-scores")
+    found: list[int] = []
+    for family in range(len(FAMILIES)):
+        counts = np.zeros((2, _BINS + 2))
+        for r in rows.groupBy("good", F.col("bins")[family].alias("bin")).count().collect():
+            counts[int(r["good"]), int(r["bin"])] += r["count"]
+        above = counts[:, ::-1].cumsum(axis=1)[:, ::-1]
+        bad, good = counts.sum(axis=1)
+        gain = above[0] / max(bad, 1) - good_weight * (above[1] + 1) / (good + 1)
+        # Of equals the one in the middle between the good rows and the bad ones.
+        last = len(gain) - 1 - int(gain[::-1].argmax())
+        first = last
+        while first and gain[first - 1] == gain[last]:
+            first -= 1
+        best = (first + last + 1) // 2
+        found.append(best if bad and good and gain[best] > 0 else _BINS + 2)
+        rows = rows.where(F.col("bins")[family] < found[-1])
     return found
 
 

@@ -119,7 +119,7 @@ def _trees(prints: DataFrame, bits: int, shard: int) -> DataFrame:
     n = max(1, -(-prints.count() // shard))
     cuts = [round(64 * i / (bits + 1)) for i in range(bits + 2)]
     value = F.array(*[
-        F.shiftrightunsigned("fingerprint", lo).bitwiseAND((1 << (hi - lo)) - 1)
+        F.shiftrightunsigned("fingerprint", lo).bitwiseAND((1 << (hi - lo)) - 1) if hi - lo < 64 else F.col("fingerprint")
         for lo, hi in itertools.pairwise(cuts)])
     dealt = (
         prints.select("fingerprint", F.posexplode(value).alias("band", "value"))

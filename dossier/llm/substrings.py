@@ -94,6 +94,8 @@ def safe_symbols(one: np.ndarray, two: np.ndarray, doc: np.ndarray, size: int) -
         first = np.flatnonzero(other)
         last = np.append(first[1:], len(one)) - 1
         length = (last - first + 1).astype(np.uint64)
+        # Being a whole run depends on the single symbols on either side being others.
+        sides = low[np.maximum(first - 1, 0)], high[np.minimum(last + 1, len(one) - 1)]
         one, two, doc, start, end = one[first], two[first], doc[first], start[first], end[last]
         low, high = low[first], high[last]
         run = length > 1
@@ -102,9 +104,8 @@ def safe_symbols(one: np.ndarray, two: np.ndarray, doc: np.ndarray, size: int) -
             two[run] = _mixed(two[run] + (length[run] * _SALT))
         left_edge = doc != _shift(doc, 1, -1)
         right_edge = doc != _shift(doc, -1, -1)
-        # Being a whole run depends on the neighbours being others.
-        low = np.where(left_edge, -_FAR, np.minimum(low, _shift(low, 1, 0)))
-        high = np.where(right_edge, _FAR, np.maximum(high, _shift(high, -1, 0)))
+        low = np.where(left_edge, -_FAR, np.minimum(low, sides[0]))
+        high = np.where(right_edge, _FAR, np.maximum(high, sides[1]))
         keep(run)
         # Pairs of a left kind and a right kind.
         turn = np.multiply(np.uint64(level), _SALT, dtype=np.uint64)

@@ -21,10 +21,11 @@ def mixed(docs_of):
     rng = random.Random(2)
     parts = {"en": "th er on an re he in ed nd ha".split(), "fr": "é eau ou è oi que ai aux ê ç".split(),
              "de": "sch ü ß ö ach ung heit keit ä pf".split(), "es": "ción ñ ll rr ó í ado que os ez".split()}
-    rows = []
+    rows, known = [], {lang: ["".join(rng.choice(p) for _ in range(rng.randint(1, 3))) for _ in range(60)]
+                       for lang, p in parts.items()}
     for i in range(240):
         lang = list(parts)[i % 4]
-        words = ["".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(40)]
+        words = known[lang] + ["".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(5)]
         rows.append((i, sentences(rng, words, rng.randint(15, 60)).capitalize() + ".", lang))
     return docs_of(rows)
 
@@ -191,7 +192,8 @@ def test_messages_against_all_labellings():
         for i, y in enumerate(labels):
             for t in page.traits[i]:
                 if t in model.traits:
-                    total += model.traits[t][y] / (siblings[page.parent[i], page.tags[i]] if ":" in t else 1)
+                    total += model.traits[t][y] * (
+                        mainhtml.LENGTH_WEIGHT / siblings[page.parent[i], page.tags[i]] if ":" in t else 1)
             if i:
                 total += model.edges.get(page.tags[i], model.usual)[labels[page.parent[i]], y]
         for i, y in enumerate(labels):
