@@ -37,7 +37,7 @@ LEAST_WEIGHT = 50.0
 #: So many nodes of the mean of all labels are added to each label's lengths, so that a few pages do not decide.
 SHRINK = 20
 #: Power of the length potentials: few pages show lengths beside the content, so they bear witness at half weight.
-LENGTH_WEIGHT = 0.85
+LENGTH_WEIGHT = 0.7
 #: Log prior of a whole page's label.
 ROOT = np.array([0.0, -8.0, -4.0])
 
@@ -61,7 +61,8 @@ OFF_TAGS = frozenset("nav aside header footer form".split())
 # Pages with their content marked (data-main) and what stands inside it but is none (data-off).
 LABELLED = (
     """<html><body><header class="site-header"><a href="/">Home</a><nav class="menu"><ul><li><a>One</a></li>
-    <li><a>Two</a></li></ul></nav></header><div class="cookie notice banner"><p>We use cookies on this site. Accept them.</p>
+    <li><a>Two</a></li></ul></nav></header><div class="cookie notice banner"><p>We use cookies on this site to see which pages are
+    read and how often. You may accept them all, or choose which of them you accept, or read our rules on what we keep.</p>
     </div><main data-main><h1>How rivers meet the sea</h1><p>Where a river slows down, it drops the sand it carries, and
     over the years the sand becomes land.</p><p>Plants hold the new land in place. Birds follow the plants.</p></main>
     <aside class="sidebar related"><h3>More</h3><ul><li><a>Lakes</a></li></ul></aside><footer>&copy; Someone, some rights.
@@ -71,7 +72,8 @@ LABELLED = (
     <h2>A short history of lamps</h2><p>The first lamps were stones with a hollow, filled with fat and a wick of moss.</p>
     <div class="ad promo" data-off>The best lamps, sold by us.</div><p>Glass came later, and with it a steady light.</p>
     <ul><li>Oil lamps burned for hours.</li><li>Gas lamps lit whole streets.</li></ul></div><div id="comments"
-    class="comments"><div class="comment"><p>I liked this one very much, thank you for writing it.</p></div><div
+    class="comments"><div class="comment"><p>I liked this one very much, thank you for writing it. My mother had such a lamp in the
+    kitchen, and in winter we sat around it in the evenings, because the hall was cold and wood was dear in those years.</p></div><div
     class="comment"><p>My lamp is older than yours.</p></div></div><form class="search newsletter"><p>Sign up for our letter.
     </p></form><div class="footer copyright">All pages by the makers.</div></body></html>""",
     """<html><body><div class="wrapper page"><div class="header masthead"><p>The Daily Page, news since the year one.</p></div>
@@ -79,11 +81,13 @@ LABELLED = (
     <p>Rain is expected in the north from the early morning on. The wind will turn in the evening.</p><blockquote>It is the
     season for it, said a farmer.</blockquote><table><tr><td>North</td><td>Rain all day long.</td></tr></table></div>
     <div class="sidebar widget"><p>Most read stories of the week, picked by readers.</p></div><div class="share social">
-    <a>Share</a><a>Tell</a></div><div class="notice alert popup modal"><p>Your browser is old. Please get a new one.</p>
+    <a>Share</a><a>Tell</a></div><div class="notice alert popup modal"><p>Your browser is old. Some parts of this site will not work as they
+    should. Please get a new one from its makers, it takes a minute.</p>
     </div><footer class="footer"><p>Imprint. Terms of use.</p></footer></div></body></html>""",
     """<html><body><nav role="navigation"><a>Up</a></nav><section role="main" class="article" data-main><h1>Bread</h1><p>Mix
     flour, water and salt. Let the dough rest for a night.</p><p>Bake it hot, with steam at first.</p><section
-    class="comments" data-off><h3>Comments</h3><p>Worked well with rye, thanks for it.</p></section></section><section
+    class="comments" data-off><h3>Comments</h3><p>Worked well with rye, thanks for it. I let the dough stand for
+    two nights in the cellar, took less salt, and baked it in a pot with the lid on, which gave a crust like that of a baker.</p></section></section><section
     class="related teaser"><p>Try our soups, they are quick to make.</p></section><div role="banner"><p>A banner over the
     whole width of the page.</p></div><div role="contentinfo"><p>Made in a kitchen.</p></div></body></html>""",
     """<html><body><ul class="menu"><li><a>Home</a></li><li><a>Map</a></li></ul><h1 data-main>On walking</h1><p data-main>
@@ -228,7 +232,7 @@ class Model:
         usual = sum(pairs.values(), np.full((3, 3), 0.5))
         usual = usual / usual.sum(axis=1, keepdims=True)
         self.usual = np.log(usual)
-        self.edges = {tag: np.log((n + 2 * usual) / (n + 2 * usual).sum(axis=1, keepdims=True))
+        self.edges = {tag: np.log((n + usual / 4) / (n + usual / 4).sum(axis=1, keepdims=True))
                       for tag, n in pairs.items()}
 
     def marginals(self, pages: list[Page]) -> list[np.ndarray]:
