@@ -4,19 +4,26 @@ from __future__ import annotations
 
 import hashlib
 import json
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-NULL_TEXT = "\\N"
+NULL_TEXT = "-"
 
 # Fixed value: digests of artifacts are cut to this many hex digits.
 DIGEST_CHARS = 12
 
 
 def row_text(columns: list[str]) -> Column:
-    """One row as text, nulls spelled out."""
+    """One row as text that no other row has: each value after its length, a null as a bare mark."""
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
     return F.concat_ws("|", *[
-        F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in columns])
+        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_TEXT)) for t in texts])
+
+
+def row_number_of(columns: list[str]) -> Column:
+    """32 bits of a row's md5, as a decimal that sums without overflow."""
+    return F.conv(F.substring(F.md5(row_text(columns)), 1, 8), 16, 10).cast("decimal(20,0)")
 
 
 def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -25,21 +32,22 @@ def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     Adds up 32 bits of each row's md5, which combines map-side into one number
     per task. The sum is a decimal so that it cannot overflow.
     """
-    head = F.conv(F.substring(F.md5(row_text(columns or df.columns)), 1, 8), 16, 10)
     return df.agg(
         F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(head.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("digest"))
+        F.coalesce(F.sum(row_number_of(columns or df.columns)), F.lit(0)).cast("string").alias("digest"))
 
 
 def files_digest(df: DataFrame) -> str:
     """A digest of the files behind a frame: paths, sizes and write times.
 
-    Reads file metadata only, so it costs no column data.
+    The files are listed, not read: one row per file, no column data.
     """
-    files = df.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("bytes"),
-        F.unix_micros("_metadata.file_modification_time").alias("written")).distinct()
+    paths = [unquote(p) for p in df.inputFiles()]
+    if not paths:
+        raise ValueError("the frame is not read from files: give its content digest instead")
+    files = df.sparkSession.read.format("binaryFile").load(paths).select(
+        "path", F.col("length").cast("string").alias("bytes"),
+        F.unix_micros("modificationTime").alias("written"))
     row = table_digest(files).first()
     return json_digest({"files": row.n_rows, "digest": row.digest})
 
@@ -51,7 +59,7 @@ def json_digest(value) -> str:
 
 
 def split_digest(source_digest: Column, seed: int, ratios: dict[str, int]) -> Column:
-    """The id of one way to cut one source: twelve hex digits."""
+    """The id of one way to cut one source (labels and statements): twelve hex digits."""
     cuts = ",".join(f"{name}={share}" for name, share in sorted(ratios.items()))
     return F.substring(
         F.sha2(F.concat_ws("|", source_digest, F.lit(str(seed)), F.lit(cuts)), 256), 1, DIGEST_CHARS)

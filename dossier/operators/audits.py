@@ -38,7 +38,7 @@ def contiguity_audit(df: DataFrame, id_col: str, seq_col: str,
     then compared with the first id of the next, over one row per range.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(seq_col).alias("seq"))
-    bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession))
+    bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession, rows.count()))
     placed = with_range(rows, "seq", bounds, descending=False)
     before = F.lag("id").over(Window.partitionBy("_range").orderBy("seq"))
     place = F.lag("seq").over(Window.partitionBy("_range").orderBy("seq"))
@@ -69,7 +69,7 @@ def order_audit(df: DataFrame, id_col: str, date_col: str, seq_col: str,
     """
     rows = df.select(F.col(id_col).alias(id_col), F.col(date_col).alias("date"),
                      F.col(seq_col).alias("seq")).where(F.col("date").isNotNull())
-    bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession))
+    bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession, rows.count()))
     placed = with_range(rows, "seq", bounds, descending=False)
     inside = Window.partitionBy(id_col, "_range").orderBy("seq")
     marked = placed.withColumn("back", F.lag("date").over(inside) > F.col("date"))
@@ -95,9 +95,8 @@ def require_same_columns(a: DataFrame, b: DataFrame) -> None:
     """Two feature tables must agree on names and order."""
     if a.columns != b.columns:
         odd = sorted(set(a.columns) ^ set(b.columns))
-        raise ValueError("feature tables do not line up "
-                         + (f"(only in one: {odd[:5]})" if odd else "(different order)")
-                         + ": rebuild both with one vocabulary")
+        what = f"columns of one table only: {odd[:5]}" if odd else "same columns, another order"
+        raise ValueError(f"feature columns fail to line up ({what}); build both tables from one vocabulary")
 
 
 def align_features(df: DataFrame, id_col: str, expected: list[str]) -> DataFrame:
@@ -105,5 +104,5 @@ def align_features(df: DataFrame, id_col: str, expected: list[str]) -> DataFrame
     have = set(df.columns)
     absent = [c for c in expected if c not in have]
     if absent:
-        raise KeyError(f"{len(absent)} feature(s) missing, first few: {absent[:5]}")
+        raise KeyError(f"the model wants {len(absent)} column(s) this table lacks, such as {absent[:5]}")
     return df.select(id_col, *[F.col(f"`{c}`") for c in expected])

@@ -73,13 +73,16 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, key: str, hot: list,
-                how: str = "left", salts: int = SALTS, salt_on: list[str] | None = None) -> DataFrame:
+                how: str = "left", salts: int | None = None, salt_on: list[str] | None = None) -> DataFrame:
     """A shuffle join that spreads hot keys (and rows without a key) over many tasks.
 
+    A hot key is cut into as many parts as a shuffle has, ``SALTS`` at least, so
+    that even a key with half of all rows fills no task more than others do.
     Only the lookup rows of hot keys are repeated, so the lookup grows by at
     most ``len(hot) * salts`` rows. The salt is a hash of row content: a retried
     task places its rows as before.
     """
+    salts = salts or max(SALTS, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in salt_on or facts.columns]),
                     F.lit(salts)).cast("int")
     is_hot = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
@@ -123,9 +126,7 @@ def remainder(rows: DataFrame, held_out: DataFrame, key: str, **options) -> Data
 
 
 def require_matches(audit: DataFrame) -> DataFrame:
-    """Fail the job when a label join matched nothing at all."""
-    return audit.select(*[
-        F.when(F.col("n_evaluated") > 0, F.col(c)).otherwise(
-            F.raise_error(F.lit("no entity appears in both tables: are they "
-                                "different datasets?")).cast("bigint")).alias(c)
-        for c in audit.columns])
+    """The audit itself; the job fails where no scored id has a label."""
+    nothing = F.raise_error(F.lit("none of the scored ids has a label: different datasets?"))
+    checked = F.when(F.col("n_evaluated") == 0, nothing.cast("bigint"))
+    return audit.select(*[F.coalesce(checked, F.col(c)).alias(c) for c in audit.columns])

@@ -26,6 +26,13 @@ NEGATIVE_WEIGHT = 20
 TOP_SHARE = 0.04
 
 
+def binary_target(target: Column) -> Column:
+    """The target as 0 or 1; anything else, a missing one included, fails the job."""
+    odd = F.raise_error(F.concat(F.lit("a target must be 0 or 1, not "), F.coalesce(
+        target.cast("string"), F.lit("missing")))).cast("int")
+    return F.when(target == 0, 0).when(target == 1, 1).otherwise(odd)
+
+
 def class_weight(target: Column) -> Column:
     return F.when(target == 0, NEGATIVE_WEIGHT).otherwise(1).cast("bigint")
 
@@ -40,7 +47,7 @@ def ranked_weights(scored: DataFrame, id_col: str = "id", target: str = "target"
                    ranges: int | None = None) -> DataFrame:
     """Rows with their running ``cum_weight`` and running ``cum_positive``, and both totals."""
     rows = scored.select(
-        *(groups or []), F.col(id_col), F.col(target).cast("int").alias("target"),
+        *(groups or []), F.col(id_col), binary_target(F.col(target)).alias("target"),
         F.col(prediction).cast("double").alias("prediction"))
     rows = rows.withColumn("weight", class_weight(F.col("target")))
     rows = rows.withColumn("positive", (F.col("target") * F.col("weight")).cast("bigint"))
@@ -61,7 +68,7 @@ def gain_curve(scored: DataFrame, id_col: str = "id", target: str = "target",
 def metric_totals(scored: DataFrame, target: str = "target",
                   groups: list[str] | None = None) -> DataFrame:
     """Total weight, total positive weight, and row counts. No ranking needed."""
-    value = F.col(target).cast("int")
+    value = binary_target(F.col(target))
     return scored.groupBy(*(groups or [])).agg(
         F.count("*").alias("n_rows"),
         F.sum(class_weight(value)).alias("total_weight"),
@@ -79,7 +86,7 @@ def ranking_metric(scored: DataFrame, id_col: str = "id", target: str = "target"
     """
     groups = groups or []
     rows = scored.select(
-        *groups, F.col(id_col), F.col(target).cast("int").alias("target"),
+        *groups, F.col(id_col), binary_target(F.col(target)).alias("target"),
         F.col(prediction).cast("double").alias("prediction"))
     rows = rows.withColumn("weight", class_weight(F.col("target")))
     ranked = prefix_sum(rows, "prediction", id_col, {"weight": "cum_weight"}, groups, ranges=ranges)

@@ -16,10 +16,12 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from dossier.functions.levels import is_fractional
 from dossier.session import width
 
+EXACT = float(1 << 53)      # whole numbers below it are doubles of their own
 TIE_DIGITS = 2      # hex digits of the tie hash that split a tied range: 256 parts
 
 _RANGE, _PART, _CARRY = "_range", "_part", "_is_row"
@@ -52,7 +54,10 @@ def with_range(df: DataFrame, col: str, bounds: list[float], descending: bool) -
                         handleInvalid="keep").transform(df.withColumn("_value", value))
     slot = F.col("_slot").cast("int")
     lower = F.get(F.array(*[F.lit(e) for e in edges]), slot)
-    single = F.col("_value").isNull() | F.coalesce(F.col("_value") == lower, F.lit(False))
+    # Whole numbers and decimals past double precision share doubles: such a range has many values.
+    exact = F.lit(True) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType, T.IntegerType)) \
+        else F.abs(F.col("_value")) < EXACT
+    single = F.col("_value").isNull() | F.coalesce((F.col("_value") == lower) & exact, F.lit(False))
     number = 2 * slot + F.when(single, 0).otherwise(1)
     if descending:
         number = -number
@@ -102,13 +107,15 @@ def prefix_sum(df: DataFrame, order_col: str, id_col: str, sums: dict[str, str],
     Rows without an ``order_col`` value sort last.
     """
     groups = groups or []
-    ranges = ranges or width(df.sparkSession)
+    ranges = ranges or width(df.sparkSession, df.count())
     bounds = quantile_bounds(df, order_col, ranges)
     placed = with_range(df, order_col, bounds, descending)
     placed = placed.withColumn("_tie", tie_hash(id_col))
     placed = placed.withColumn(
         _PART, F.when(F.col("_single"), F.substring("_tie", 1, TIE_DIGITS)).otherwise(F.lit("")))
-    value = F.col("_value")
+    # The double only picks the range; inside it the column's own values are compared.
+    value = F.col("_value") if is_fractional(df.schema[order_col].dataType) and not isinstance(
+        df.schema[order_col].dataType, T.DecimalType) else F.col(f"`{order_col}`")
     order = [value.desc_nulls_last() if descending else value.asc_nulls_last(), F.col("_tie")]
     return running_sums(placed, sums, groups, order).drop("_tie")
 

@@ -55,8 +55,8 @@ def split_thresholds(labels: DataFrame, spec: EntitySpec) -> DataFrame:
     cuts = cuts.select(F.col(strata).alias("_class"), F.col(prefix).alias("_at"),
                        F.col("cut.name").alias("name"),
                        (F.col("cut.rank") - F.col("before")).alias("nth"))
-    # Bounded: one row per class and cut.
-    edge = hashed.join(F.broadcast(cuts), hashed[strata].eqNullSafe(cuts["_class"])
+    # One row per class and cut; Spark broadcasts it where it measures it small.
+    edge = hashed.join(cuts, hashed[strata].eqNullSafe(cuts["_class"])
                        & (hashed[prefix] == cuts["_at"]))
     nth = F.row_number().over(Window.partitionBy("_class", "_at", "name").orderBy("_hash"))
     return (edge.withColumn("place", nth).where(F.col("place") == F.col("nth"))
@@ -120,13 +120,23 @@ def fit_split(labels: DataFrame, spec: EntitySpec) -> SplitPlan | None:
                      tuple(tuple(c) for c in cuts), len(cuts) == classes)
 
 
-def assign_splits(labels: DataFrame, spec: EntitySpec) -> DataFrame:
+def require_unique_ids(labels: DataFrame, spec: EntitySpec) -> None:
+    """Refuse a label table that names an entity twice: it could land in two splits."""
+    twice = labels.groupBy(spec.id_col).count().where(F.col("count") > 1).select(spec.id_col).take(3)
+    if twice:
+        raise ValueError(f"labels name an entity more than once: {[r[0] for r in twice]}")
+
+
+def assign_splits(labels: DataFrame, spec: EntitySpec, checked: bool = False) -> DataFrame:
     """``labels`` with a ``split`` column: exact ratios inside every class.
 
-    Entities of a class are ordered by hash and cut at whole-number ranks
+    An entity may stand there once only, however many classes there are;
+    ``checked`` says that this is known. Entities of a class are ordered by hash and cut at whole-number ranks
     (``n * 7 // 10`` and ``n * 9 // 10`` for 7:2:1), so the same seed gives the
     same split everywhere.
     """
+    if not checked:
+        require_unique_ids(labels, spec)
     plan = fit_split(labels, spec)
     return plan.assign(labels) if plan else assign_splits_ranked(labels, spec)
 

@@ -9,7 +9,8 @@ from dossier.spec import EntitySpec
 
 Vocabulary = dict[str, list[str]]
 
-# Every level becomes output columns, so more than this is a wrong column role.
+# Levels of one column. Every level becomes an output column, so a column with more
+# is taken for a wrong role and refused; ``max_levels`` raises the limit.
 MAX_LEVELS = 10_000
 
 TABLE_SCHEMA = "col string, level string, code int"
@@ -40,13 +41,13 @@ def fit_vocabulary(df: DataFrame, spec: EntitySpec, max_levels: int = MAX_LEVELS
     spec.require(df.columns)
     found = (observed_levels(df, spec)
              .orderBy("col", *level_order(F.col("level")))
-             .limit(max_levels + 1).collect())
-    if len(found) > max_levels:
-        raise ValueError(f"more than {max_levels} category levels; "
-                         f"is one of {list(spec.cat_cols)} not a category?")
+             .limit(max_levels * len(spec.cat_cols) + 1).collect())
     vocabulary: Vocabulary = {c: [] for c in spec.cat_cols}
     for row in found:
         vocabulary[row.col].append(row.level)
+    wide = [c for c, levels in vocabulary.items() if len(levels) > max_levels]
+    if wide:
+        raise ValueError(f"more than {max_levels} levels in {wide}: is that a category column?")
     return {c: [*levels, spec.missing_level] for c, levels in vocabulary.items()}
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from dossier.functions.levels import is_fractional
 from dossier.operators.audits import align_features
@@ -22,6 +25,7 @@ PARAMS = {
     "maxIter": 3000,
     "stepSize": 0.03,
     "maxDepth": 7,
+    "maxBins": 255,
     "minInstancesPerNode": 40,
     "featureSubsetStrategy": "0.2",
     "subsamplingRate": 0.5,
@@ -65,10 +69,11 @@ def fit_trees(train: DataFrame, spec: EntitySpec, expected: list[str],
     """Fit boosted trees on a labelled feature table."""
     work_dir(train.sparkSession)        # boosting checkpoints there every tenth round
     settings = {**PARAMS, **(params or {})}
-    widest = max([32, *[len(levels) for levels in cat_levels.values()]])
+    # A category needs a bin for each of its levels.
+    settings["maxBins"] = max([settings["maxBins"], *[len(levels) for levels in cat_levels.values()]])
     rows = model_input(train, spec, expected, cat_levels, [spec.target_col])
     rows = rows.withColumn("label", F.col(spec.target_col).cast("double"))
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxBins=widest,
+    trees = GBTClassifier(featuresCol="features", labelCol="label",
                           checkpointInterval=10, **settings)
     return Pipeline(stages=[
         VectorAssembler(inputCols=expected, outputCol="features"), trees]).fit(rows)
@@ -116,6 +121,12 @@ def _with_parts(rows: DataFrame, model: PipelineModel, keep: list[str]) -> DataF
             F.get(F.col("values"), i), x.cast("int"))).alias("parts"))
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _running(parts: pd.Series) -> pd.Series:
+    """The running sums of each row's numbers."""
+    return parts.map(np.cumsum)
+
+
 def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x)
 
@@ -133,27 +144,21 @@ def score(features: DataFrame, model: PipelineModel, spec: EntitySpec,
 
 
 def staged_scores(features: DataFrame, model: PipelineModel, spec: EntitySpec,
-                  cat_levels: Mapping[str, list[str]], every: int = 50,
+                  cat_levels: Mapping[str, list[str]], every: int = 1,
                   keep: list[str] = ()) -> DataFrame:
-    """``(id, *keep, iteration, prediction)`` at the first round and every ``every`` rounds.
+    """``(id, *keep, iteration, prediction)`` at every round, or every ``every`` rounds and the ends.
 
-    One pass over the rows finds the leaf of every tree; all checkpoints follow
-    from sums over stretches of trees.
+    One pass over the rows finds the leaf of every tree; all rounds follow from
+    one running sum over the trees, taken for a batch of rows at once.
     """
     rounds = trees_of(model).getNumTrees
-    stops = sorted({1, rounds, *range(every, rounds + 1, every)})
     kept = [spec.id_col, *keep]
     rows = model_input(features, spec, expected_features(model), cat_levels, list(keep))
     parts = _with_parts(rows, model, kept)
-    stretches = F.array(*[_sum(F.slice("parts", first + 1, last - first))
-                          for first, last in zip([0, *stops], stops)])
-    summed = parts.select(*kept, stretches.alias("stretches"))
-    staged = F.array(*[
-        F.struct(F.lit(stop).alias("iteration"),
-                 probability(_sum(F.slice("stretches", 1, i))).alias("prediction"))
-        for i, stop in enumerate(stops, start=1)])
-    return summed.select(*kept, F.explode(staged).alias("m")).select(
-        *kept, "m.iteration", "m.prediction")
+    staged = parts.select(*kept, F.posexplode(_running("parts")).alias("place", "margin")).select(
+        *kept, (F.col("place") + 1).alias("iteration"), probability(F.col("margin")).alias("prediction"))
+    at = F.col("iteration")
+    return staged.where((at == 1) | (at == rounds) | (at % every == 0))
 
 
 def staged_metric(staged: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -161,17 +166,47 @@ def staged_metric(staged: DataFrame, spec: EntitySpec) -> DataFrame:
     return ranking_metric(staged, spec.id_col, spec.target_col, "prediction", ["iteration"])
 
 
-def node_table(spark: SparkSession, model_path: str) -> DataFrame:
-    """The inner nodes of a saved model: one row per split, with its gain."""
+def node_table(spark: SparkSession, model_path: str, rounds: int | None = None) -> DataFrame:
+    """The inner nodes of a saved model, one row per split with its total gain.
+
+    The stored gain is a decrease per row of the node, so it is weighed by the
+    node's rows. ``rounds`` keeps the first trees only.
+    """
+    if rounds is not None and rounds < 1:
+        raise ValueError(f"a model keeps one round or more, not {rounds}")
     nodes = spark.read.parquet(f"{model_path}/stages/*/data")
+    if rounds is not None:
+        nodes = nodes.where(F.col("treeID") < rounds)
     node = nodes.select("treeID", "nodeData.*")
     return node.where(F.col("leftChild") >= 0).select(
-        "treeID", F.col("split.featureIndex").alias("feature_index"), "gain")
-
-
-def feature_gains(spark: SparkSession, model_path: str, features: list[str]) -> DataFrame:
+        "treeID", F.col("split.featureIndex").alias("feature_index"),
+        (F.col("gain") * F.col("rawCount")).alias("gain"))
+
+
+def cut_saved_model(spark: SparkSession, model: PipelineModel, path: str, rounds: int) -> None:
+    """Save a model with its first ``rounds`` trees only."""
+    if not 1 <= rounds <= trees_of(model).getNumTrees:
+        raise ValueError(f"cannot keep {rounds} of {trees_of(model).getNumTrees} rounds")
+    model.write().overwrite().save(path)
+    if rounds == trees_of(model).getNumTrees:
+        return
+    whole = scratch_path(spark, "whole-model")
+    model.write().save(whole)
+    place = f"stages/{len(model.stages) - 1}_{trees_of(model).uid}"
+    for part in ("data", "treesMetadata"):
+        rows = spark.read.parquet(f"{whole}/{place}/{part}")
+        (rows.where(F.col(rows.columns[0]) < rounds)        # the tree's number
+         .write.mode("overwrite").parquet(f"{path}/{place}/{part}"))
+    facts = json.loads(spark.read.text(f"{whole}/{place}/metadata").first()[0])
+    facts["numTrees"] = rounds
+    (spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{path}/{place}/metadata"))
+
+
+def feature_gains(spark: SparkSession, model_path: str, features: list[str],
+                  rounds: int | None = None) -> DataFrame:
     """``(feature, gain, splits)`` for every feature of a saved model, unused ones at zero."""
-    used = node_table(spark, model_path).groupBy("feature_index").agg(
+    used = node_table(spark, model_path, rounds).groupBy("feature_index").agg(
         F.sum("gain").alias("gain"), F.count("*").alias("splits"))
     names = spark.createDataFrame(list(enumerate(features)), "feature_index int, feature string")
     return names.join(used, "feature_index", "left").select(

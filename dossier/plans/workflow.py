@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from dossier.functions.digest import files_digest, json_digest, split_digest, table_digest
+from dossier.functions.digest import (
+    files_digest, json_digest, row_number_of, split_digest, table_digest)
 from dossier.functions.naming import last_feature
 from dossier.operators.audits import overflow_audit, require_same_columns
 from dossier.operators.collapse import BATCH_AGGREGATES, collapse
 from dossier.operators.importance import (
     importance_table, merge_by_base, ranked, top_features, unused_features)
-from dossier.operators.joins import (
-    join_labels, label_audit, require_matches, unique_rows)
+from dossier.operators.joins import join_labels, unique_rows
 from dossier.operators.metric import ranking_metric
 from dossier.operators.selection import best_iteration
 from dossier.operators.splits import (
     assign_splits, class_balance, label_coverage, route_labelled, split_overlap, split_report)
-from dossier.operators.vocabulary import Vocabulary
+from dossier.operators.vocabulary import Vocabulary, unseen_levels
 from dossier.plans import model as trees
-from dossier.session import scratch_path
+from dossier.session import remove_scratch, scratch_path
 from dossier.sources import lineage, registry
 from dossier.sources.artifacts import ensure_vocabulary, load_vocabulary, materialize
 from dossier.sources.writers import write_csv, write_splits, write_table
@@ -54,21 +55,34 @@ def code_levels(vocabulary: Vocabulary) -> dict[str, list[str]]:
 def split_job(spark: SparkSession, statements: DataFrame, labels: DataFrame, out: str,
               spec: EntitySpec, narrow: bool = False) -> SplitResult:
     """Cut labels into stratified splits, send statements after them, record where all came from."""
-    truth = unique_rows(labels.select(spec.id_col, spec.target_col), spec.id_col)
-    digest = table_digest(truth).select(
-        split_digest(F.concat_ws(":", "n_rows", "digest"), spec.seed, spec.ratios)).first()[0]
+    # Checked once, then read many times.
+    checked = scratch_path(spark, "checked-labels")
+    write_table(unique_rows(labels.select(spec.id_col, spec.target_col), spec.id_col), checked)
+    truth = spark.read.parquet(checked)
     statement_path, label_path = f"{out}/statements", f"{out}/labels"
-    write_splits(assign_splits(truth, spec), label_path)
+    write_splits(assign_splits(truth, spec, checked=True), label_path)
     assigned = spark.read.parquet(label_path)
     known = assigned.select(spec.id_col, spec.target_col)
-    write_splits(route_labelled(statements, known, spec), statement_path, narrow=narrow)
+    # The statements' digest is taken while they are written.
+    seen = Observation()
+    sent = route_labelled(statements, known, spec).observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(row_number_of(statements.columns)).alias("sum"))
+    write_splits(sent, statement_path, narrow=narrow)
     routed = spark.read.parquet(statement_path)
+    source = table_digest(truth).select(F.concat_ws(
+        ":", "n_rows", "digest", F.lit(str(seen.get["n"])), F.lit(str(seen.get["sum"])))).first()[0]
+    digest = spark.range(1).select(split_digest(F.lit(source), spec.seed, spec.ratios)).first()[0]
 
     log = f"{out}/lineage"
     counts = {r["split"]: r for r in split_report(routed, spec).collect()}  # one row per split
+    balance = {r["split"]: r for r in class_balance(assigned, spec).collect()}
+    remove_scratch(spark, checked)
     for name in spec.ratios:
-        common = {"split_id": digest, "seed": spec.seed, "produced_by": "split_job"}
-        lineage.record(spark, log, folder(label_path, name), **common)
+        common = {"split_id": digest, "seed": spec.seed, "produced_by": "split_job",
+                  "ratios": json.dumps(spec.ratios), "source_digest": json_digest(source)}
+        held = balance.get(name)
+        lineage.record(spark, log, folder(label_path, name), **common,
+                       customers=held.n_entities if held else 0, positives=held.n_positive if held else 0)
         if name in counts:
             lineage.record(spark, log, folder(statement_path, name), rows=counts[name].n_rows,
                            customers=counts[name].n_entities, **common)
@@ -86,17 +100,22 @@ def collapse_job(spark: SparkSession, source: str, out: str, log: str, spec: Ent
     statements = spark.read.parquet(source)
     inputs = {"source": files_digest(statements), "vocabulary": json_digest(vocabulary),
               "feature_version": FEATURE_VERSION}
-    features = materialize(
-        spark, lambda: collapse(statements, spec, vocabulary, batch=BATCH_AGGREGATES),
-        out, inputs, force)
+
+    def build() -> DataFrame:
+        # What the collapse folds into the missing level is written beside the features.
+        write_table(unseen_levels(statements, spec, vocabulary), f"{out}/unseen")
+        return collapse(statements, spec, vocabulary, batch=BATCH_AGGREGATES)
+
+    features = materialize(spark, build, out, inputs, force)
     lineage.inherit(spark, log, out, source, categories_digest=inputs["vocabulary"],
                     source_digest=inputs["source"], feature_version=FEATURE_VERSION,
-                    produced_by="collapse_job", features=len(features.columns) - 1)
+                    produced_by="collapse_job", features=len(features.columns) - 1,
+                    customers=features.count(), levels=sum(map(len, vocabulary.values())))
     return features
 
 
 def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: EntitySpec,
-              params: dict | None = None, patience: int = trees.PATIENCE, every: int = 50,
+              params: dict | None = None, patience: int = trees.PATIENCE, every: int = 1,
               force: bool = False, code_version: str | None = None) -> str:
     """Fit on the train split, pick the round on the validation split, register the run."""
     log = f"{split_dir}/lineage"
@@ -112,7 +131,15 @@ def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: Ent
     split_id = lineage.require_same_split(spark, log, *table.values(), *truth.values())
     require_same_columns(features["train"], features["validation"])
 
-    labelled = {n: join_labels(features[n], spark.read.parquet(truth[n]), spec) for n in source}
+    labelled, report, scratch = {}, {}, []
+    for n in source:
+        seen, path = Observation(), scratch_path(spark, f"labelled-{n}")
+        write_table(join_labels(features[n], spark.read.parquet(truth[n]), spec, seen), path)
+        scratch.append(path)
+        labelled[n] = spark.read.parquet(path)
+        shares = class_balance(labelled[n], spec, by=None).first()
+        report[n] = {"rows": seen.get["n_rows"], "unlabelled": seen.get["n_unlabelled"],
+                     "positives": shares.n_positive, "positive_share": shares.positive_share}
     expected = [c for c in features["train"].columns if c != spec.id_col]
     levels = code_levels(vocabulary)
     settings = {**trees.PARAMS, "seed": spec.seed, **(params or {})}
@@ -138,23 +165,27 @@ def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: Ent
         "trained_on": table["train"], "validated_on": table["validation"],
         "inputs": {path: lineage.split_id_of(spark, log, path)
                    for path in (*table.values(), *truth.values())},
-        "code_version": code_version,
+        "code_version": code_version, "labels": report,
     }
-    registry.save_run(spark, registry_root, run_id, model, meta)
+    registry.save_run(spark, registry_root, run_id, lambda path: trees.cut_saved_model(
+        spark, model, path, picked.best_iteration), meta)
+    lineage.record(spark, log, registry.run_dir(registry_root, run_id), split_id=split_id, run_id=run_id,
+                   seed=spec.seed, produced_by="train_job", feature_version=FEATURE_VERSION,
+                   features=len(expected), customers=report["train"]["rows"],
+                   unlabelled=report["train"]["unlabelled"], positives=report["train"]["positives"],
+                   levels=sum(map(len, vocabulary.values())), code_version=code_version)
+    remove_scratch(spark, staged_path, staged_metrics, *scratch)
     return run_id
 
 
 def check_model_fits(meta: dict | None, data_split: str | None) -> None:
-    """Refuse features of another version, or a holdout of another split."""
-    if not meta:
-        return
-    if meta.get("feature_version") != FEATURE_VERSION:
-        raise ValueError(f"model has feature version {meta.get('feature_version')}, "
-                         f"features are version {FEATURE_VERSION}: retrain")
-    model_split = meta.get("split_id")
-    if model_split and data_split and model_split != data_split:
-        raise ValueError(f"model was trained on split {model_split}, the data is of split "
-                         f"{data_split}: they cannot be compared")
+    """Refuse features of another version, or a holdout of another split; a loose model is taken as it is."""
+    version, split = (meta or {}).get("feature_version", FEATURE_VERSION), (meta or {}).get("split_id")
+    if version != FEATURE_VERSION:
+        raise ValueError(f"this build makes features of version {FEATURE_VERSION} and the model knows "
+                         f"version {version}; retrain it")
+    if None not in (split, data_split) and split != data_split:
+        raise ValueError(f"model and data cannot be compared: splits {split} and {data_split}")
 
 
 def predict_job(spark: SparkSession, source: str, split_dir: str, registry_root: str, out: str,
@@ -199,20 +230,23 @@ def evaluate_job(spark: SparkSession, statements: DataFrame, labels: DataFrame,
                  rounds: int | None = None) -> DataFrame:
     """``(auc, n_evaluated, n_unmatched)`` of raw statements against labels.
 
-    Scores are written once, as the metric reads them more than once.
+    The labelled scores are written once, as the metric reads them more than once.
     """
     missing = [c for c in (spec.id_col, spec.target_col) if c not in labels.columns]
     if missing:
         raise KeyError(f"labels lack column(s) {missing}")
-    path = scratch_path(spark, "scores")
-    write_table(score_statements(statements, model, spec, vocabulary, rounds), path)
-    scores = spark.read.parquet(path)
-    audit = require_matches(label_audit(scores, labels, spec)).first()
-    metric = ranking_metric(join_labels(scores, labels, spec), spec.id_col, spec.target_col,
-                            "predicted_probability")
-    return metric.select(F.round("auc", 6).alias("auc"),
-                         F.lit(audit.n_evaluated).alias("n_evaluated"),
-                         F.lit(audit.n_unmatched).alias("n_unmatched"))
+    seen, path = Observation(), scratch_path(spark, "labelled-scores")
+    scores = score_statements(statements, model, spec, vocabulary, rounds)
+    write_table(join_labels(scores, labels, spec, seen), path)
+    unmatched = seen.get["n_unlabelled"]
+    evaluated = seen.get["n_rows"] - unmatched
+    if not evaluated:
+        raise ValueError("none of the scored ids has a label: different datasets?")
+    auc = ranking_metric(spark.read.parquet(path), spec.id_col, spec.target_col,
+                         "predicted_probability").select(F.round("auc", 6)).first()[0]
+    remove_scratch(spark, path)
+    return spark.createDataFrame([(auc, evaluated, unmatched)],
+                                 "auc double, n_evaluated long, n_unmatched long")
 
 
 def importance_job(spark: SparkSession, registry_root: str, out: str, run_id: str | None = None,
@@ -221,7 +255,7 @@ def importance_job(spark: SparkSession, registry_root: str, out: str, run_id: st
     path = registry.resolve_model(spark, registry_root, run_id, model_path)
     meta = registry.load_meta(spark, path) or {}
     features = meta.get("feature_name") or trees.expected_features(PipelineModel.load(path))
-    gains = trees.feature_gains(spark, path, features)
+    gains = trees.feature_gains(spark, path, features, meta.get("best_iteration"))
     table = importance_table(gains, meta.get("cat_cols") or ())
     merged = merge_by_base(table)
     write_csv(ranked(table), f"{out}/gain")

@@ -49,6 +49,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/dossier/{name}-{uuid.uuid4().hex}"
 
 
-def width(spark: SparkSession, at_most: int = 2000) -> int:
-    """How many ranges to cut a global order into for this session."""
-    return max(8, min(at_most, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that ``scratch_path`` named and nothing reads any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        if not path.startswith(f"{work_dir(spark)}/dossier/"):
+            raise ValueError(f"{path} is no scratch table")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+
+
+ROWS_PER_RANGE = 10_000_000
+
+
+def width(spark: SparkSession, rows: int = 0) -> int:
+    """How many ranges to cut a global order of so many rows into."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 LINEAGE_SCHEMA = (
     "artifact string, written timestamp, split_id string, seed long, source string, "
     "source_digest string, categories_digest string, feature_version long, run_id string, "
-    "produced_by string, customers long, rows long, features long, code_version string")
+    "produced_by string, customers long, rows long, features long, code_version string, "
+    "ratios string, levels long, positives long, unlabelled long")
 FIELDS = [part.split()[0] for part in LINEAGE_SCHEMA.split(", ")]
 
 
@@ -75,5 +76,5 @@ def require_same_split(spark: SparkSession, log: str, *artifacts: str) -> str |
     known = {row.artifact: row.split_id for row in rows if row.split_id}
     if len(set(known.values())) > 1:
         listed = ", ".join(f"{a}={s}" for a, s in sorted(known.items()))
-        raise ValueError(f"artifacts of different splits cannot be compared: {listed}")
+        raise ValueError(f"these come from different splits: {listed}")
     return next(iter(known.values())) if len(known) == len(set(artifacts)) and known else None

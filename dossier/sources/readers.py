@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import re
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Types a CSV column may turn out to have, narrowest first.
 PROBED_TYPES = ("bigint", "date", "timestamp", "double")
 DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# Control characters, and the mark a decoder leaves for bytes that are no text.
+NOT_TEXT = "[\\x00-\\x08\\x0E-\\x1F\uFFFD]"
 TIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d"
 
 
@@ -18,21 +23,37 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A CSV table under a fixed schema: no inference pass, and splits read in parallel."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """A CSV table under a fixed schema: no inference pass, and splits read in parallel.
+
+    A value that is not of its column's type, or a row with too many or too few
+    values, fails the job; nothing is turned into a null.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = (spark.read.schema(texts).option("header", True).option("enforceSchema", False)
+           .option("mode", "FAILFAST").csv(path))
+    return raw.select(*[_typed(F.col(f"`{f.name}`"), f) for f in schema.fields])
+
+
+def _typed(text: Column, field: T.StructField) -> Column:
+    """A text as its column's type, or an error that shows it."""
+    if isinstance(field.dataType, T.StringType):
+        return text.alias(field.name)
+    kind = field.dataType.simpleString()
+    value = text.try_cast(kind)
+    odd = F.raise_error(F.concat(F.lit(f"column {field.name} holds a value that is no {kind}: "), text))
+    return F.when(text.isNotNull() & value.isNull(), odd.cast(kind)).otherwise(value).alias(field.name)
 
 
 def probe_schema(spark: SparkSession, path: str,
-                 text_cols: list[str] | tuple[str, ...] = (),
-                 head_rows: int = 10_000) -> T.StructType:
-    """The schema of a CSV table, judged by its first rows.
+                 text_cols: list[str] | tuple[str, ...] = ()) -> T.StructType:
+    """The schema of a CSV table, judged by all of its rows in one aggregate.
 
-    A column without any value there counts as a number; ``text_cols`` (ids)
-    stay text whatever they look like. Only the head is read, which Spark
-    fetches from the first split alone.
+    A column without any value counts as a number; ``text_cols`` (ids) stay text
+    whatever they look like. A file that holds control characters or bytes that
+    are no text is refused.
     """
     raw = spark.read.option("header", True).csv(path)
-    head = spark.createDataFrame(raw.take(head_rows), raw.schema)
 
     def all_match(test):
         return F.coalesce(F.bool_and(test), F.lit(True))
@@ -42,6 +63,7 @@ def probe_schema(spark: SparkSession, path: str,
         c = F.col(f"`{name}`")
         checks += [
             (F.count(c) == 0).alias(f"{i}_empty"),
+            F.coalesce(F.bool_or(c.rlike(NOT_TEXT)), F.lit(False)).alias(f"{i}_odd"),
             all_match(F.nullif(c, F.lit("")).try_cast("bigint").isNotNull() | c.isNull())
             .alias(f"{i}_bigint"),
             all_match(c.rlike(DATE_TEXT) & c.try_cast("date").isNotNull()).alias(f"{i}_date"),
@@ -49,42 +71,54 @@ def probe_schema(spark: SparkSession, path: str,
             .alias(f"{i}_timestamp"),
             all_match(c.try_cast("double").isNotNull() | c.isNull()).alias(f"{i}_double"),
         ]
-    verdict = head.agg(*checks).first()
+    verdict = raw.agg(*checks).first()
     fields = []
     for i, name in enumerate(raw.columns):
+        if verdict[f"{i}_odd"] or re.search(NOT_TEXT, name):
+            raise ValueError(f"{path} is not a text table: column {i + 1} holds control characters")
         if name in text_cols:
             kind = "string"
         elif verdict[f"{i}_empty"]:
             kind = "double"
         else:
             kind = next((t for t in PROBED_TYPES if verdict[f"{i}_{t}"]), "string")
-        fields.append(f"`{name}` {kind}")
-    return T.StructType.fromDDL(", ".join(fields))
+        fields.append(T.StructField(name, T._parse_datatype_string(kind)))
+    return T.StructType(fields)
+
+
+def _no_parquet(error: Exception) -> bool:
+    """Whether an error says that a file has no parquet footer."""
+    return any(sign in str(error) for sign in (
+        "CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "UNABLE_TO_INFER_SCHEMA"))
 
 
 def read_statements(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                     text_cols: list[str] | tuple[str, ...] = (),
-                    kind: str | None = None) -> DataFrame:
+                    kind: str | None = None, id_col: str | None = None) -> DataFrame:
     """Statements or labels, parquet or CSV.
 
-    The format follows the file extension; anything else is tried as parquet,
-    then as CSV. A CSV without a given schema is probed. Id columns named in
-    ``text_cols`` are text in both formats.
+    The format follows the file extension; a file without one is parquet if it
+    has a parquet footer, else CSV. Other errors (a missing file, no permission)
+    are raised as they are. A CSV without a given schema is probed. Id columns
+    named in ``text_cols`` are text in both formats; ``id_col``, where given, must
+    be there.
     """
     kind = kind or next((k for k in ("parquet", "csv") if path.rstrip("/").endswith(f".{k}")), None)
     if kind not in (None, "parquet", "csv"):
         raise ValueError(f"cannot read {kind!r}: expected parquet or csv")
-    if kind in (None, "parquet"):
+    rows = None
+    if kind != "csv":
         try:
-            df = spark.read.parquet(path)
-            return df.withColumns({c: F.col(c).cast("string") for c in text_cols})
-        except Exception as error:
-            if kind == "parquet" or "PATH_NOT_FOUND" in str(error):
+            rows = spark.read.parquet(path)
+            rows = rows.withColumns({c: F.col(f"`{c}`").cast("string") for c in text_cols if c in rows.columns})
+        except (PySparkException, Py4JJavaError) as error:
+            if kind == "parquet" or not _no_parquet(error):
                 raise
-    try:
-        return read_csv(spark, path, schema or probe_schema(spark, path, text_cols))
-    except AnalysisException as error:
-        raise ValueError(f"could not read {path} as parquet or csv: {error}") from error
+    if rows is None:
+        rows = read_csv(spark, path, schema or probe_schema(spark, path, text_cols))
+    if id_col and id_col not in rows.columns:
+        raise ValueError(f"{path} has no column {id_col}: it is no statement table")
+    return rows
 
 
 def table_shape(df: DataFrame) -> DataFrame:

@@ -53,4 +53,4 @@ class EntitySpec:
         wanted = [self.id_col, *self.order_cols, *self.cat_cols]
         absent = [c for c in wanted if c not in columns]
         if absent:
-            raise KeyError(f"missing required column(s): {absent}")
+            raise KeyError(f"a statement table needs {wanted}; this one lacks {absent}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,8 +53,12 @@ def collapse_stream(stream: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
     entity, and arrival order is irrelevant because "last" goes by date. Each
     batch writes only the entities it changed, to a folder named by its number,
     so a replayed batch overwrites itself. ``then`` maps the changed feature
-    rows before they are written, e.g. to score them.
+    rows before they are written, e.g. to score them. A new checkpoint starts at
+    batch 0 again, so it is refused over a folder that already holds batches.
     """
+    spark = stream.sparkSession
+    if holds_files(spark, out) and not holds_files(spark, checkpoint):
+        raise ValueError(f"{out} holds batches of another checkpoint than {checkpoint}")
     features = collapse(stream, spec, vocabulary, value_type)
 
     def write(batch: DataFrame, number: int) -> None:
@@ -65,6 +70,17 @@ def collapse_stream(stream: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
             .trigger(availableNow=True).start())
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is any file under ``path``; the files are listed, not read."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return not files.select("path").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def latest_features(changes: DataFrame, id_col: str, batch: str = "batch") -> DataFrame:
     """The current row per entity from the change table of ``collapse_stream``."""
     others = [c for c in changes.columns if c not in (id_col, batch)]

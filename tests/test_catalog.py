@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import duck, difference
+from dossier.queries.catalog import QUERIES
+from dossier.queries.oracles import ORACLES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = {"train_score_evaluate", "staged_metric", "gbt_importance"}
 
 
@@ -26,3 +27,7 @@ def test_query_agrees_with_sql(spark, sf, connection, name):
 
 def test_entry_returns_rows(spark, sf):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_holds_every_query(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())

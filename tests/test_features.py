@@ -250,3 +250,9 @@ def test_digest_of_a_known_vocabulary():
     }
     assert json_digest(known) == "9f16d9d9ee03"
     assert len(feature_names([f"n{i}" for i in range(177)], known)) == 775
+
+
+def test_digests_of_rows_that_look_alike_differ(spark):
+    rows = [("a|b", "c", None), ("a", "b|c", "\\N"), ("a", "b|c", None), ("a|b|c", "", None), ("a", None, "-")]
+    digests = {table_digest(spark.createDataFrame([r], "x string, y string, z string")).first().digest for r in rows}
+    assert len(digests) == len(rows)

@@ -134,8 +134,51 @@ def test_vocabulary_is_saved_once(spark, folder):
     first = artifacts.ensure_vocabulary(statements, SPEC, path)
     assert first == artifacts.load_vocabulary(spark, path) == {"cat": ["hi", "lo", "NaN"]}
     fewer = statements.where("cat = 'hi'")
-    assert artifacts.ensure_vocabulary(fewer, SPEC, path) == first
+    written = artifacts.receipt(spark, path)
+    assert artifacts.ensure_vocabulary(statements, SPEC, path) == first
+    assert artifacts.receipt(spark, path) == written
+    # Other training rows, as after another split, give another vocabulary.
+    assert artifacts.ensure_vocabulary(fewer, SPEC, path) == {"cat": ["hi", "NaN"]}
     assert artifacts.ensure_vocabulary(fewer, SPEC, path, force=True) == {"cat": ["hi", "NaN"]}
+    assert artifacts.receipt(spark, path) != written
+
+
+def test_a_failed_rebuild_leaves_the_earlier_table(spark, folder):
+    path, key = f"{folder}/t", {"a": 1}
+    artifacts.materialize(spark, lambda: spark.range(3), path, key)
+    broken = spark.range(3).select(F.raise_error(F.lit("stopped half way")).cast("long").alias("id"))
+    with pytest.raises(PySparkException, match="half way"):
+        artifacts.materialize(spark, lambda: broken, path, key, force=True)
+    assert artifacts.materialize(spark, lambda: broken, path, key).count() == 3
+
+
+def test_late_csv_values_are_neither_lost_nor_mistyped(spark, folder):
+    rows = [(i, None) for i in range(12_000)] + [(f"{i}.5", f"text {i}") for i in range(500)]
+    path = f"{folder}/late.csv"
+    with open(path, "w") as out:
+        out.write("v,w\n" + "".join(f"{v},{w or ''}\n" for v, w in rows))
+    got = readers.read_statements(spark, path)
+    assert [f.dataType for f in got.schema.fields] == [T.DoubleType(), T.StringType()]
+    assert got.agg(F.count("v"), F.count("w")).first() == (12_500, 500)
+    with pytest.raises(PySparkException, match="no bigint"):
+        readers.read_csv(spark, path, "v bigint, w string").agg(F.sum("v")).collect()
+    with open(f"{folder}/ragged.csv", "w") as out:
+        out.write("v,w\n1,2\n1,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):
+        readers.read_csv(spark, f"{folder}/ragged.csv", "v bigint, w bigint").collect()
+
+
+def test_bytes_that_are_no_table_are_refused(spark, folder):
+    with open(f"{folder}/noise", "wb") as out:
+        out.write(random.Random(1).randbytes(4000))
+    with pytest.raises(ValueError, match="control characters"):
+        readers.read_statements(spark, f"{folder}/noise")
+    with pytest.raises(PySparkException):
+        readers.read_statements(spark, f"{folder}/missing")
+    with open(f"{folder}/other.csv", "w") as out:
+        out.write("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="no column id"):
+        readers.read_statements(spark, f"{folder}/other.csv", id_col="id")
 
 
 def test_tables_are_built_once_per_inputs(spark, folder):
@@ -207,8 +250,22 @@ def test_split_train_predict_evaluate_report(spark, folder):
     assert cut.overlap.agg(F.sum("n_shared")).first()[0] == 0
     assert cut.coverage.agg(F.sum("n_never_seen")).first()[0] == 0
     assert cut.overflow.count() == 0
-    assert {r.split: r.n_entities for r in cut.balance.collect()} == {
-        "train": 209, "validation": 61, "test": 30} or cut.balance.count() == 3
+    balance = {r.split: (r.n_entities, r.n_positive) for r in cut.balance.collect()}
+    positives = labels.agg(F.sum("target")).first()[0]
+    per_class = [positives, 300 - positives]
+    assert {s: n for s, (n, _) in balance.items()} == {
+        "train": sum(n * 7 // 10 for n in per_class),
+        "validation": sum(n * 9 // 10 - n * 7 // 10 for n in per_class),
+        "test": sum(n - n * 9 // 10 for n in per_class)}
+    known = lineage.get(spark, f"{folder}/split/lineage", workflow.folder(cut.labels, "train"))
+    assert (known.customers, known.positives) == balance["train"] and '"train": 7' in known.ratios
+    # Other statements under the same labels are another split.
+    fewer = workflow.split_job(spark, statements.where("seq < 3"), labels, f"{folder}/other", SPEC)
+    assert fewer.split_id != cut.split_id
+    with pytest.raises(ValueError, match="different splits"):
+        lineage.record(spark, f"{folder}/split/lineage", "foreign", split_id=fewer.split_id)
+        lineage.require_same_split(spark, f"{folder}/split/lineage", "foreign",
+                                   workflow.folder(cut.labels, "train"))
 
     params = {"maxIter": 6, "maxDepth": 3, "subsamplingRate": 1.0, "minInstancesPerNode": 5,
               "featureSubsetStrategy": "all", "stepSize": 0.3}
@@ -217,6 +274,15 @@ def test_split_train_predict_evaluate_report(spark, folder):
     meta = registry.load_meta(spark, f"{folder}/runs/{run}/model")
     assert meta["split_id"] == cut.split_id and 1 <= meta["best_iteration"] <= 6
     assert registry.list_runs(spark, f"{folder}/runs").first().score == meta["valid_metric"]["score"]
+    saved = PipelineModel.load(f"{folder}/runs/{run}/model")
+    assert trees.trees_of(saved).getNumTrees == meta["best_iteration"]
+    report = meta["labels"]["train"]
+    strange = strangers.select("id").distinct().count()        # unlabelled entities go to the first split
+    assert (report["rows"], report["unlabelled"]) == (balance["train"][0] + strange, strange)
+    assert report["positives"] == balance["train"][1]
+    record = lineage.get(spark, f"{folder}/split/lineage", f"{folder}/runs/{run}")
+    assert (record.customers, record.unlabelled) == (report["rows"], strange)
+    assert spark.read.parquet(f"{folder}/split/features/train/unseen").count() == 0
     typed = registry.read_metas(spark, f"{folder}/runs").first()
     assert typed.categories == meta["categories"] and typed.run_id == run
 
@@ -246,6 +312,12 @@ def test_split_train_predict_evaluate_report(spark, folder):
     written = spark.read.option("header", True).csv(f"{folder}/importance/gain")
     assert written.count() == len(meta["feature_name"])
 
+    own = {f: g for f, g in zip(meta["feature_name"], trees.trees_of(saved).featureImportances.toArray())}
+    for r in ranking["table"].collect():
+        assert abs(r.gain_pct / 100 - own[r.feature]) < 1e-9
+    lineage.record(spark, f"{folder}/split/lineage", test, split_id="another-cut!")
+    with pytest.raises(ValueError, match="cannot be compared"):
+        workflow.predict_job(spark, test, f"{folder}/split", f"{folder}/runs", f"{folder}/out2", SPEC)
     with pytest.raises(ValueError, match="cannot be compared"):
         workflow.check_model_fits(meta, "another-cut!")
     with pytest.raises(ValueError, match="retrain"):
@@ -262,6 +334,12 @@ def test_staged_scores_end_at_the_full_model(spark):
     model = trees.fit_trees(rows, SPEC, expected, levels, {
         "maxIter": 4, "maxDepth": 2, "minInstancesPerNode": 2, "subsamplingRate": 1.0,
         "featureSubsetStrategy": "all"})
+    every = trees.staged_scores(rows, model, SPEC, levels)
+    assert sorted({r.iteration for r in every.collect()}) == [1, 2, 3, 4]
+    for k in range(1, 5):       # each round is the model of that many trees
+        part = {r.id: r.prediction for r in trees.score(rows, model, SPEC, levels, rounds=k).collect()}
+        own = {r.id: r.prediction for r in every.where(F.col("iteration") == k).collect()}
+        assert all(abs(part[i] - own[i]) < 1e-12 for i in part)
     staged = trees.staged_scores(rows, model, SPEC, levels, every=2)
     assert sorted({r.iteration for r in staged.collect()}) == [1, 2, 4]
     full = {r.id: r.prediction for r in trees.score(rows, model, SPEC, levels).collect()}
@@ -322,7 +400,12 @@ def test_stream_of_files_gives_the_batch_result(spark, folder):
         for x, y in zip(a, b):
             assert x == y or abs(x - y) < 1e-6
 
+    with pytest.raises(ValueError, match="another checkpoint"):
+        jobs.collapse_stream(stream, SPEC, vocabulary, f"{folder}/changes", f"{folder}/cp9")
+
     from dossier.operators.splits import assign_splits
+    with pytest.raises(ValueError, match="more than once"):
+        assign_splits(labels.unionByName(labels.limit(1)), SPEC)
     assigned = assign_splits(labels.where("id <> 'e7'"), replace(SPEC, cat_cols=()))
     stream = jobs.read_stream(spark, f"{folder}/feed", statements.schema, files_per_batch=2)
     jobs.route_stream(stream, assigned, SPEC, f"{folder}/routed", f"{folder}/cp2").awaitTermination()
@@ -335,3 +418,50 @@ def test_stream_of_files_gives_the_batch_result(spark, folder):
                       broadcast_bytes=0).awaitTermination()
     salted = spark.read.parquet(f"{folder}/salted")
     assert sorted(salted.select(pick).collect()) == sorted(batch.select(pick).collect())
+
+
+def test_importance_is_that_of_the_model(spark):
+    """Gains weigh a split by its rows: a split of few rows counts for little."""
+    rng = random.Random(7)
+    rows = spark.createDataFrame(
+        [(f"e{i}", a := rng.random(), b := rng.random(), rng.random(), int(a + 0.1 * b > 0.6)) for i in range(2000)],
+        "id string, a double, b double, c double, target int")
+    model = trees.fit_trees(rows, SPEC, ["a", "b", "c"], {}, {
+        "maxIter": 5, "maxDepth": 4, "minInstancesPerNode": 5, "subsamplingRate": 1.0,
+        "featureSubsetStrategy": "all"})
+    path = tempfile.mkdtemp(prefix="dossier-test-")
+    model.write().overwrite().save(f"{path}/model")
+    gains = {r.feature: r.gain for r in trees.feature_gains(spark, f"{path}/model", ["a", "b", "c"]).collect()}
+    own = trees.trees_of(model).featureImportances.toArray()
+    assert all(abs(gains[f] / sum(gains.values()) - own[i]) < 1e-9 for i, f in enumerate("abc"))
+    assert gains["a"] > 0.9 * sum(gains.values())
+    trees.cut_saved_model(spark, model, f"{path}/cut", 2)
+    cut = {r.feature: r.gain for r in trees.feature_gains(spark, f"{path}/cut", ["a", "b", "c"]).collect()}
+    first = {r.feature: r.gain for r in trees.feature_gains(spark, f"{path}/model", ["a", "b", "c"], 2).collect()}
+    assert cut == first and cut != gains
+    for rounds in (0, -1, 6):
+        with pytest.raises(ValueError):
+            trees.cut_saved_model(spark, model, f"{path}/none", rounds)
+
+
+def test_wide_collapse_without_sequence_reads_the_statements_once(spark, folder):
+    """177 number columns and no seq_col: every data column is scanned once, null ids fail at any width."""
+    spec = EntitySpec(id_col="id", date_col="day", cat_cols=())
+    rows = spark.range(60).select(
+        (F.col("id") % 7).alias("id"), F.lit(dt.date(2024, 1, 1)).alias("day"),
+        *[(F.col("id") * (i + 3) % 101).cast("double").alias(f"x{i}") for i in range(177)])
+    rows.write.parquet(f"{folder}/wide")
+    source = spark.read.parquet(f"{folder}/wide")
+    wide = collapse(source, spec, {}, "double", batch=42)
+    plain = collapse(source, spec, {}, "double")
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, plain.collect()))
+    leaves = wide._jdf.queryExecution().sparkPlan().collectLeaves()
+    assert not {f for f in wide.inputFiles() if f"{folder}/wide" in f}      # the source was read before, once
+    scanned = [leaves.apply(i).output().apply(j).name() for i in range(leaves.size())
+               for j in range(leaves.apply(i).output().size())]
+    numbers = [c for c in scanned if c.startswith("n")]
+    assert leaves.size() > 10 and len(numbers) == len(set(numbers)) == 177
+    for width in (2, 60):
+        odd = source.select(F.lit(None).cast("long").alias("id"), "day", *[f"x{i}" for i in range(width)])
+        with pytest.raises(PySparkException, match="without an id"):
+            collapse(odd, spec, {}, batch=42).collect()

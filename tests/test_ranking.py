@@ -5,11 +5,12 @@ import math
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from dossier import EntitySpec
 from dossier.operators import audits, splits
-from dossier.operators.metric import gain_curve, ranking_metric
+from dossier.operators.metric import gain_curve, metric_totals, ranking_metric
 from dossier.operators.prefix import prefix_sum
 from dossier.operators.selection import best_iteration
 
@@ -236,3 +237,18 @@ def test_best_iteration(spark):
     got = {r.run: (r.best_iteration, r.best_score, r.rounds_run)
            for r in best_iteration(df, runs=["run"], patience=7).collect()}
     assert got == {k: early_stop(p, 7) for k, p in runs.items()}
+
+
+def test_running_sums_of_whole_numbers_past_double_precision(spark):
+    rows = [(i, 2**60 + i, 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, big long, one long").repartition(5)
+    got = prefix_sum(df, "big", "id", {"one": "rank"}, descending=False, ranges=16)
+    assert {r.id: r["rank"] for r in got.collect()} == {i: i + 1 for i in range(200)}
+
+
+@pytest.mark.parametrize("odd", [None, 2, -1])
+def test_a_target_that_is_not_binary_fails(spark, odd):
+    df = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.1), (3, odd, 0.3)], "id long, target int, prediction double")
+    for run in (ranking_metric, metric_totals):
+        with pytest.raises(PySparkException, match="must be 0 or 1"):
+            run(df).collect()
