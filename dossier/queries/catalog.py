@@ -75,6 +75,16 @@ def wide_collapse_batched(spark, sf_dir):
                     batch=BATCH_AGGREGATES)
 
 
+@query
+def wide_collapse_unsequenced(spark, sf_dir):
+    """177 number columns and no sequence number: rows of one day tie, and go by their content."""
+    rows = st.statements(spark, sf_dir).select("o_custkey", "o_orderdate", *[
+        F.when((F.col("o_orderkey") + i) % 7 != 0, F.col("o_orderkey") * (i + 3) % 1009)
+        .alias(f"x{i}") for i in range(177)])
+    out = collapse(rows, replace(ORDERS, seq_col=None, cat_cols=()), {}, "double", batch=BATCH_AGGREGATES)
+    return out.select("o_custkey", *[f"x{i}_{part}" for i in range(177) for part in ("mean", "max")])
+
+
 @query
 def level_shares(spark, sf_dir):
     rows = st.statements(spark, sf_dir)
@@ -202,6 +212,47 @@ def remainder_filter(spark, sf_dir):
                            "o_custkey").select("o_orderkey", "o_custkey")
 
 
+def _order_labels(spark, sf_dir):
+    return st.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("o_custkey"), (F.col("o_orderkey") % 1200).cast("int").alias("target"))
+
+
+@query
+def many_class_split(spark, sf_dir):
+    """More classes than thresholds are kept for."""
+    return splits.assign_splits(_order_labels(spark, sf_dir), CUSTOMERS)
+
+
+@query
+def label_sink(spark, sf_dir):
+    """Label files, one folder per split, read back."""
+    assigned = splits.assign_splits(st.customer_labels(spark, sf_dir), CUSTOMERS)
+    path = writers.write_splits(assigned, scratch_path(spark, "labels"))
+    return spark.read.parquet(path).groupBy("split").agg(
+        F.count("*").alias("n_entities"), F.sum("target").alias("n_positive"))
+
+
+@query
+def aligned_features(spark, sf_dir):
+    """Feature columns in another order, and one too many, put back as a model wants them."""
+    features = numeric_features(st.statements(spark, sf_dir), ORDERS)
+    expected = [c for c in features.columns if c != "o_custkey"]
+    mixed = features.withColumn("extra", F.lit(1)).select("extra", *reversed(features.columns))
+    out = audits.align_features(mixed, "o_custkey", expected)
+    audits.require_same_columns(out, features)
+    return out
+
+
+@query
+def model_inputs(spark, sf_dir):
+    """Missing features as the value below all others, per feature."""
+    features = numeric_features(st.statements(spark, sf_dir), ORDERS)
+    expected = [c for c in features.columns if c != "o_custkey"]
+    rows = trees.model_input(features, ORDERS, expected, {})
+    return rows.unpivot(["o_custkey"], expected, "feature", "value").groupBy("feature").agg(
+        F.count("value").alias("n_values"), F.count_if(F.col("value") == trees.MISSING_VALUE).alias("n_missing"))
+
+
 @query
 def split_report(spark, sf_dir):
     return splits.split_report(_routed(spark, sf_dir), ORDERS)
@@ -223,9 +274,11 @@ def split_overlap(spark, sf_dir):
 
 @query
 def label_coverage(spark, sf_dir):
-    assigned = splits.assign_splits(st.customer_labels(spark, sf_dir), CUSTOMERS)
-    early = st.statements(spark, sf_dir).where(F.col("o_orderdate") < "1996-01-01")
-    return splits.label_coverage(assigned, early, CUSTOMERS)
+    """Every customer is labelled twice, once under an id that has no statement."""
+    known = st.customer_labels(spark, sf_dir)
+    absent = known.withColumn("o_custkey", F.col("o_custkey") + 10_000_000)
+    assigned = splits.assign_splits(known.unionByName(absent), CUSTOMERS)
+    return splits.label_coverage(assigned, st.statements(spark, sf_dir), CUSTOMERS)
 
 
 @query
@@ -327,6 +380,16 @@ def gain_curve_orders(spark, sf_dir):
         "o_orderkey", "cum_weight", "cum_positive")
 
 
+@query
+def running_total_of_large_keys(spark, sf_dir):
+    """Order keys moved past the whole numbers that a double tells apart."""
+    rows = st.table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") + F.lit(1 << 60)).alias("key"),
+        st.cents("o_totalprice").alias("amount"))
+    return prefix_sum(rows, "key", "o_orderkey", {"amount": "cum_amount"}, descending=False).select(
+        "o_orderkey", "cum_amount")
+
+
 @query
 def running_total(spark, sf_dir):
     rows = st.table(spark, sf_dir, "orders").select(
@@ -430,9 +493,32 @@ def base_columns(spark, sf_dir):
 @query
 def csv_statements(spark, sf_dir):
     """Statements written as CSV, probed, and read back under the pinned schema."""
-    path = writers.write_csv(st.statements(spark, sf_dir).drop("half"),
-                             scratch_path(spark, "statements-csv"))
-    return readers.read_statements(spark, path, kind="csv")
+    path = writers.write_csv(st.statements(spark, sf_dir), scratch_path(spark, "statements-csv"))
+    rows = readers.read_statements(spark, path, kind="csv", id_col="o_custkey")
+    return rows.withColumn("half", F.nanvl("half", F.lit(None).cast("double")))
+
+
+@query
+def csv_late_types(spark, sf_dir):
+    """The last orders turn a whole number into a fraction and fill an empty column."""
+    orders = st.table(spark, sf_dir, "orders")
+    late = F.col("o_orderkey") > orders.agg(F.max("o_orderkey")).scalar() * 0.9
+    rows = orders.select(
+        "o_orderkey", F.concat(F.col("o_custkey"), F.when(late, ".5").otherwise("")).alias("v"),
+        F.when(late, F.concat(F.lit("text "), "o_orderkey")).alias("w"))
+    path = writers.write_csv(rows.orderBy("o_orderkey"), scratch_path(spark, "late-csv"))
+    return readers.read_statements(spark, path)
+
+
+@query
+def format_sniffing(spark, sf_dir):
+    """The same rows as parquet and as CSV, both without an extension."""
+    rows = st.statements(spark, sf_dir).select("o_orderkey", "o_custkey", "amount")
+    paths = {"parquet": writers.write_table(rows, scratch_path(spark, "sniffed")),
+             "csv": writers.write_csv(rows, scratch_path(spark, "sniffed"))}
+    read = [readers.read_statements(spark, path).withColumn("kind", F.lit(kind)) for kind, path in paths.items()]
+    return read[0].unionByName(read[1]).groupBy("kind").agg(
+        F.count("*").alias("n_rows"), F.count("amount").alias("n_amounts"), F.sum("amount").alias("amount"))
 
 
 @query
@@ -444,10 +530,11 @@ def split_sink(spark, sf_dir):
 
 @query
 def prediction_sink(spark, sf_dir):
-    scored = st.document_scores(spark, sf_dir).select("doc_id", "prediction")
+    scored = st.document_scores(spark, sf_dir).select(
+        "doc_id", (F.col("prediction") / 8).alias("prediction"))
     path = writers.write_table(scored, scratch_path(spark, "predictions"))
     text = writers.write_csv(spark.read.parquet(path), scratch_path(spark, "predictions-csv"))
-    return readers.read_csv(spark, text, "doc_id bigint, prediction bigint")
+    return readers.read_csv(spark, text, "doc_id bigint, prediction double")
 
 
 @query
@@ -471,10 +558,13 @@ def table_digests(spark, sf_dir):
 
 @query
 def split_id(spark, sf_dir):
-    labels = st.customer_labels(spark, sf_dir)
-    return table_digest(labels).select(split_digest(
-        F.concat_ws(":", F.col("n_rows").cast("string"), "digest"),
-        CUSTOMERS.seed, CUSTOMERS.ratios).alias("split_id"))
+    """Labels and statements both go into the id."""
+    labels = table_digest(st.customer_labels(spark, sf_dir))
+    rows = table_digest(st.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    parts = [c for frame in (labels, rows) for c in (
+        frame.select(F.col("n_rows").cast("string")).scalar(), frame.select("digest").scalar())]
+    return spark.range(1).select(split_digest(
+        F.concat_ws(":", *parts), CUSTOMERS.seed, CUSTOMERS.ratios).alias("split_id"))
 
 
 @query
@@ -582,6 +672,94 @@ def staged_metric(spark, sf_dir):
     return metric.rounded_metric(trees.staged_metric(spark.read.parquet(path), CUSTOMERS))
 
 
+@query
+def staged_rounds(spark, sf_dir):
+    """Every round's scores against those of the model cut to that many trees."""
+    model, levels, held_out, labels, _ = _fitted(spark, sf_dir)
+    features = spark.read.parquet(writers.write_table(
+        collapse(held_out, ORDERS, levels), scratch_path(spark, "held-out-features")))
+    staged = spark.read.parquet(writers.write_table(
+        trees.staged_scores(features, model, CUSTOMERS, code_levels(levels)), scratch_path(spark, "staged")))
+    parts = [trees.score(features, model, CUSTOMERS, code_levels(levels), k, "cut").withColumn("iteration", F.lit(k))
+             for k in range(1, trees.trees_of(model).getNumTrees + 1)]
+    cut = parts[0]
+    for part in parts[1:]:
+        cut = cut.unionByName(part)
+    return staged.join(cut, ["o_custkey", "iteration"], "full").groupBy("iteration").agg(
+        F.count("*").alias("n_rows"),
+        (F.max(F.abs(F.col("prediction") - F.col("cut"))) < 1e-9).alias("equal"))
+
+
+@query
+def evaluated_counts(spark, sf_dir):
+    from dossier.plans.workflow import evaluate_job
+    model, levels, held_out, labels, _ = _fitted(spark, sf_dir)
+    report = evaluate_job(spark, held_out, labels.where("target IS NOT NULL"), model,
+                          replace(ORDERS, target_col="target"), levels)
+    return report.select("n_evaluated", "n_unmatched", F.col("auc").between(0, 1).alias("auc_in_range"))
+
+
+@query
+def importance_shares(spark, sf_dir):
+    """The share of each feature in the node table against the model's own."""
+    model, _, _, _, expected = _fitted(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    own = spark.createDataFrame(
+        list(zip(expected, trees.trees_of(model).featureImportances.toArray().tolist())),
+        "feature string, own double")
+    table = importance.importance_table(trees.feature_gains(spark, path, expected), ORDERS.cat_cols)
+    return table.join(own, "feature").select(
+        "feature", (F.abs(F.col("gain_pct") / 100 - F.col("own")) < 1e-9).alias("agrees"))
+
+
+def _split_run(spark, sf_dir):
+    from dossier.plans.workflow import split_job
+    spec = replace(ORDERS, target_col="target")
+    out = scratch_path(spark, "split-job")
+    return split_job(spark, st.statements(spark, sf_dir), st.customer_labels(spark, sf_dir), out, spec), out, spec
+
+
+@query
+def split_lineage(spark, sf_dir):
+    """What the split job records of each file it writes."""
+    cut, out, _ = _split_run(spark, sf_dir)
+    log = lineage.current(lineage.load(spark, f"{out}/lineage"))
+    place = lambda i: F.regexp_extract("artifact", r"(statements|labels)/split=(\w+)$", i)      # noqa: E731
+    return log.select(
+        place(1).alias("kind"), place(2).alias("split"), "rows", "customers", "positives", "seed",
+        (F.col("split_id") == cut.split_id).alias("same_split"))
+
+
+@query
+def trained_run(spark, sf_dir):
+    """The shipped settings but for the number of rounds: split, train, register, predict, guard."""
+    from pyspark.ml import PipelineModel
+
+    from dossier.plans.workflow import check_model_fits, folder, predict_job, train_job
+    cut, out, spec = _split_run(spark, sf_dir)
+    root = scratch_path(spark, "runs")
+    run = train_job(spark, out, root, spec, {"maxIter": 5})
+    path = registry.resolve_model(spark, root)
+    meta = registry.load_meta(spark, path)
+    predictions, scored, audit = predict_job(
+        spark, folder(cut.statements, "test"), out, root, scratch_path(spark, "predicted"), spec,
+        labels=folder(cut.labels, "test"))
+    refused = False
+    try:
+        check_model_fits(meta, "another split")
+    except ValueError:
+        refused = True
+    kept = trees.trees_of(PipelineModel.load(path)).getNumTrees
+    logged = registry.best_run(registry.list_runs(spark, root)).first()
+    return spark.createDataFrame(
+        [(predictions.count(), scored.first().n_rows, audit.first().n_unlabelled,
+          logged.run_id == run == meta["run_id"], kept == meta["best_iteration"] <= 5,
+          meta["split_id"] == cut.split_id, logged.score == meta["valid_metric"]["score"], refused)],
+        "n_scored long, n_evaluated long, n_unlabelled long, logged boolean, cut_to_best boolean, "
+        "same_split boolean, same_score boolean, refused boolean")
+
+
 @query
 def gbt_importance(spark, sf_dir):
     model, _, _, _, expected = _fitted(spark, sf_dir)

@@ -181,11 +181,23 @@ SELECT '{a}' AS split_a, '{b}' AS split_b, count(*) AS n_shared FROM (
   SELECT o_custkey FROM orders WHERE o_orderstatus = '{a}'
   INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = '{b}') t"""
     for a, b in (("F", "O"), ("F", "P"), ("O", "P")))
+TWICE = SPLITS.replace("FROM customer)", """FROM (
+  SELECT c_custkey, c_acctbal FROM customer UNION ALL
+  SELECT c_custkey + 10000000, c_acctbal FROM customer) c)""")
 ORACLES["label_coverage"] = f"""
-WITH {STATEMENTS}, {SPLITS} SELECT split, count(*) AS n_labelled,
-  count(*) FILTER (WHERE o_custkey NOT IN (
-    SELECT o_custkey FROM st WHERE o_orderdate < DATE '1996-01-01')) AS n_never_seen
+WITH {STATEMENTS}, {TWICE} SELECT split, count(*) AS n_labelled,
+  count(*) FILTER (WHERE o_custkey NOT IN (SELECT o_custkey FROM st)) AS n_never_seen
 FROM assigned GROUP BY split"""
+ORACLES["label_sink"] = f"""
+WITH {SPLITS} SELECT split, count(*) AS n_entities, CAST(sum(target) AS BIGINT) AS n_positive
+FROM assigned GROUP BY split"""
+ORACLES["many_class_split"] = """
+WITH placed AS (
+  SELECT o_orderkey AS o_custkey, CAST(o_orderkey % 1200 AS INTEGER) AS target,
+         row_number() OVER (PARTITION BY o_orderkey % 1200 ORDER BY md5('42:' || o_orderkey)) AS r,
+         count(*) OVER (PARTITION BY o_orderkey % 1200) AS n FROM orders)
+SELECT o_custkey, target, CASE WHEN r <= n * 7 // 10 THEN 'train' WHEN r <= n * 9 // 10 THEN 'validation'
+  ELSE 'test' END AS split FROM placed"""
 ORACLES["concat_splits"] = f"""
 WITH {ROUTED} SELECT split, count(*) AS n_rows, CAST(sum(amount) AS BIGINT) AS amount
 FROM routed GROUP BY split"""
@@ -402,25 +414,44 @@ ORACLES["base_columns"] = f"WITH {GAINS} SELECT feature, base FROM imp"
 # --- sources and sinks -----------------------------------------------------
 
 ORACLES["csv_statements"] = f"""
-WITH {STATEMENTS} SELECT o_custkey, o_orderdate, o_orderkey, amount, o_orderstatus,
+WITH {STATEMENTS} SELECT o_custkey, o_orderdate, o_orderkey, amount, half, o_orderstatus,
   CASE WHEN o_orderpriority <> 'NaN' THEN o_orderpriority END AS o_orderpriority FROM st"""
+ORACLES["csv_late_types"] = """
+WITH o AS (
+  SELECT o_orderkey, o_custkey, o_orderkey > (SELECT max(o_orderkey) FROM orders) * 0.9 AS late FROM orders)
+SELECT o_orderkey, o_custkey + CASE WHEN late THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS v,
+  CASE WHEN late THEN 'text ' || o_orderkey END AS w FROM o"""
+ORACLES["format_sniffing"] = f"""
+WITH {STATEMENTS} SELECT kind, count(*) AS n_rows, count(amount) AS n_amounts, CAST(sum(amount) AS BIGINT) AS amount
+FROM st, (VALUES ('parquet'), ('csv')) k(kind) GROUP BY kind"""
 ORACLES["prediction_sink"] = """
-SELECT doc_id, n_chars AS prediction FROM documents JOIN labels USING (doc_id)"""
+SELECT doc_id, n_chars::DOUBLE / 8 AS prediction FROM documents JOIN labels USING (doc_id)"""
 
 # --- lineage and runs ------------------------------------------------------
 
-ORACLES["table_digests"] = """
-SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(
-  o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|'
-  || CAST(round(o_totalprice * 100) AS BIGINT)), 1, 8) AS BIGINT)) AS VARCHAR) AS digest
+
+
+def row_text(*columns: str) -> str:
+    """A row as digests see it: each value after its length, a null as a bare mark."""
+    return " || '|' || ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+
+
+def digest_sum(*columns: str) -> str:
+    return f"sum(CAST('0x' || substr(md5({row_text(*columns)}), 1, 8) AS BIGINT))"
+
+
+ORACLES["table_digests"] = f"""
+SELECT count(*) AS n_rows, CAST({digest_sum("o_orderkey", "o_custkey", "o_orderstatus",
+    "CAST(round(o_totalprice * 100) AS BIGINT)")} AS VARCHAR) AS digest
 FROM orders"""
-ORACLES["split_id"] = """
+ORACLES["split_id"] = f"""
 WITH d AS (
-  SELECT count(*) AS n, sum(CAST('0x' || substr(md5(
-    c_custkey || '|' || CAST(c_acctbal < 0 AS INTEGER)), 1, 8) AS BIGINT)) AS digest
-  FROM customer)
-SELECT substr(sha256(n || ':' || digest || '|42|test=1,train=7,validation=2'), 1, 12) AS split_id
-FROM d"""
+  SELECT count(*) AS n, {digest_sum("c_custkey", "CAST(c_acctbal < 0 AS INTEGER)")} AS digest FROM customer),
+e AS (
+  SELECT count(*) AS m, {digest_sum("o_orderkey", "o_custkey", "o_orderstatus")} AS rows FROM orders)
+SELECT substr(sha256(n || ':' || digest || ':' || m || ':' || rows || '|42|test=1,train=7,validation=2'), 1, 12)
+  AS split_id FROM d, e"""
 
 LATEST = """
 latest AS (
@@ -448,3 +479,37 @@ SELECT CAST(event_id AS VARCHAR) AS run_id, CASE WHEN event_type <> 'error' THEN
 ORACLES["run_metadata"] = """
 SELECT c_name AS run_id, c_mktsegment AS split_id, CAST(c_nationkey AS BIGINT) AS feature_version,
        c_acctbal AS score, 2 AS n_features, 'NaN' AS last_level FROM customer"""
+
+# --- jobs ------------------------------------------------------------------
+
+ORACLES["wide_collapse_unsequenced"] = "SELECT o_custkey, " + ", ".join(
+    f"sum({v})::DOUBLE / count({v}) AS x{i}_mean, CAST(max({v}) AS DOUBLE) AS x{i}_max" for i, v in (
+        (i, f"CASE WHEN (o_orderkey + {i}) % 7 <> 0 THEN o_orderkey * {i + 3} % 1009 END")
+        for i in range(177))) + " FROM orders GROUP BY o_custkey"
+ORACLES["running_total_of_large_keys"] = """
+SELECT o_orderkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (ORDER BY o_orderkey) AS BIGINT)
+  AS cum_amount FROM orders"""
+ORACLES["aligned_features"] = collapse_sql(["amount", "half"], "DOUBLE", "", categories=False)
+ORACLES["model_inputs"] = f"""
+WITH {STATEMENTS}, f AS (SELECT o_custkey, count(amount) AS a, count(half) AS h FROM st GROUP BY o_custkey)
+SELECT col || '_' || part AS feature, count(*) AS n_values,
+  count(*) FILTER (WHERE CASE col WHEN 'amount' THEN a ELSE h END = 0) AS n_missing
+FROM f, (VALUES ('amount'), ('half')) c(col), (VALUES ('mean'), ('max'), ('last'), ('diff')) p(part)
+GROUP BY col, part"""
+HELD_OUT = f"""
+WITH {ROUTED}, held AS (SELECT count(DISTINCT o_custkey) AS n FROM routed WHERE split = 'test')"""
+ORACLES["staged_rounds"] = f"{HELD_OUT} SELECT iteration, n AS n_rows, true AS equal FROM held, range(1, 5) r(iteration)"
+ORACLES["evaluated_counts"] = f"{HELD_OUT} SELECT n AS n_evaluated, 0::BIGINT AS n_unmatched, true AS auc_in_range FROM held"
+ORACLES["importance_shares"] = "SELECT unnest([" + ", ".join(f"'{name}'" for name in [
+    *(f"{c}_{part}" for c in ("amount", "half") for part in ("mean", "max", "last", "diff")),
+    *(f"o_orderstatus_{level}" for level in STATUS), *(f"o_orderpriority_{level}" for level in PRIORITY),
+    "o_orderstatus_last", "o_orderpriority_last"]) + "]) AS feature, true AS agrees"
+ORACLES["split_lineage"] = f"""
+WITH {ROUTED}
+SELECT 'statements' AS kind, split, count(*) AS rows, count(DISTINCT o_custkey) AS customers,
+  NULL::BIGINT AS positives, 42::BIGINT AS seed, true AS same_split FROM routed GROUP BY split
+UNION ALL
+SELECT 'labels', split, NULL, count(*), CAST(sum(target) AS BIGINT), 42, true FROM assigned GROUP BY split"""
+ORACLES["trained_run"] = f"""{HELD_OUT}
+SELECT n AS n_scored, n AS n_evaluated, 0::BIGINT AS n_unlabelled, true AS logged, true AS cut_to_best,
+  true AS same_split, true AS same_score, true AS refused FROM held"""
