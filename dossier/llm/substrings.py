@@ -11,15 +11,18 @@ give equal strings equal names without exchanging a dictionary. With each symbol
 being made depends on; a symbol is *safe* in a window that holds that stretch: wherever else the window's words stand, the
 symbol is there too.
 
-Reveal: every window picks the safe symbol that is longest (then smallest by name, then leftmost). Neighbouring windows with the
-same pick are a run, one row: name of the symbol, hash of the run's words, key of the document. Spark counts names and
-compares the runs of a name. A name that stands once has no repeated window. Where all runs of a name are equal, all
-their windows are repeated. Verify: where they differ, as at the borders of a copy, each window is a
-row with a 128-bit hash of its words, and Spark counts those. Windows without a safe symbol are runs of their own.
+Reveal: every window picks one of its safe symbols: one of four words or more where there is one, then the one that
+depends on the fewest words, then the smallest name, then the leftmost. Neighbouring windows with the same pick are a
+run, one row: name of the symbol, hash of the run's words, key of the document, place. Spark counts names and compares the
+runs of a name. A name that stands once has no repeated window. A run that stands twice or more is repeated as a whole.
+Verify: a run that stands once while its name has others, as at the borders of a copy, is open: each of its windows, and
+those of one copy of every repeated run of that name, is a row with a 128-bit hash of its words, and Spark counts
+those. Windows without a safe symbol are runs of their own.
 
 Counting joins are on names and hashes; a name that very many documents hold is added up before the shuffle, and the join
-back is an ordinary equi-join that Spark may split. Rows with equal id and text are documents of their own and repeat
-each other. Texts shorter than a window lose nothing. Extra columns are ignored; an empty table gives an empty result.
+back is an ordinary equi-join that Spark may split. Texts go through the shuffles compressed. Rows with equal id and text
+are documents of their own and repeat each other. Texts shorter than a window lose nothing. Extra columns are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,11 +33,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from dossier.llm.common import K1, K2, raw, row_keys, slices, written
 
 WINDOW = 35
+#: Symbols of so many words are preferred: shorter ones stand in many unlike places.
+LONG = 4
 _CHUNK_BYTES = 1_500_000
 _HELD = 200_000
 _FAR = 1 << 40
@@ -136,6 +142,24 @@ def safe_symbols(one: np.ndarray, two: np.ndarray, doc: np.ndarray, size: int) -
         np.empty(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
 
 
+def stretch_hashes(one: np.ndarray, two: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Two lanes of the hash of the words [start, end), by rolling sums over the lanes of the words' names."""
+    out = []
+    for lane, base in zip((one, two), _BASES):
+        n = len(lane)
+        power, back = np.ones(n + 1, np.uint64), np.ones(n + 1, np.uint64)
+        np.multiply.accumulate(np.full(n, base, np.uint64), out=power[1:])
+        np.multiply.accumulate(np.full(n, pow(base, -1, 1 << 64), np.uint64), out=back[1:])
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(lane * power[:n], out=total[1:])
+        out.append(_mixed((total[end] - total[start]) * back[start]))
+    return out
+
+
+def window_hashes(lanes: np.ndarray, windows: np.ndarray, size: int):
+    return stretch_hashes(lanes[:, 0].copy(), lanes[:, 1].copy(), windows, windows + size)
+
+
 class Chunk:
     """Some documents: their words, and the runs of windows with one pick."""
 
@@ -148,23 +172,8 @@ class Chunk:
         self.size, n = size, len(lanes)
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
         one, two = lanes[:, 0].copy(), lanes[:, 1].copy()
-        self.sums, self.backs = [], []
-        for lane, base in zip((one, two), _BASES):
-            power = np.ones(n + 1, np.uint64)
-            np.multiply.accumulate(np.full(n, base, np.uint64), out=power[1:])
-            back = np.ones(n + 1, np.uint64)
-            np.multiply.accumulate(np.full(n, pow(base, -1, 1 << 64), np.uint64), out=back[1:])
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum(lane * power[:n], out=total[1:])
-            self.sums.append(total)
-            self.backs.append(back)
         self._runs(one, two)
 
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two lanes of the hash of the words [start, end)."""
-        return tuple(_mixed((total[end] - total[start]) * back[start])
-                     for total, back in zip(self.sums, self.backs))
-
     def _runs(self, one: np.ndarray, two: np.ndarray) -> None:
         """name, words (hash), first and last window of every run."""
         size, n = self.size, len(one)
@@ -174,7 +183,7 @@ class Chunk:
         name, start, end, low, high = safe_symbols(one, two, self.doc, size) if len(windows) else (
             np.empty(0, np.uint64), *(np.empty(0, np.int64),) * 4)
         # Symbols in rising order of preference; every window keeps the highest place among its safe ones.
-        order = np.lexsort((-start, ~name, end - start))
+        order = np.lexsort((-start, ~name, low - high, np.minimum(end - start, LONG)))
         name, start, low, high = (x[order] for x in (name, start, low, high))
         first = np.maximum(high - size, 0)
         reach = np.maximum(low - first + 1, 0)
@@ -189,7 +198,7 @@ class Chunk:
         self.first = windows[heads]
         self.last = windows[np.append(heads[1:], len(windows)) - 1] if len(heads) else windows
         chosen = pick[heads]
-        whole, second = self.hashes(self.first, self.last + size)
+        whole, second = stretch_hashes(one, two, self.first, self.last + size)
         if len(name):
             offset = (self.first - start[chosen]).astype(np.uint64)
             self.name = np.where(chosen >= 0, name[chosen], second)
@@ -210,17 +219,44 @@ def chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
 
 
 def run_rows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """name, run (hash of the run's words) and the document's key of every run."""
+    """name, run (hash of the run's words), the document's key, first window and number of windows of every run."""
     def scan(batches):
         names = _Names()
-        for part in chunks(batches, 1):
-            chunk = Chunk(raw(part.column(1)), names, size)
-            key = np.asarray(part.column(0))[chunk.doc[chunk.first]]
+        for part in chunks(batches, 2):
+            chunk = Chunk(raw(part.column(2)), names, size)
+            owner = chunk.doc[chunk.first]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk.name.view(np.int64)), pa.array(chunk.run.view(np.int64)), pa.array(key)],
-                ["name", "run", K1])
+                [pa.array(chunk.name.view(np.int64)), pa.array(chunk.run.view(np.int64)),
+                 *(pa.array(np.asarray(part.column(i))[owner]) for i in (0, 1)),
+                 pa.array((chunk.first - chunk.base[owner]).astype(np.int32)),
+                 pa.array((chunk.last - chunk.first + 1).astype(np.int32))],
+                ["name", "run", K1, K2, "first", "n"])
+
+    return docs.select(K1, K2, "text").mapInArrow(
+        scan, f"name long, run long, {K1} long, {K2} long, first int, n int")
+
 
-    return docs.select(K1, "text").mapInArrow(scan, f"name long, run long, {K1} long")
+SURE, OPEN, COPY = 0, 1, 2
+
+
+def facts_of(runs: DataFrame) -> DataFrame:
+    """Per document its runs that may repeat: first window, windows, kind, packed into one number each.
+
+    Kinds: ``SURE`` stands twice or more; ``OPEN`` stands once, its name more often; ``COPY`` is the one of the sure runs
+    of a name with open ones that shows its windows.
+    """
+    names = (
+        runs.groupBy("name").agg(F.count("*").alias("all"), F.min("run").alias("a"), F.max("run").alias("b"))
+        .where(F.col("all") > 1).select("name", (F.col("a") != F.col("b")).alias("unlike")))
+    shared = written(runs.join(names, "name"), "shared-runs")
+    at = F.struct(K1, K2, "first")
+    mixed = shared.where("unlike")
+    variants = mixed.groupBy("name", "run").agg(F.count("*").alias("times"), F.min(at).alias("copy"))
+    kind = F.when(F.col("times") == 1, OPEN).when(F.col("copy") == at, COPY).otherwise(SURE)
+    judged = mixed.join(variants, ["name", "run"]).select(K1, K2, "first", "n", kind.alias("kind"))
+    sure = shared.where("NOT unlike").select(K1, K2, "first", "n", F.lit(SURE).alias("kind"))
+    packed = F.shiftleft(F.col("first").cast("long"), 20) + F.col("n") * 4 + F.col("kind")
+    return sure.unionByName(judged).groupBy(K1, K2).agg(F.collect_list(packed).alias("facts"))
 
 
 def _digest(words: list[bytes], gone: np.ndarray) -> tuple[int, str]:
@@ -229,87 +265,112 @@ def _digest(words: list[bytes], gone: np.ndarray) -> tuple[int, str]:
     return len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest()
 
 
+def _covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of n words lie in a stretch [start, end)."""
+    edges = np.zeros(n + 1, np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, ends, -1)
+    return np.cumsum(edges)[:n] > 0
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """The rows with their text compressed."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def scan(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for part in slices(batches, 500):
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array(list(map(pack, raw(part.column(3)))), pa.binary())],
+                [K1, K2, "doc_id", "packed"])
+
+    return docs.select(K1, K2, "doc_id", "text").mapInArrow(
+        scan, f"{K1} long, {K2} long, doc_id {id_type}, packed binary")
+
+
 def judged(docs: DataFrame, facts: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Every row with its result where the runs decide; else its text, the words surely gone and its open windows."""
+    """Every row with its result where the runs decide, else its packed text and the words surely gone; shown windows.
+
+    ``starts`` has -1 for a window that is known to repeat.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    def one_document(words: list[bytes], facts: np.ndarray, names: _Names):
+        first, n, kind = facts >> 20, facts >> 2 & 0x3FFFF, facts & 3
+        sure = kind != OPEN
+        gone = _covered(first[sure], first[sure] + n[sure] - 1 + size, len(words))
+        show = kind != SURE
+        if not show.any():
+            return gone, None
+        first, n = first[show], n[show]
+        windows = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        lanes = np.frombuffer(b"".join(map(names.__getitem__, words)), np.uint64).reshape(-1, 2)
+        one, two = window_hashes(lanes, windows, size)
+        starts = np.where(np.repeat(kind[show] == OPEN, n), windows, -1).astype(np.int32)
+        return gone, (starts, one.view(np.int64), two.view(np.int64))
+
     def scan(batches):
-        names = _Names()
-        for part in chunks(batches, 3):
-            texts = raw(part.column(3))
-            chunk = Chunk(texts, names, size)
-            known = [np.unique(np.asarray(part.column(i).flatten()).astype(np.int64).view(np.uint64)) for i in (4, 5)]
-            equal, unlike = (np.isin(chunk.name, k) for k in known)
-            n = int(chunk.counts.sum())
-            edges = np.zeros(n + 1, np.int64)
-            np.add.at(edges, chunk.first[equal], 1)
-            np.add.at(edges, chunk.last[equal] + size, -1)
-            gone = np.cumsum(edges)[:n] > 0
-            first, length = chunk.first[unlike], chunk.last[unlike] - chunk.first[unlike] + 1
-            windows = np.repeat(first - np.cumsum(length) + length, length) + np.arange(length.sum())
-            one, two = chunk.hashes(windows, windows + size)
-            owner = chunk.doc[windows]
-            cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        names, unpack = _Names(), zstandard.ZstdDecompressor().decompress
+        for part in slices(batches, 200):
             out = []
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                low, high = chunk.base[i], chunk.base[i] + chunk.counts[i]
-                own, waits = gone[low:high], b > a
+            for packed, facts in zip(part.column(3).to_pylist(), part.column(4)):
+                words = unpack(packed).split()
+                if not facts.is_valid:
+                    out.append((len(words), *_digest(words, np.zeros(0, bool)), *(None,) * 5))
+                    continue
+                gone, shown = one_document(words, np.asarray(facts.values, np.int64), names)
+                waits = shown is not None and (shown[0] >= 0).any()
                 out.append((
-                    *((None, None) if waits else _digest(chunk.words[i], own)), texts[i] if waits else None,
-                    np.packbits(own).tobytes() if waits else None, *(
-                        x[a:b] if waits else None for x in (
-                            windows - low, one.view(np.int64), two.view(np.int64)))))
-            longs = pa.list_(pa.int64())
+                    len(words), *((None, None) if waits else _digest(words, gone)), packed if waits else None,
+                    np.packbits(gone).tobytes() if waits else None, *(shown or (None,) * 3)))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int32()),
+                     pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(chunk.counts), *(pa.array([o[j] for o in out], t) for j, t in enumerate(
-                    (pa.int64(), pa.string(), pa.binary(), pa.binary(), longs, longs, longs)))],
-                [K1, K2, "doc_id", "n_words", "n_removed", "kept_sha256", "text", "gone", "starts", "one", "two"])
+                [*part.columns[:3], *(pa.array([o[i] for o in out], t) for i, t in enumerate(kinds))],
+                [K1, K2, "doc_id", "n_words", "n_removed", "kept_sha256", "packed", "gone", "starts", "one", "two"])
 
-    lists = facts.groupBy(K1).agg(
-        F.collect_set(F.when(~F.col("unlike"), F.col("name"))).alias("equal"),
-        F.collect_set(F.when(F.col("unlike"), F.col("name"))).alias("unlike"))
-    none = F.array().cast("array<bigint>")
-    return docs.join(lists, K1, "left").select(
-        K1, K2, "doc_id", "text", F.coalesce("equal", none).alias("equal"), F.coalesce("unlike", none).alias("unlike")
-    ).mapInArrow(scan, f"{K1} long, {K2} long, doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, "
-                       "text binary, gone binary, starts array<long>, one array<long>, two array<long>")
+    return packed_texts(docs).join(facts, [K1, K2], "left").select(K1, K2, "doc_id", "packed", "facts").mapInArrow(
+        scan, f"{K1} long, {K2} long, doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, "
+              "packed binary, gone binary, starts array<int>, one array<long>, two array<long>")
+
+
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """one and two of the windows that stand twice or are known to; counted by one lane, the other checked."""
+    weight = F.sum(F.when(F.col("start") < 0, 2).otherwise(1)).alias("weight")
+    counted = windows.groupBy("one").agg(weight, F.min("two").alias("two"), F.max("two").alias("other"))
+    counted = counted.where("weight > 1")
+    plain = counted.where("two = other").select("one", "two")
+    # Windows that differ in the second lane only: rare to the point of never, but counted one by one.
+    clash = windows.join(counted.where("two <> other").select("one"), "one", "left_semi")
+    return plain.unionByName(clash.groupBy("one", "two").agg(weight).where("weight > 1").select("one", "two"))
 
 
 def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
     docs = docs.select("doc_id", *row_keys(), "text")
-    runs = written(run_rows(docs, size), "runs")
-    names = (
-        runs.groupBy("name").agg(F.count("*").alias("n"), F.min("run").alias("a"), F.max("run").alias("b"))
-        .where("n > 1").select("name", (F.col("a") != F.col("b")).alias("unlike")))
-    facts = runs.select("name", K1).join(names, "name")
-    table = written(judged(docs, facts, size), "judged")
+    table = written(judged(docs, facts_of(written(run_rows(docs, size), "runs")), size), "judged")
     windows = table.where("starts IS NOT NULL").select(
         K1, K2, F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select(
         K1, K2, F.col("w.starts").alias("start"), F.col("w.one").alias("one"), F.col("w.two").alias("two"))
-    repeated = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    found = windows.join(repeated, ["one", "two"]).groupBy(K1, K2).agg(F.collect_set("start").alias("found"))
+    found = windows.where("start >= 0").join(repeated_windows(windows), ["one", "two"]).groupBy(K1, K2).agg(
+        F.collect_set("start").alias("found"))
 
     def scan(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for part in slices(batches, 200):
-            removed, digests = [], []
-            for text, gone, starts in zip(raw(part.column(2)), part.column(3).to_pylist(), part.column(4).to_pylist()):
-                words = text.split()
-                edges = np.zeros(len(words) + 1, np.int64)
+            results = []
+            for packed, gone, starts in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
+                words = unpack(packed).split()
                 starts = np.array(starts or [], np.int64)
-                np.add.at(edges, starts, 1)
-                np.add.at(edges, starts + size, -1)
                 own = np.unpackbits(np.frombuffer(gone, np.uint8), count=len(words)).astype(bool)
-                n, digest = _digest(words, own | (np.cumsum(edges)[:-1] > 0))
-                removed.append(n)
-                digests.append(digest)
+                results.append(_digest(words, own | _covered(starts, starts + size, len(words))))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                [part.column(0), part.column(1), pa.array([n for n, _ in results], pa.int64()),
+                 pa.array([d for _, d in results], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    waiting = table.where("starts IS NOT NULL").join(found, [K1, K2], "left").select(
-        "doc_id", "n_words", "text", "gone", "found").mapInArrow(
+    waiting = table.where("packed IS NOT NULL").select(K1, K2, "doc_id", "n_words", "packed", "gone").join(
+        found, [K1, K2], "left").select("doc_id", "n_words", "packed", "gone", "found").mapInArrow(
         scan, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
-    return table.where("starts IS NULL").select(
+    return table.where("packed IS NULL").select(
         "doc_id", "n_words", "n_removed", "kept_sha256").unionByName(waiting)
