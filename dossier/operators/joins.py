@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
+from dossier.session import scratch_path
 from dossier.spec import EntitySpec
 
 BROADCAST_BYTES = 64 << 20      # a lookup is broadcast only when measured below this
@@ -97,9 +98,13 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left"
                 broadcast_bytes: int = BROADCAST_BYTES, salt_on: list[str] | None = None) -> DataFrame:
     """Join a large table to a one-row-per-key lookup.
 
-    The lookup is measured first. A small one is broadcast and the facts do not
-    move at all; a large one is joined by shuffle with hot keys salted.
+    The lookup is written and measured first, so that its plan runs once. A small
+    one is broadcast and the facts do not move at all; a large one is joined by
+    shuffle with hot keys salted.
     """
+    path = scratch_path(lookup.sparkSession, "lookup")
+    lookup.write.parquet(path)
+    lookup = lookup.sparkSession.read.parquet(path)
     if measured_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, how)
     return salted_join(facts, lookup, key, hot_keys(facts, key), how, salt_on=salt_on)

@@ -785,6 +785,22 @@ def stream_route(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "user_id", "split")
 
 
+@query
+def stream_snapshot(spark, sf_dir):
+    """The change table compacted half way through the stream and again at its end."""
+    rows = st.event_statements(spark, sf_dir)
+    fitted = vocabulary.fit_vocabulary(rows, EVENTS)
+    feed, out = scratch_path(spark, "feed"), scratch_path(spark, "changes")
+    checkpoint, snapshot = scratch_path(spark, "checkpoint"), scratch_path(spark, "snapshot")
+    parts = rows.withColumn("part", F.col("event_id") % 2)
+    for part in (0, 1):
+        parts.where(F.col("part") == part).drop("part").write.mode("append").parquet(feed)
+        stream = jobs.read_stream(spark, feed, rows.schema)
+        jobs.collapse_stream(stream, EVENTS, fitted, out, checkpoint, value_type="double").awaitTermination()
+        current = jobs.compact_features(spark, out, snapshot, "user_id")
+    return current
+
+
 @query
 def stream_collapse(spark, sf_dir):
     rows = st.event_statements(spark, sf_dir)

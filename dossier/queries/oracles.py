@@ -513,3 +513,4 @@ SELECT 'labels', split, NULL, count(*), CAST(sum(target) AS BIGINT), 42, true FR
 ORACLES["trained_run"] = f"""{HELD_OUT}
 SELECT n AS n_scored, n AS n_evaluated, 0::BIGINT AS n_unlabelled, true AS logged, true AS cut_to_best,
   true AS same_split, true AS same_score, true AS refused FROM held"""
+ORACLES["stream_snapshot"] = ORACLES["stream_collapse"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from dossier.operators.collapse import collapse
 from dossier.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join
 from dossier.operators.vocabulary import Vocabulary
+from dossier.sources.artifacts import mark_done, receipt
+from dossier.sources.writers import write_table
 from dossier.spec import EntitySpec
 
 
@@ -81,6 +85,27 @@ def holds_files(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def compact_features(spark: SparkSession, out: str, snapshot: str, id_col: str) -> DataFrame:
+    """The current row per entity, from the last snapshot and the batches written since.
+
+    Each call reads the new batches only and writes the next snapshot into a
+    folder of its own, named by a receipt once it is whole.
+    """
+    done = receipt(spark, snapshot)
+    since = int(done["inputs"]) if done else -1
+    newer = spark.read.parquet(out).where(F.col("batch") > since)
+    last = newer.agg(F.max("batch")).first()[0]
+    if last is not None:
+        rows = newer
+        if done:
+            rows = newer.unionByName(spark.read.parquet(done["target"]).withColumn("batch", F.lit(since)))
+        target = f"{snapshot}/upto={last}-{uuid.uuid4().hex}"
+        write_table(latest_features(rows, id_col), target)
+        mark_done(spark, snapshot, target, str(last))
+        done = {"target": target}
+    return spark.read.parquet(done["target"])
+
+
 def latest_features(changes: DataFrame, id_col: str, batch: str = "batch") -> DataFrame:
     """The current row per entity from the change table of ``collapse_stream``."""
     others = [c for c in changes.columns if c not in (id_col, batch)]
