@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from dossier.llm.common import K1, K2, raw, row_keys, slices, written
 
+KEY = "llm__key"
+
 WINDOW = 35
 #: Symbols of so many words are preferred: shorter ones stand in many unlike places.
 LONG = 4
@@ -222,18 +224,30 @@ def run_rows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """name, run (hash of the run's words), the document's key, first window and number of windows of every run."""
     def scan(batches):
         names = _Names()
-        for part in chunks(batches, 2):
-            chunk = Chunk(raw(part.column(2)), names, size)
+        for part in chunks(batches, 1):
+            chunk = Chunk(raw(part.column(1)), names, size)
             owner = chunk.doc[chunk.first]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk.name.view(np.int64)), pa.array(chunk.run.view(np.int64)),
-                 *(pa.array(np.asarray(part.column(i))[owner]) for i in (0, 1)),
+                 part.column(0).take(pa.array(owner)),
                  pa.array((chunk.first - chunk.base[owner]).astype(np.int32)),
                  pa.array((chunk.last - chunk.first + 1).astype(np.int32))],
-                ["name", "run", K1, K2, "first", "n"])
+                ["name", "run", KEY, "first", "n"])
+
+    return docs.select(KEY, "text").mapInArrow(
+        scan, f"name long, run long, {KEY} {_type(docs, KEY)}, first int, n int")
+
+
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
 
-    return docs.select(K1, K2, "text").mapInArrow(
-        scan, f"name long, run long, {K1} long, {K2} long, first int, n int")
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a key of both: 64 bits where no two documents share them, else all 128 as text."""
+    docs = docs.select("doc_id", "text", *row_keys())
+    unlike = docs.groupBy(K1).agg(F.min(K2).alias("a"), F.max(K2).alias("b")).where("a <> b")
+    key = F.concat_ws(":", K1, K2) if unlike.limit(1).count() else F.col(K1)
+    return docs.select("doc_id", "text", key.alias(KEY))
 
 
 SURE, OPEN, COPY = 0, 1, 2
@@ -248,15 +262,16 @@ def facts_of(runs: DataFrame) -> DataFrame:
     names = (
         runs.groupBy("name").agg(F.count("*").alias("all"), F.min("run").alias("a"), F.max("run").alias("b"))
         .where(F.col("all") > 1).select("name", (F.col("a") != F.col("b")).alias("unlike")))
-    shared = written(runs.join(names, "name"), "shared-runs")
-    at = F.struct(K1, K2, "first")
+    # A written side lets Spark split the rows of a name that very many documents hold.
+    shared = written(runs.join(written(names, "shared-names"), "name"), "shared-runs")
+    at = F.struct(KEY, "first")
     mixed = shared.where("unlike")
     variants = mixed.groupBy("name", "run").agg(F.count("*").alias("times"), F.min(at).alias("copy"))
     kind = F.when(F.col("times") == 1, OPEN).when(F.col("copy") == at, COPY).otherwise(SURE)
-    judged = mixed.join(variants, ["name", "run"]).select(K1, K2, "first", "n", kind.alias("kind"))
-    sure = shared.where("NOT unlike").select(K1, K2, "first", "n", F.lit(SURE).alias("kind"))
+    judged = mixed.join(variants, ["name", "run"]).select(KEY, "first", "n", kind.alias("kind"))
+    sure = shared.where("NOT unlike").select(KEY, "first", "n", F.lit(SURE).alias("kind"))
     packed = F.shiftleft(F.col("first").cast("long"), 20) + F.col("n") * 4 + F.col("kind")
-    return sure.unionByName(judged).groupBy(K1, K2).agg(F.collect_list(packed).alias("facts"))
+    return sure.unionByName(judged).groupBy(KEY).agg(F.collect_list(packed).alias("facts"))
 
 
 def _digest(words: list[bytes], gone: np.ndarray) -> tuple[int, str]:
@@ -275,17 +290,16 @@ def _covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 
 def packed_texts(docs: DataFrame) -> DataFrame:
     """The rows with their text compressed."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         for part in slices(batches, 500):
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(list(map(pack, raw(part.column(3)))), pa.binary())],
-                [K1, K2, "doc_id", "packed"])
+                [*part.columns[:2], pa.array(list(map(pack, raw(part.column(2)))), pa.binary())],
+                [KEY, "doc_id", "packed"])
 
-    return docs.select(K1, K2, "doc_id", "text").mapInArrow(
-        scan, f"{K1} long, {K2} long, doc_id {id_type}, packed binary")
+    return docs.select(KEY, "doc_id", "text").mapInArrow(
+        scan, f"{KEY} {_type(docs, KEY)}, doc_id {_type(docs, 'doc_id')}, packed binary")
 
 
 def judged(docs: DataFrame, facts: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -293,7 +307,6 @@ def judged(docs: DataFrame, facts: DataFrame, size: int = WINDOW) -> DataFrame:
 
     ``starts`` has -1 for a window that is known to repeat.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def one_document(words: list[bytes], facts: np.ndarray, names: _Names):
         first, n, kind = facts >> 20, facts >> 2 & 0x3FFFF, facts & 3
@@ -313,7 +326,7 @@ def judged(docs: DataFrame, facts: DataFrame, size: int = WINDOW) -> DataFrame:
         names, unpack = _Names(), zstandard.ZstdDecompressor().decompress
         for part in slices(batches, 200):
             out = []
-            for packed, facts in zip(part.column(3).to_pylist(), part.column(4)):
+            for packed, facts in zip(part.column(2).to_pylist(), part.column(3)):
                 words = unpack(packed).split()
                 if not facts.is_valid:
                     out.append((len(words), *_digest(words, np.zeros(0, bool)), *(None,) * 5))
@@ -326,11 +339,11 @@ def judged(docs: DataFrame, facts: DataFrame, size: int = WINDOW) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int32()),
                      pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], *(pa.array([o[i] for o in out], t) for i, t in enumerate(kinds))],
-                [K1, K2, "doc_id", "n_words", "n_removed", "kept_sha256", "packed", "gone", "starts", "one", "two"])
+                [*part.columns[:2], *(pa.array([o[i] for o in out], t) for i, t in enumerate(kinds))],
+                [KEY, "doc_id", "n_words", "n_removed", "kept_sha256", "packed", "gone", "starts", "one", "two"])
 
-    return packed_texts(docs).join(facts, [K1, K2], "left").select(K1, K2, "doc_id", "packed", "facts").mapInArrow(
-        scan, f"{K1} long, {K2} long, doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, "
+    return packed_texts(docs).join(facts, KEY, "left").select(KEY, "doc_id", "packed", "facts").mapInArrow(
+        scan, f"{KEY} {_type(docs, KEY)}, doc_id {_type(docs, 'doc_id')}, n_words long, n_removed long, kept_sha256 string, "
               "packed binary, gone binary, starts array<int>, one array<long>, two array<long>")
 
 
@@ -347,12 +360,12 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
 
 def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
-    docs = docs.select("doc_id", *row_keys(), "text")
+    docs = keyed(docs)
     table = written(judged(docs, facts_of(written(run_rows(docs, size), "runs")), size), "judged")
     windows = table.where("starts IS NOT NULL").select(
-        K1, K2, F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select(
-        K1, K2, F.col("w.starts").alias("start"), F.col("w.one").alias("one"), F.col("w.two").alias("two"))
-    found = windows.where("start >= 0").join(repeated_windows(windows), ["one", "two"]).groupBy(K1, K2).agg(
+        KEY, F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select(
+        KEY, F.col("w.starts").alias("start"), F.col("w.one").alias("one"), F.col("w.two").alias("two"))
+    found = windows.where("start >= 0").join(repeated_windows(windows), ["one", "two"]).groupBy(KEY).agg(
         F.collect_set("start").alias("found"))
 
     def scan(batches):
@@ -368,9 +381,8 @@ def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
                 [part.column(0), part.column(1), pa.array([n for n, _ in results], pa.int64()),
                  pa.array([d for _, d in results], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    waiting = table.where("packed IS NOT NULL").select(K1, K2, "doc_id", "n_words", "packed", "gone").join(
-        found, [K1, K2], "left").select("doc_id", "n_words", "packed", "gone", "found").mapInArrow(
-        scan, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string")
+    waiting = table.where("packed IS NOT NULL").select(KEY, "doc_id", "n_words", "packed", "gone").join(
+        found, KEY, "left").select("doc_id", "n_words", "packed", "gone", "found").mapInArrow(
+        scan, f"doc_id {_type(docs, 'doc_id')}, n_words long, n_removed long, kept_sha256 string")
     return table.where("packed IS NULL").select(
         "doc_id", "n_words", "n_removed", "kept_sha256").unionByName(waiting)

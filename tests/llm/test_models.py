@@ -129,11 +129,44 @@ def test_best_class_against_likelihood_of_every_move():
         assert values[best] == pytest.approx(max(values.values()), abs=1e-6)
 
 
-def test_scores_sum_to_one_over_what_may_follow(mixed):
-    """Emissions of a class over its words and the unseen one sum to one, so do transitions."""
-    counts = {"a": 3, "b": 5}
-    n, v = sum(counts.values()), len(counts)
-    assert sum((c + 0.5) / (n + 0.5 * (v + 1)) for c in [*counts.values(), 0]) == pytest.approx(1)
+def test_model_scores_against_plain_sums(mixed, monkeypatch):
+    """Transitions and emissions counted one token at a time, under given classes."""
+    k, seen = 7, {}
+
+    def classes_of(pairs, sizes, classes, rounds):
+        seen["of"] = np.array([0, 1] + [2 + i % (classes - 2) for i in range(len(sizes) - 2)])
+        return seen["of"]
+
+    class Kept(brown.Units):
+        def __init__(self, words):
+            super().__init__(words)
+            seen["units"] = self
+
+    monkeypatch.setattr(brown, "exchange", classes_of)
+    monkeypatch.setattr(brown, "Units", Kept)
+    monkeypatch.setattr(brown, "UNITS", 30)
+    got = {r["doc_id"]: r["score"] for r in brown.score(mixed, classes=k).collect()}
+    rows = [(r["doc_id"], (r["text"] or "").encode().lower().split() + [b"\n"]) for r in mixed.collect()]
+    unit = {w: seen["units"].of(w) for _, t in rows for w in t}
+    label = {w: int(seen["of"][u]) for w, u in unit.items()}
+    train = [t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
+    count = Counter(w for t in train for w in t)
+    tokens, kinds = Counter(), Counter()
+    for w, n in count.items():
+        tokens[label[w]] += n
+        kinds[label[w]] += 1
+    steps = Counter((a, b) for t in train for a, b in zip([0] + [label[w] for w in t], [label[w] for w in t]))
+    out = Counter()
+    for (a, _), n in steps.items():
+        out[a] += n
+    for d, t in rows:
+        want, before = 0.0, 0
+        for w in t:
+            c = label[w]
+            want += math.log10((steps[before, c] + 0.5) / (out[before] + 0.5 * k))
+            want += math.log10((count[w] + 0.5) / (tokens[c] + 0.5 * (kinds[c] + 1)))
+            before = c
+        assert got[d] == pytest.approx(want, abs=1e-6)
 
 
 def brute_rules(text):

@@ -158,6 +158,18 @@ def test_substrings_against_brute_force(docs_of, size, alphabet):
     assert got == brute_substrings(rows, size)
 
 
+def test_substrings_where_keys_clash(docs_of, monkeypatch):
+    """With two documents of one 64-bit key the longer key is taken; results stay the same."""
+    same = " ".join(f"w{i % 50}" for i in range(90))
+    docs = docs_of([(1, same), (2, "x " + same + " y"), (3, "other words"), (4, None)])
+    want = sorted(tuple(r) for r in substrings.substring_dedup(docs).collect())
+    first = F.lit(1).cast("long").alias(substrings.K1)
+    second = substrings.row_keys()[1]
+    monkeypatch.setattr(substrings, "row_keys", lambda: (first, second))
+    assert substrings.keyed(docs).schema[substrings.KEY].dataType.simpleString() == "string"
+    assert sorted(tuple(r) for r in substrings.substring_dedup(docs).collect()) == want
+
+
 def test_equal_windows_pick_equal_symbols():
     rng = random.Random(9)
     core = [b"c%d" % rng.randrange(200) for _ in range(60)]
