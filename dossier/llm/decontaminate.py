@@ -11,16 +11,18 @@ driver and the tasks at once is bounded however many items there are; every text
 
 Null and empty texts and items hold nothing; items shorter than ``LEAST_PIECE`` must occur exactly.
 Repeated text rows give repeated results, repeated item rows one. Ties go to the first stretch. Extra columns are
-ignored by ``benchmark_matches`` and kept by ``decontamination_stage``; an empty table gives no match.
+ignored by ``decontamination`` and kept by ``decontamination_stage``; an empty table gives no match.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dossier.llm.common import K1, K2, row_keys, slices
+from dossier.llm.common import slices, written
 
 SHARE = 0.1
 LEAST_PIECE = 12
@@ -112,56 +114,63 @@ class Finder:
         return found
 
 
-def benchmark_matches(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, row keys, item_id, distance, start and end (in the plain text) of every item in every text."""
-    spark = docs.sparkSession
+def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[object, str]]]:
+    """(item_id, plain text) of all items, in blocks of about ``block_chars`` characters, one at a time."""
     known = items.where("text IS NOT NULL").select("item_id", "text").distinct()
     total = known.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
-    texts = docs.where("text IS NOT NULL").select("doc_id", *row_keys(), "text")
-    kinds = [f"{c} {t.schema[c].dataType.simpleString()}" for t, c in ((texts, "doc_id"), (items, "item_id"))]
-    schema = f"{kinds[0]}, {K1} long, {K2} long, {kinds[1]}, distance int, start int, end int"
-    id_kind = pa.int64() if "bigint" in kinds[1] else pa.int32() if "int" in kinds[1] else pa.string()
-    found = []
     for block in range(blocks):
         own = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        block_items = sorted(
-            [(r["item_id"], p) for r in own if (p := plain(r["text"]))], key=lambda x: (str(x[0]), x[1]))
-        if not block_items:
-            continue
-        shared = spark.sparkContext.broadcast(block_items)
+        found = sorted([(r["item_id"], p) for r in own if (p := plain(r["text"]))], key=lambda x: (str(x[0]), x[1]))
+        if found:
+            yield found
+
+
+def decontamination(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, item_id, distance, start and end (in the plain text) of every item in every text.
+
+    Clean documents have no row.
+    """
+    spark = docs.sparkSession
+    kinds = [f"{c} {t.schema[c].dataType.simpleString()}" for t, c in ((docs, "doc_id"), (items, "item_id"))]
+    id_kind = pa.int64() if "bigint" in kinds[1] else pa.int32() if "int" in kinds[1] else pa.string()
+    schema = f"{kinds[0]}, {kinds[1]}, distance int, start int, end int"
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text")
+    found = spark.createDataFrame([], schema)
+    for block in item_blocks(items, block_chars):
+        shared = spark.sparkContext.broadcast(block)
 
         def scan(batches, shared=shared):
             finder = Finder(shared.value)
             for part in slices(batches, 500):
                 rows, got = [], []
-                for i, text in enumerate(part.column(3).to_pylist()):
+                for i, text in enumerate(part.column(1).to_pylist()):
                     for match in finder.matches(plain(text)):
                         rows.append(i)
                         got.append(match)
-                taken = part.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [taken.column(0), taken.column(1), taken.column(2),
+                    [part.column(0).take(pa.array(rows, pa.int64())),
                      pa.array([finder.items[m[0]][0] for m in got], id_kind),
                      *(pa.array([m[i] for m in got], pa.int32()) for i in (1, 2, 3))],
-                    ["doc_id", K1, K2, "item_id", "distance", "start", "end"])
+                    ["doc_id", "item_id", "distance", "start", "end"])
 
-        found.append(texts.mapInArrow(scan, schema))
-    if not found:
-        return spark.createDataFrame([], schema)
-    union = found[0]
-    for more in found[1:]:
-        union = union.unionByName(more)
-    return union
+        found = found.unionByName(texts.mapInArrow(scan, schema))
+    return found
 
 
-def decontamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, distance, start and end; clean documents have no row."""
-    return benchmark_matches(docs, items).drop(K1, K2)
+def decontamination_stage(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no item: each block of items filters what the one before left."""
+    schema, columns, at = docs.schema, docs.columns, docs.columns.index("text")
+    left, filtered = docs, False
+    for block in item_blocks(items, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
+        def scan(batches, shared=shared):
+            finder = Finder(shared.value)
+            for part in slices(batches, 500):
+                clean = [not (t and finder.matches(plain(t))) for t in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays(part.filter(pa.array(clean, pa.bool_())).columns, columns)
 
-def decontamination_stage(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    dirty = benchmark_matches(docs, items).select(K1, K2).distinct()
-    k1, k2 = row_keys()
-    return docs.select("*", k1, k2).join(dirty, [K1, K2], "left_anti").select(*docs.columns)
+        left = (written(left, "filtered") if filtered else left).mapInArrow(scan, schema)
+        filtered = True
+    return left

@@ -94,8 +94,10 @@ def test_matches_against_brute_force(spark, docs_of):
             if best <= decontaminate.budget(len(decontaminate.plain(item))):
                 want.add((d, i, best))
     for block in (4_000_000, 200):  # one block, several blocks
-        got = decontaminate.benchmark_matches(docs_of(rows), table, block)
+        got = decontaminate.decontamination(docs_of(rows), table, block)
         assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got.collect()} == want
+        left = decontaminate.decontamination_stage(docs_of(rows), table, block)
+        assert {r["doc_id"] for r in left.collect()} == {d for d, _ in rows} - {d for d, _, _ in want}
     assert len(want) > 10
 
 
@@ -132,3 +134,30 @@ def test_table_round_trip(spark, sf):
     assert back.where(F.col("back") != F.replace("text", F.lit("▁"), F.lit(" "))).count() == 0
     sizes = encoded.agg(F.sum(F.size("ids")).alias("a"), F.sum("n_pieces").alias("b")).first()
     assert sizes["a"] == sizes["b"] > 0
+
+
+def test_unigram_paths_against_all_segmentations():
+    """Scores instead of merges: the cheapest of all ways to cut a text."""
+    rng = random.Random(2)
+    texts = ["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab", "de", "▁b"]
+    scores = [-rng.uniform(1, 9) for _ in texts]
+    pieces_of = [f"<0x{i:02X}>" for i in range(256)] + texts
+    t = pieces.Transducer.__new__(pieces.Transducer)
+    t._compile(pieces_of, [0.0] * 256 + scores, [True] * 256 + [False] * len(texts), list(range(256)), False, True)
+    encoder, cost = pieces.Encoder(t), dict(zip(texts, [-x for x in scores]))
+
+    def cheapest(s):
+        best = [0.0] + [float("inf")] * len(s)
+        for end in range(1, len(s) + 1):
+            for start in range(end):
+                own = cost.get(s[start:end], t.unknown if end - start == 1 else None)
+                if own is not None:
+                    best[end] = min(best[end], best[start] + own)
+        return best[-1]
+
+    for _ in range(300):
+        text = "".join(rng.choice("abcde ") for _ in range(rng.randint(1, 9)))
+        ids = encoder.encode(text)
+        assert encoder.decode(ids) == text
+        paid = sum(cost[pieces_of[i]] if i >= 256 else t.unknown for i in ids)
+        assert paid == pytest.approx(cheapest("▁" + text.replace(" ", "▁")))
