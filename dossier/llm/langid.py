@@ -26,7 +26,7 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 #: A document of the pipeline goes if its best cosine is below this.
 LEAST_SCORE = 0.03
-_CHARS = 1_000_000
+_CHARS = 500_000
 _GRAMS = 4096
 
 
