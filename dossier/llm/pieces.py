@@ -7,7 +7,7 @@ Composed with an input they give a lattice; its shortest path in the tropical se
 
 Weights: for a unigram model an arc weighs the piece's negative score. For a merge (BPE) model pieces weigh
 nothing and a pair of neighbouring pieces weighs infinity where the merge order would have joined across
-their border, so exactly one path is finite: the one that merging gives (checked against the reference
+their border, so exactly one path is finite: the one that merging gives (checked against the sentencepiece
 library in the tests). No piece goes on past a blank after another character, so an input falls into
 segments whose shortest paths are independent; a worker keeps those of recent segments.
 
@@ -18,6 +18,7 @@ table gives an empty result. Any text round-trips: decoding gives the text with
 from __future__ import annotations
 
 import re
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,8 @@ from dossier.llm.common import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-_KEPT = 250_000
+_KEPT = 150_000
 _SEGMENT = re.compile("▁*[^▁]+|▁+")
-_FAR = 1 << 60
 
 
 def _fields(data: bytes):
@@ -69,16 +69,21 @@ class Transducer:
         normaliser = dict(_fields(next(v for k, v in parts if k == 3)))
         if normaliser.get(2) or normaliser.get(4, 1):
             raise ValueError("only models with an identity normaliser that keeps blanks are supported")
-        self.prefix = bool(normaliser.get(3, 1))
-        self.merges = trainer.get(3, 1) == 2
         library = sentencepiece.SentencePieceProcessor(model_file=model)
         n = library.get_piece_size()
-        self.text = [library.id_to_piece(i) for i in range(n)]
-        self.byte_ids = {int(self.text[i][3:5], 16): i for i in range(n) if library.is_byte(i)}
-        if len(self.byte_ids) != 256:
-            raise ValueError("the model has no byte fallback")
         special = [library.is_byte(i) or library.is_control(i) or library.is_unknown(i) or library.is_unused(i)
                    for i in range(n)]
+        self._compile(
+            [library.id_to_piece(i) for i in range(n)], [library.get_score(i) for i in range(n)], special,
+            [i for i in range(n) if library.is_byte(i)], trainer.get(3, 1) == 2, bool(normaliser.get(3, 1)))
+
+    def _compile(self, text: list[str], scores: list[float], special: list[bool], byte_ids: list[int],
+                 merges: bool, prefix: bool) -> None:
+        """Arcs and weights from the pieces; ``special`` ones (bytes, controls) are no arcs of their own."""
+        self.text, self.merges, self.prefix = text, merges, prefix
+        self.byte_ids = {int(text[i][3:5], 16): i for i in byte_ids}
+        if len(self.byte_ids) != 256:
+            raise ValueError("the model has no byte fallback")
         self.bytes = [b"" if s else t.replace(BLANK, " ").encode() for t, s in zip(self.text, special)]
         for value, i in self.byte_ids.items():
             self.bytes[i] = bytes([value])
@@ -88,7 +93,9 @@ class Transducer:
         self.ids = {t: i for i, (t, s) in enumerate(zip(self.text, special)) if not s}
         if any(BLANK in t.lstrip(BLANK) or (t[:2] == BLANK * 2 and t.strip(BLANK)) for t in self.ids):
             raise ValueError("a piece goes on past a blank")
-        self.rank = {i: -library.get_score(i) for i in self.ids.values()}
+        self.rank = {i: -scores[i] for i in self.ids.values()}
+        # What a unigram model pays for a character that is no piece: more than for any piece.
+        self.unknown = max(self.rank.values()) + 10
         self.made: dict[int, tuple[int, int] | None] = {}
         self.when: dict[int, float] = {}
         if self.merges:
@@ -158,40 +165,47 @@ class Encoder(dict):
         self.t, self.pairs, self.before = transducer, {}, {}
 
     def _shortest(self, s: str) -> tuple[int, ...]:
-        """The shortest path through the lattice of one segment: the input walks the tree of pieces."""
-        t, n, pairs = self.t, len(s), self.pairs
-        cost, back = [_FAR] * (n + 1), [(0, -1)] * (n + 1)
-        cost[0] = 0
-        for at in range(n):
-            here = cost[at]
-            if here >= _FAR:
-                continue
-            before, arcs = back[at][1], t.tree
+        """The shortest path through the lattice of one segment: the input walks the tree of pieces.
+
+        Arcs wait with their cost, cheapest first and of equals the longest of the place reached last. A merge model's
+        arcs weigh nothing or infinity, so its one finite path is found without walking all of the lattice.
+        """
+        t, n = self.t, len(s)
+        tree, merges, pairs = t.tree, t.merges, self.pairs
+        done, back, last = [False] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        waiting: list[tuple[float, int, int, int]] = []
+        push, pop = (list.append, list.pop) if merges else (heappush, heappop)
+        at, here, own = 0, 0.0, -1
+        while at < n:
+            done[at] = True
+            arcs, end = tree, at
             if s[at] not in arcs or arcs[s[at]][0] < 0:  # byte fallback
-                cost[at + 1], back[at + 1] = here, (at, -1)
-                continue
-            for end in range(at, n):
-                step = arcs.get(s[end])
+                push(waiting, (here if merges else here + t.unknown, at, at + 1, -1))
+            for c in s[at:]:
+                step = arcs.get(c)
                 if step is None:
                     break
-                own, arcs = step
-                if own < 0:
+                arc, arcs = step
+                end += 1
+                if arc >= 0 and not done[end]:
+                    push(waiting, (0.0 if merges else here + t.rank[arc], at, end, arc))
+            while True:
+                here, start, at, own = pop(waiting)
+                if done[at]:
                     continue
-                weight = here
-                if not t.merges:
-                    weight += t.rank[own]
-                elif before >= 0:
+                before = last[start]
+                if merges and before >= 0 and own >= 0:
                     pair = before << 32 | own
                     good = pairs.get(pair)
                     if good is None:
                         good = pairs[pair] = t.allowed(before, own)
                     if not good:
                         continue
-                if weight < cost[end + 1]:
-                    cost[end + 1], back[end + 1] = weight, (at, own)
+                break
+            back[at], last[at] = start, own
         ids: list[int] = []
         while n:
-            start, own = back[n]
+            start, own = back[n], last[n]
             if own >= 0:
                 ids.append(own)
             else:
@@ -216,9 +230,7 @@ class Encoder(dict):
             self.clear()
         if len(self.pairs) >= 2 * _KEPT:
             self.pairs.clear()
-        got = self.before.get(s)
-        if got is None:
-            got = np.array(self.segment(s), np.int32).tobytes()
+        got = self.before.get(s) or np.array(self.segment(s), np.int32).tobytes()
         self[s] = got
         return got
 
