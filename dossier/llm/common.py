@@ -15,7 +15,7 @@ K1, K2 = "llm__k1", "llm__k2"
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends here, nothing is computed twice."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -221,7 +221,10 @@ def chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
 
 
 def run_rows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """name, run (hash of the run's words), the document's key, first window and number of windows of every run."""
+    """name, run (hash of the run's words), the document's key and place of every run.
+
+    The place packs the first window, the number of windows and two bits for the kind that ``facts_of`` finds.
+    """
     def scan(batches):
         names = _Names()
         for part in chunks(batches, 1):
@@ -230,12 +233,11 @@ def run_rows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(chunk.name.view(np.int64)), pa.array(chunk.run.view(np.int64)),
                  part.column(0).take(pa.array(owner)),
-                 pa.array((chunk.first - chunk.base[owner]).astype(np.int32)),
-                 pa.array((chunk.last - chunk.first + 1).astype(np.int32))],
-                ["name", "run", KEY, "first", "n"])
+                 pa.array((chunk.first - chunk.base[owner]) << 20 | (chunk.last - chunk.first + 1) << 2)],
+                ["name", "run", KEY, "place"])
 
     return docs.select(KEY, "text").mapInArrow(
-        scan, f"name long, run long, {KEY} {_type(docs, KEY)}, first int, n int")
+        scan, f"name long, run long, {KEY} {_type(docs, KEY)}, place long")
 
 
 def _type(df: DataFrame, column: str) -> str:
@@ -254,7 +256,7 @@ SURE, OPEN, COPY = 0, 1, 2
 
 
 def facts_of(runs: DataFrame) -> DataFrame:
-    """Per document its runs that may repeat: first window, windows, kind, packed into one number each.
+    """Per document the places and kinds of its runs that may repeat.
 
     Kinds: ``SURE`` stands twice or more; ``OPEN`` stands once, its name more often; ``COPY`` is the one of the sure runs
     of a name with open ones that shows its windows.
@@ -264,14 +266,14 @@ def facts_of(runs: DataFrame) -> DataFrame:
         .where(F.col("all") > 1).select("name", (F.col("a") != F.col("b")).alias("unlike")))
     # A written side lets Spark split the rows of a name that very many documents hold.
     shared = written(runs.join(written(names, "shared-names"), "name"), "shared-runs")
-    at = F.struct(KEY, "first")
+    at = F.struct(KEY, "place")
     mixed = shared.where("unlike")
-    variants = mixed.groupBy("name", "run").agg(F.count("*").alias("times"), F.min(at).alias("copy"))
+    variants = written(mixed.groupBy("name", "run").agg(
+        F.count("*").alias("times"), F.min(at).alias("copy")), "run-variants")
     kind = F.when(F.col("times") == 1, OPEN).when(F.col("copy") == at, COPY).otherwise(SURE)
-    judged = mixed.join(variants, ["name", "run"]).select(KEY, "first", "n", kind.alias("kind"))
-    sure = shared.where("NOT unlike").select(KEY, "first", "n", F.lit(SURE).alias("kind"))
-    packed = F.shiftleft(F.col("first").cast("long"), 20) + F.col("n") * 4 + F.col("kind")
-    return sure.unionByName(judged).groupBy(KEY).agg(F.collect_list(packed).alias("facts"))
+    judged = mixed.join(variants, ["name", "run"]).select(KEY, (F.col("place") + kind).alias("place"))
+    sure = shared.where("NOT unlike").select(KEY, "place")
+    return sure.unionByName(judged).groupBy(KEY).agg(F.collect_list("place").alias("facts"))
 
 
 def _digest(words: list[bytes], gone: np.ndarray) -> tuple[int, str]:
@@ -292,7 +294,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     """The rows with their text compressed."""
 
     def scan(batches):
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=5).compress
         for part in slices(batches, 500):
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:2], pa.array(list(map(pack, raw(part.column(2)))), pa.binary())],
@@ -347,15 +349,20 @@ def judged(docs: DataFrame, facts: DataFrame, size: int = WINDOW) -> DataFrame:
               "packed binary, gone binary, starts array<int>, one array<long>, two array<long>")
 
 
-def repeated_windows(windows: DataFrame) -> DataFrame:
-    """one and two of the windows that stand twice or are known to; counted by one lane, the other checked."""
+def found_windows(windows: DataFrame) -> DataFrame:
+    """Per document the open windows that stand twice or are known to; counted by one lane, the other checked."""
     weight = F.sum(F.when(F.col("start") < 0, 2).otherwise(1)).alias("weight")
-    counted = windows.groupBy("one").agg(weight, F.min("two").alias("two"), F.max("two").alias("other"))
-    counted = counted.where("weight > 1")
-    plain = counted.where("two = other").select("one", "two")
-    # Windows that differ in the second lane only: rare to the point of never, but counted one by one.
-    clash = windows.join(counted.where("two <> other").select("one"), "one", "left_semi")
-    return plain.unionByName(clash.groupBy("one", "two").agg(weight).where("weight > 1").select("one", "two"))
+    counted = written(
+        windows.groupBy("one").agg(weight, F.min("two").alias("two"), F.max("two").alias("other"))
+        .where("weight > 1"), "counted-windows")
+    shown = windows.where("start >= 0")
+    found = shown.select(KEY, "start", "one").join(counted.where("two = other").select("one"), "one")
+    clash = counted.where("two <> other").select("one")
+    if clash.limit(1).count():  # unlike windows that share a lane: rare to the point of never, counted by both
+        both = windows.join(clash, "one", "left_semi").groupBy("one", "two").agg(weight).where("weight > 1")
+        found = found.select(KEY, "start").unionByName(
+            shown.join(both.select("one", "two"), ["one", "two"]).select(KEY, "start"))
+    return found.groupBy(KEY).agg(F.collect_set("start").alias("found"))
 
 
 def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -365,8 +372,7 @@ def substring_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     windows = table.where("starts IS NOT NULL").select(
         KEY, F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select(
         KEY, F.col("w.starts").alias("start"), F.col("w.one").alias("one"), F.col("w.two").alias("two"))
-    found = windows.where("start >= 0").join(repeated_windows(windows), ["one", "two"]).groupBy(KEY).agg(
-        F.collect_set("start").alias("found"))
+    found = found_windows(windows)
 
     def scan(batches):
         unpack = zstandard.ZstdDecompressor().decompress

@@ -170,6 +170,14 @@ def test_substrings_where_keys_clash(docs_of, monkeypatch):
     assert sorted(tuple(r) for r in substrings.substring_dedup(docs).collect()) == want
 
 
+def test_windows_that_share_one_lane(spark):
+    """Counted by both lanes: equal twice, sure once, and two unlike ones."""
+    rows = [(1, 5, 7, 70), (2, 6, 7, 70), (3, 8, 7, 71), (4, 9, 8, 80), (5, -1, 8, 80), (6, 3, 9, 90), (7, 2, 4, 40), (8, 2, 4, 41)]
+    df = spark.createDataFrame(rows, f"{substrings.KEY} long, start int, one long, two long")
+    got = {r[0]: r["found"] for r in substrings.found_windows(df).collect()}
+    assert got == {1: [5], 2: [6], 4: [9]}
+
+
 def test_equal_windows_pick_equal_symbols():
     rng = random.Random(9)
     core = [b"c%d" % rng.randrange(200) for _ in range(60)]
