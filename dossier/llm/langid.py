@@ -10,6 +10,13 @@ the largest cosine (ties: the first in order of the name); ``score`` is that cos
 Texts that are null, empty or without a letter give ``und`` and 0, and so does every text when no
 training document has a language. Null and repeated ids are rows like any other; extra columns are ignored
 by ``identify`` and kept by ``language_stage``. An empty table gives an empty result.
+
+``language_stage`` keeps what is closer to its language than noise. The cosine of unrelated vectors spreads by
+1 / sqrt(DIMENSIONS), so ``LEAST_SCORE`` is four times that. Letter noise that shares 3-grams with a language
+scores more, and more so the longer it is, as do clean texts; hence the cut lies half-way between ``LEAST_SCORE``
+and the cosine that all but ``LOW`` of the labelled held-out rows of that language and ``band`` reach. A band is
+the binary logarithm of how many different 3-grams the text amounts to, n^2 / |vector|^2 for n 3-grams. A band with
+fewer than ``LEAST_ROWS`` such rows takes in the shorter ones below it; one without any has ``LEAST_SCORE``.
 """
 
 from __future__ import annotations
@@ -24,8 +31,12 @@ from dossier.llm.common import slices, written
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
-#: A document of the pipeline goes if its best cosine is below this.
-LEAST_SCORE = 0.03
+#: A document of the pipeline goes if its best cosine is below this, whatever its language and length.
+LEAST_SCORE = 4 / DIMENSIONS ** 0.5
+LOW = 0.01
+LEAST_ROWS = 20
+BANDS = 16
+_BINS = 1000
 _CHARS = 500_000
 _GRAMS = 4096
 
@@ -76,8 +87,8 @@ def _alphabet(dimensions: int) -> Alphabet:
     return Alphabet(dimensions)
 
 
-def bundles(texts: list[str], groups: list[int], n: int, dimensions: int) -> np.ndarray:
-    """The sum of all 3-gram vectors of each of ``n`` groups of texts."""
+def bundles(texts: list[str], groups: list[int], n: int, dimensions: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """The sum of all 3-gram vectors of each of ``n`` groups of texts; their numbers are added to ``sizes``."""
     alphabet, total = _alphabet(dimensions), np.zeros((n, dimensions))
     held: list[tuple[int, np.ndarray]] = []
     size = 0
@@ -108,6 +119,8 @@ def bundles(texts: list[str], groups: list[int], n: int, dimensions: int) -> np.
 
     for text, group in zip(texts, groups):
         symbols = alphabet.symbols(text) if text else np.empty(0, np.int32)
+        if sizes is not None:
+            sizes[group] += max(0, len(symbols) - 2)
         for low in range(0, len(symbols) - 2, _CHARS):
             held.append((group, symbols[low:low + _CHARS + 2]))
             size += len(held[-1][1])
@@ -151,13 +164,48 @@ def prototypes(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str]
             vectors[lengths > 0] / lengths[lengths > 0, None])
 
 
-def _cosines(texts: list[str], names: list[str], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The cosine of each text with each prototype, and whether the text has a letter and there is a prototype."""
+def _cosines(texts: list[str], names: list[str], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cosine of each text with each prototype, whether the text has a letter and there is a prototype, its band."""
     if not names:
-        return np.zeros((len(texts), 1)), np.zeros(len(texts), bool)
-    own = bundles(texts, list(range(len(texts))), len(texts), vectors.shape[1])
+        return np.zeros((len(texts), 1)), np.zeros(len(texts), bool), np.zeros(len(texts), np.int64)
+    sizes = np.zeros(len(texts))
+    own = bundles(texts, list(range(len(texts))), len(texts), vectors.shape[1], sizes)
     lengths = np.linalg.norm(own, axis=1)
-    return own @ vectors.T / np.maximum(lengths, 1e-9)[:, None], lengths > 0
+    different = np.maximum(sizes, 1) ** 2 * vectors.shape[1] / np.maximum(lengths, 1e-9) ** 2
+    band = np.clip(np.floor(np.log2(np.maximum(different, 1))), 0, BANDS - 1).astype(np.int64)
+    return own @ vectors.T / np.maximum(lengths, 1e-9)[:, None], lengths > 0, band
+
+
+def cuts(docs: DataFrame, names: list[str], vectors: np.ndarray, least: float = LEAST_SCORE) -> np.ndarray:
+    """The least cosine of each language (rows) in each band, from the rows of ``docs`` with ``lang``.
+
+    Spark counts cosines by language, band and thousandth; the driver gets at most so many counts.
+    """
+    def scan(batches):
+        for part in slices(batches, 500):
+            langs = part.column(1).to_pylist()
+            cosine, known, band = _cosines(part.column(0).to_pylist(), names, vectors)
+            rows = [i for i, lang in enumerate(langs) if known[i] and lang in names]
+            own = np.array([names.index(langs[i]) for i in rows], np.int64)
+            bins = np.clip(cosine[rows, own] * _BINS, 0, _BINS - 1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x.astype(np.int32)) for x in (own, band[rows], bins)], ["own", "band", "bin"])
+
+    counts = np.zeros((len(names), BANDS, _BINS), np.int64)
+    if names:
+        for r in docs.where("lang IS NOT NULL").select("text", "lang").mapInArrow(
+                scan, "own int, band int, bin int").groupBy("own", "band", "bin").count().collect():
+            counts[r["own"], r["band"], r["bin"]] = r["count"]
+    got = np.full((len(names), BANDS), least)
+    for own, band in np.ndindex(*got.shape):
+        low = band
+        while low and counts[own, low:band + 1].sum() < LEAST_ROWS:
+            low -= 1
+        below = counts[own, low:band + 1].sum(axis=0).cumsum()
+        if below[-1]:
+            usual = np.flatnonzero(below > below[-1] * LOW)[0] / _BINS
+            got[own, band] = max(least, (least + usual) / 2)
+    return got
 
 
 def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
@@ -168,7 +216,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
 
     def scan(batches):
         for part in slices(batches, 500):
-            cosine, known = _cosines(part.column(0).to_pylist(), names, vectors)
+            cosine, known, _ = _cosines(part.column(0).to_pylist(), names, vectors)
             best = cosine.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), part.column(2),
@@ -181,14 +229,17 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
 
 
 def language_stage(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of at least ``least``."""
+    """The rows of ``docs`` whose language is known with a score of at least ``least`` and the cut of its band."""
     names, vectors = prototypes(docs.where(~held_out()))
+    levels = cuts(docs.where(held_out()), names, vectors, least)
     columns, at = docs.columns, docs.columns.index("text")
 
     def scan(batches):
         for part in slices(batches, 500):
-            cosine, known = _cosines(part.column(at).to_pylist(), names, vectors)
-            stays = part.filter(pa.array(known & (cosine.max(axis=1) >= least)))
+            cosine, known, band = _cosines(part.column(at).to_pylist(), names, vectors)
+            if names:
+                known &= cosine.max(axis=1) >= levels[cosine.argmax(axis=1), band]
+            stays = part.filter(pa.array(known, pa.bool_()))
             yield pa.RecordBatch.from_arrays(stays.columns, columns)
 
     return docs.mapInArrow(scan, docs.schema)

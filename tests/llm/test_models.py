@@ -77,6 +77,18 @@ def test_language_without_letters_or_training(docs_of):
     assert {r["doc_id"] for r in langid.language_stage(docs).collect()} == {4, 5}
 
 
+def test_stage_rejects_scripts_and_letters_it_has_not_learned(mixed, docs_of):
+    """Every planted text goes, every learned one stays."""
+    rng = random.Random(9)
+    learned = [(r["doc_id"], r["text"], r["lang"]) for r in mixed.collect()]
+    letters = [[chr(c) for c in range(*span)] for span in (
+        (0x3B1, 0x3CA), (0x430, 0x450), (0x5D0, 0x5EB), (0x4E00, 0x4F00), (0x61, 0x7B))]
+    noise = [(1000 + i, sentences(rng, ["".join(rng.choice(own) for _ in range(rng.randint(2, 9))) for _ in range(300)], n), None)
+             for i, (own, n) in enumerate((own, n) for own in letters for n in (20, 150, 1000) for _ in range(8))]
+    left = {r["doc_id"] for r in langid.language_stage(docs_of(learned + noise)).collect()}
+    assert left == {d for d, _, _ in learned}
+
+
 def base_scores(rows):
     train = [t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
     tokens = lambda t: (t or "").encode().lower().split() + [b"\n"]
