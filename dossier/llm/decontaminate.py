@@ -1,15 +1,20 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts and items are lower-cased and their white space is made single blanks. An item of n characters may
-differ by ``budget(n)`` edits: a tenth of it, as long as every piece has ``LEAST_PIECE`` characters or more.
-It is split into one piece more than that, so any stretch of text within the budget holds at least one
-piece exactly. An automaton finds all pieces in one pass over each text; every place they point to is
-verified with Myers' bit-parallel distance, and the best stretch of each item in each text is returned.
+differ by ``budget(n)`` edits, a tenth of it. It is split into one piece more than that, so any stretch of text
+within the budget holds at least one piece exactly. An automaton finds all pieces in one pass over each text.
+
+Pieces are short (``LEAST_PIECE`` characters or more, about ten) and many places hold one by chance, so they
+stand in groups of two, or three for one group of an odd number. As the groups' sizes add up to one more than the budget,
+some group has fewer edits than pieces, and so a piece without one. Of the halves of its other pieces, two a
+piece, at least as many as there are other pieces are then untouched and stand within as many characters of their
+place. Only such places are verified, with Myers' bit-parallel distance, and the best stretch of each item in each
+text is returned; nothing within the budget is lost.
 
 Items are read in blocks of about ``BLOCK_CHARS`` characters, dealt by a hash, so that what goes to the
 driver and the tasks at once is bounded however many items there are; every text meets every block.
 
-Null and empty texts and items hold nothing; items shorter than ``LEAST_PIECE`` must occur exactly.
+Null and empty texts and items hold nothing; items shorter than ten characters must occur exactly.
 Repeated text rows give repeated results, repeated item rows one. Ties go to the first stretch. Extra columns are
 ignored by ``decontamination`` and kept by ``decontamination_stage``; an empty table gives no match.
 """
@@ -25,7 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from dossier.llm.common import slices, written
 
 SHARE = 0.1
-LEAST_PIECE = 12
+#: The shortest piece that the budget makes of an item with edits: half of ten characters.
+LEAST_PIECE = 5
 BLOCK_CHARS = 4_000_000
 
 
@@ -35,7 +41,7 @@ def plain(text: str) -> str:
 
 def budget(n: int) -> int:
     """Edits an item of n characters may differ by."""
-    return max(0, min(int(n * SHARE), n // LEAST_PIECE - 1))
+    return int(n * SHARE)
 
 
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
@@ -44,6 +50,21 @@ def pieces(item: str, edits: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def halves(cut: list[tuple[int, str]], at: int) -> tuple[int, list[tuple[str, int, int]]]:
+    """How many of the group's other pieces' halves a place of piece ``at`` needs, and for each (half, low, high):
+    it must lie between these, counted from the place."""
+    first = min(at // 2 * 2, max(0, len(cut) - 2 - len(cut) % 2))
+    last = first + 2 if first + 2 < len(cut) - len(cut) % 2 else len(cut)
+    others = [cut[i] for i in range(first, last) if i != at]
+    found = []
+    for offset, piece in others:
+        middle = len(piece) // 2
+        for part, start in ((piece[:middle], offset), (piece[middle:], offset + middle)):
+            low = start - cut[at][0] - len(others)
+            found.append((part, low, low + len(part) + 2 * len(others)))
+    return len(others), found
+
+
 def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     """(distance, end) of the best stretch of ``text`` for ``pattern``, the first of equals, or None."""
     n = len(pattern)
@@ -81,10 +102,11 @@ class Finder:
 
     def __init__(self, items: list[tuple[object, str]]):
         self.items, self.budgets = items, [budget(len(t)) for _, t in items]
-        at: dict[str, list[tuple[int, int]]] = {}
+        at: dict[str, list[tuple]] = {}
         for i, (_, item) in enumerate(items):
-            for offset, piece in pieces(item, self.budgets[i]):
-                at.setdefault(piece, []).append((i, offset))
+            cut = pieces(item, self.budgets[i])
+            for j, (offset, piece) in enumerate(cut):
+                at.setdefault(piece, []).append((i, offset, *halves(cut, j)))
         self.automaton = ahocorasick.Automaton()
         for piece, places in at.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -94,8 +116,13 @@ class Finder:
         """(item, distance, start, end) of every item found, its best stretch."""
         spots: dict[int, list[int]] = {}
         for end, (size, places) in self.automaton.iter(text):
-            for item, offset in places:
-                spots.setdefault(item, []).append(end + 1 - size - offset)
+            start = end + 1 - size
+            for item, offset, need, near in places:
+                for part, low, high in near:
+                    if need and text.find(part, max(0, start + low), max(0, start + high)) >= 0:
+                        need -= 1
+                if not need:
+                    spots.setdefault(item, []).append(start - offset)
         found = []
         for item, starts in spots.items():
             pattern, most, best = self.items[item][1], self.budgets[item], None

@@ -101,6 +101,31 @@ def test_matches_against_brute_force(spark, docs_of):
     assert len(want) > 10
 
 
+def test_a_tenth_of_an_item_may_differ(spark, docs_of):
+    """Items of all lengths with as many edits as a tenth of their characters, and one more, by the plain recurrence."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    sizes = [10, 11, 15, 19, 20, 23, 30, 45, 70, 95, 120, 233]
+    items = [(i, (" ".join(word() for _ in range(90)))[:n].strip().ljust(n, "z")) for i, n in enumerate(sizes)]
+    rows = []
+    for i, item in items:
+        for edits in {1, len(item) // 10 - 1, len(item) // 10, len(item) // 10 + 1}:
+            for _ in range(2):
+                chosen = list(item)
+                for _ in range(edits):
+                    at = rng.randrange(1, len(chosen) - 1)
+                    chosen[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "y"])
+                rows.append((len(rows), f"{word()} {''.join(chosen)} {word()}"))
+    replaced = items[9][1][:40] + "qqqqqqqq" + items[9][1][48:]
+    rows.append((len(rows), replaced))
+    want = {(d, i, best) for d, t in rows for i, item in items
+            if (best := distances(decontaminate.plain(item), decontaminate.plain(t))) <= len(item) // 10}
+    assert any(d == len(rows) - 1 and 7 <= best <= 9 for d, _, best in want)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.decontamination(docs_of(rows), table)
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got.collect()} == want
+
+
 def test_pieces_of_an_item_are_more_than_its_budget():
     for n in range(1, 400):
         edits = decontaminate.budget(n)
