@@ -45,9 +45,14 @@ ROOT = np.array([0.0, -8.0, -4.0])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp "
-    "small span strike strong sub sup time tt u var center nobr".split())
+    "small span strike strong sub sup time tt u var center nobr "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+#: Formula rows and cells are inline, but words of two of them do not run together.
+CELLS = frozenset("mtable mtr mtd".split())
 UNSEEN = frozenset(
-    "script style noscript template svg iframe textarea select button title object canvas math audio video".split())
+    "script style noscript template svg iframe textarea select button title object canvas audio video "
+    "annotation annotation-xml".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split())
@@ -169,6 +174,8 @@ class Page:
             tag = tag.lower()
             if tag in INLINE:
                 in_link = not closing if tag == "a" else in_link
+                if tag in CELLS:
+                    self.parts.append((-1, " "))
                 continue
             if tag in UNSEEN:
                 if not closing and not attributes.endswith("/"):

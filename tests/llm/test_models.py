@@ -264,6 +264,14 @@ def test_text_of_blocks(spark):
     assert mainhtml.main_text(pages).first()["text"] == "Big title Onebold & two three four un©closed end"
 
 
+def test_formulas_are_read_as_text(spark):
+    source = ("<body><article><p>The law <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow>"
+              "<annotation encoding='TeX'>E=mc^2</annotation></semantics></math> holds, and <math><mtable><mtr><mtd><mn>1</mn></mtd>"
+              "<mtd><mn>0</mn></mtd></mtr></mtable></math> is a row.</p></article></body>")
+    pages = spark.createDataFrame([(1, "u", source)], "page_id long, url string, html string")
+    assert mainhtml.main_text(pages).first()["text"] == "The law E=mc2 holds, and 1 0 is a row."
+
+
 def test_pages_of_the_test_tables(spark, sf):
     import html
     import re
