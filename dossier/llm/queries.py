@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dossier.llm import (
-    brown, decontaminate, langid, license, lines, mainhtml, pieces, quality, simhash, substrings)
+    brown, decontaminate, langid, license, lines, mainhtml, periodic, pieces, quality, simhash, substrings)
 from dossier.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,8 @@ def op9_line_dedup(spark, sf_dir):
 @query
 def op10_pieces(spark, sf_dir):
     return pieces.encode(documents(spark, sf_dir))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic.run_digests(periodic.planted(documents(spark, sf_dir)))
