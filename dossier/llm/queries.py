@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dossier.llm import (
-    brown, decontaminate, langid, license, lines, mainhtml, periodic, pieces, quality, simhash, substrings)
+    brown, decontaminate, langid, license, lines, mainhtml, negatives, periodic, pieces, quality, simhash, substrings)
 from dossier.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op9_line_dedup": lines.ORACLE}
+ORACLES: dict[str, str] = {"op9_line_dedup": lines.ORACLE, "op12_hard_negatives": negatives.ORACLE}
 
 
 def query(fn: Query) -> Query:
@@ -77,3 +77,8 @@ def op10_pieces(spark, sf_dir):
 @query
 def op11_periodic_runs(spark, sf_dir):
     return periodic.run_digests(periodic.planted(documents(spark, sf_dir)))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
