@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dossier.llm import (
-    brown, decontaminate, langid, license, lines, mainhtml, negatives, periodic, pieces, quality, simhash, substrings)
+    brown, decontaminate, langid, license, lines, mainhtml, negatives, packing, periodic, pieces, quality, simhash,
+    substrings)
 from dossier.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +83,8 @@ def op11_periodic_runs(spark, sf_dir):
 @query
 def op12_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_packing(spark, sf_dir):
+    return packing.piece_checksums(documents(spark, sf_dir))

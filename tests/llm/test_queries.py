@@ -16,7 +16,8 @@ def test_against_sql(name, spark, sf):
     assert difference(queries.QUERIES[name](spark, sf), queries.ORACLES[name], duck(sf)) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op8_decontamination"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {
+    "op8_decontamination", "op12_hard_negatives", "op13_packing"}))
 def test_a_row_for_every_row(name, spark, sf):
     table = spark.read.parquet(f"{sf}/{ROWS.get(name, 'documents')}.parquet")
     got = queries.QUERIES[name](spark, sf)
