@@ -12,9 +12,10 @@ group is packed by itself: a task holds a few megabytes whatever the input. A gr
 as its tokens fill, and for the rest sequences of a power of two, which need no padding; cutting fills them all, so
 no token of padding is left. A group makes at most as many cuts as it has sequences.
 
-Tokenizing: a blank behind a printable ASCII character always starts a new word of the byte-level pre-tokenizer, so a
-text is encoded segment by segment and a worker keeps the ids of recent segments, up to ``KEPT`` bytes. The ids equal
-those of the whole text (tested against the library).
+Tokenizing: the byte-level pre-tokenizer starts a new word at white space behind other characters, and where letters end
+or begin at a stop; so a text is encoded segment by segment, and a worker keeps the ids of recent segments, up to
+``KEPT`` bytes. The new segments of a text are encoded as one text. The ids equal those of the whole text (tested against
+the library).
 
 A null text is empty and has the one token ``END``; repeated rows are packed each; a null doc_id is carried along;
 other columns are ignored; an empty table gives an empty result.
@@ -22,6 +23,7 @@ other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import insort
 from collections.abc import Iterator
@@ -41,11 +43,17 @@ QUADRATIC = 1 / 4608
 # Full sequences of one group.
 GROUP = 256
 #: Bytes of segments and their ids that a worker keeps, and the longest segment it keeps.
-KEPT, LONGEST = 48 << 20, 64
+KEPT, LONGEST = 64 << 20, 64
 
-_SEGMENT = re.compile(r" ?[!-~]+(?= )|.+?[!-~](?= )|.+", re.S)
 #: Bytes that an entry takes beside its own.
 _ENTRY = 150
+# White space as the pre-tokenizer sees it, and letters of Latin scripts.
+_SPACE = "\t-\r \x85\xa0  -     　"
+_LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+# Segments: blanks and a word of Latin letters, or a stop, or all up to the next blank.
+_SEGMENT = re.compile(
+    rf"[{_SPACE}]?[{_LETTER}]+(?=[{_SPACE}!-@\[-`{{-~])|[.,](?=[{_SPACE}A-Za-z0-9])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_BLANK_FIRST = re.compile(rf"[{_SPACE}]+[^{_SPACE}]")
 
 
 class Segments(dict):
@@ -53,24 +61,47 @@ class Segments(dict):
 
     def __init__(self, model: str):
         super().__init__()
-        self.tokenizer, self.size = Tokenizer.from_file(model), 0
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of whole texts."""
-        parts = [_SEGMENT.findall(t) for t in texts]
-        new = list({s for p in parts for s in p if s not in self})
-        for s, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[s] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(self.__getitem__, p)) for p in parts]
-        for s in new:
-            if len(s) > LONGEST:
-                del self[s]
-            else:
-                self.size += _ENTRY + len(s) + len(self[s])
-        if self.size > KEPT:
-            self.clear()
-            self.size = 0
-        return out
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer, self.size, self.before = Tokenizer.from_file(model), 0, {}
+        vocabulary = self.tokenizer.get_vocab()  # a character of a byte-level token stands for a byte
+        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.widths[list(vocabulary.values())] = [len(t) for t in vocabulary]
+
+    def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(e.ids, "<u4")
+
+    def _learn(self, new: list[str], found: dict[str, bytes]) -> None:
+        """Encode segments: those that begin with a blank as one text, cut by the bytes of its tokens."""
+        joined = [s for s in new if _BLANK_FIRST.match(s)]
+        if len(joined) < len(new):
+            rest = list(set(new).difference(joined))
+            found.update(zip(rest, (ids.tobytes() for ids in self._ids(rest))))
+        if joined:
+            (ids,) = self._ids(["".join(joined)])
+            ends = np.cumsum([len(s.encode()) for s in joined])
+            cuts = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
+            body, start = ids.tobytes(), 0
+            for s, cut in zip(joined, (4 * cuts).tolist()):
+                found[s] = body[start:cut]
+                start = cut
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a whole text."""
+        parts = _SEGMENT.findall(text)
+        row = list(map(self.get, parts))
+        if None in row:
+            new = {s: self.before.get(s) for s, ids in zip(parts, row) if ids is None}
+            self._learn([s for s, ids in new.items() if ids is None], new)
+            row = [new[s] if ids is None else ids for s, ids in zip(parts, row)]
+            short = {s: ids for s, ids in new.items() if len(s) <= LONGEST}
+            self.update(short)
+            self.size += _ENTRY * len(short) + sum(map(len, short)) + sum(map(len, short.values()))
+            if self.size > KEPT // 2:  # the segments used since the last time stay within reach
+                self.before = dict(self)
+                self.clear()
+                self.size = 0
+        return b"".join(row)
 
 
 def _pieces_of(model: str, capacity: int, end: int):
@@ -81,8 +112,8 @@ def _pieces_of(model: str, capacity: int, end: int):
         segments = Segments(model)
         for part in slices(batches, 500):
             doc_ids, columns = [], [[], [], [], []]
-            for at, ids in enumerate(segments.encode([t or "" for t in part.column(1).to_pylist()])):
-                ids += last
+            for at, text in enumerate(part.column(1).to_pylist()):
+                ids = segments.encode(text or "") + last
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
                     doc_ids.append(at)

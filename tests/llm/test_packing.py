@@ -20,7 +20,8 @@ def whole(text):
 
 
 def segmented(texts):
-    return [np.frombuffer(b, "<u4").tolist() for b in packing.Segments(packing.MODEL).encode(texts)]
+    segments = packing.Segments(packing.MODEL)
+    return [np.frombuffer(segments.encode(t), "<u4").tolist() for t in texts]
 
 
 TRICKY = [
@@ -41,13 +42,14 @@ def test_segments_of_odd_characters(text):
 
 
 def test_kept_segments_stay_bounded(monkeypatch):
-    monkeypatch.setattr(packing, "KEPT", 2000)
+    monkeypatch.setattr(packing, "KEPT", 2000)  # a thousand bytes, then one text more
     segments = packing.Segments(packing.MODEL)
     rng = random.Random(1)
     for _ in range(30):
         text = " ".join(f"w{rng.randrange(500)}" for _ in range(50)) + "漢" * 100
-        assert np.frombuffer(segments.encode([text])[0], "<u4").tolist() == whole(text)
-        assert segments.size <= 2000 and all(len(s) <= packing.LONGEST for s in segments)
+        assert np.frombuffer(segments.encode(text), "<u4").tolist() == whole(text)
+        assert segments.size <= 1000 and all(len(s) <= packing.LONGEST for s in segments)
+        assert len(segments.before) < 60
 
 
 def plainly(lengths, capacity, quadratic):
