@@ -40,8 +40,8 @@ POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90
 #: Anchors that the centroids are fitted on, centroids, and rounds of the fit.
 SAMPLE, CLUSTERS, ROUNDS = 4096, 32, 8
-#: Candidates that a task holds at a time.
-SLICE = 65_536
+#: Candidates that a task holds at a time, and the fewest that are worth a slice of their own.
+SLICE, LEAST_SLICE = 65_536, 1024
 #: Places of the list looked at before the stopping rule is asked again.
 STEP = 1024
 
@@ -282,7 +282,8 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = POSITIVES, negativ
     thetas = np.zeros(len(centroids))
     for row in named.groupBy("cluster").agg(F.max("angle").alias("angle")).collect():
         thetas[row["cluster"]] = row["angle"]
-    slices = max(-(-n // slice_rows), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = max(1, -(-n // slice_rows), min(
+        -(-n // LEAST_SLICE), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     visit = (slices, width, centroids, thetas, low, high)
     near = written(_visit(table, named, *visit, positives), "positives")
     bands = near.groupBy("anchor").agg(F.array_sort(F.collect_list(
