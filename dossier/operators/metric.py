@@ -99,6 +99,12 @@ def ranking_metric(scored: DataFrame, id_col: str = "id", target: str = "target"
         F.count_if(captured).alias("n_captured"),
         F.sum(F.when(is_positive, F.col("cum_weight")).cast("decimal(20,0)")).alias("ranks"))
 
+    return metric_from_sums(sums, groups)
+
+
+def metric_from_sums(sums: DataFrame, groups: list[str] | None = None) -> DataFrame:
+    """The metric from ``n_rows, n_positive, n_captured`` and ``ranks``, the running weights of the positives summed."""
+    groups = groups or []
     p, n = F.col("n_positive"), F.col("n_rows") - F.col("n_positive")
     wide = lambda c: c.cast("decimal(19,0)")                       # noqa: E731
     total = p + NEGATIVE_WEIGHT * n

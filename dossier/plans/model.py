@@ -11,12 +11,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from dossier.functions.levels import is_fractional
 from dossier.operators.audits import align_features
 from dossier.operators.metric import ranking_metric
-from dossier.session import scratch_path, work_dir
+from dossier.operators.rounds import probability
+from dossier.session import remove_scratch, scratch_path, work_dir
 from dossier.spec import EntitySpec
 
 # How the boosted model is fitted unless told otherwise. Depth 7
@@ -87,11 +88,6 @@ def expected_features(model: PipelineModel) -> list[str]:
     return list(model.stages[0].getInputCols())
 
 
-def probability(margin: Column) -> Column:
-    """The probability of a boosted margin under logistic loss."""
-    return 1 / (1 + F.exp(-2 * margin))
-
-
 def leaf_values(spark: SparkSession, model: PipelineModel) -> Column:
     """``values[tree][leaf]``: what each leaf adds to the margin, as a one-value subquery.
 
@@ -183,24 +179,45 @@ def node_table(spark: SparkSession, model_path: str, rounds: int | None = None)
         (F.col("gain") * F.col("rawCount")).alias("gain"))
 
 
-def cut_saved_model(spark: SparkSession, model: PipelineModel, path: str, rounds: int) -> None:
-    """Save a model with its first ``rounds`` trees only."""
+def cut_saved_model(spark: SparkSession, model: PipelineModel, path: str, rounds: int,
+                    leaves: DataFrame | None = None) -> None:
+    """Save a model with its first ``rounds`` trees only.
+
+    ``leaves`` (``tree, leaf, value``), where given, replaces what each leaf predicts; the leaves of a
+    tree are numbered by node id.
+    """
     if not 1 <= rounds <= trees_of(model).getNumTrees:
         raise ValueError(f"cannot keep {rounds} of {trees_of(model).getNumTrees} rounds")
     model.write().overwrite().save(path)
-    if rounds == trees_of(model).getNumTrees:
+    if rounds == trees_of(model).getNumTrees and leaves is None:
         return
     whole = scratch_path(spark, "whole-model")
     model.write().save(whole)
     place = f"stages/{len(model.stages) - 1}_{trees_of(model).uid}"
     for part in ("data", "treesMetadata"):
         rows = spark.read.parquet(f"{whole}/{place}/{part}")
-        (rows.where(F.col(rows.columns[0]) < rounds)        # the tree's number
-         .write.mode("overwrite").parquet(f"{path}/{place}/{part}"))
+        kept = rows.where(F.col(rows.columns[0]) < rounds)        # the tree's number
+        if part == "data" and leaves is not None:
+            kept = _with_leaf_values(kept, leaves)
+        kept.write.mode("overwrite").parquet(f"{path}/{place}/{part}")
     facts = json.loads(spark.read.text(f"{whole}/{place}/metadata").first()[0])
     facts["numTrees"] = rounds
+    facts["numFeatures"] = len(expected_features(model))
     (spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1)
      .write.mode("overwrite").text(f"{path}/{place}/metadata"))
+    remove_scratch(spark, whole)
+
+
+def _with_leaf_values(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
+    """A node table in which every leaf predicts its value; other columns stay."""
+    # Bounded: one window row per node of a tree.
+    by_node = Window.partitionBy("treeID").orderBy(~F.col("nodeData.leftChild").eqNullSafe(-1), "nodeData.id")
+    numbered = nodes.withColumn("_leaf", F.when(
+        F.col("nodeData.leftChild") < 0, F.row_number().over(by_node) - 1))
+    joined = numbered.join(
+        leaves, (F.col("treeID") == F.col("tree")) & (F.col("_leaf") == F.col("leaf")), "left")
+    value = F.when(F.col("_leaf").isNull(), F.col("nodeData.prediction")).otherwise(F.col("value"))
+    return joined.withColumn("nodeData", F.col("nodeData").withField("prediction", value)).select(nodes.columns)
 
 
 def feature_gains(spark: SparkSession, model_path: str, features: list[str],

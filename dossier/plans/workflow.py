@@ -17,11 +17,10 @@ from dossier.operators.importance import (
     importance_table, merge_by_base, ranked, top_features, unused_features)
 from dossier.operators.joins import join_labels, unique_rows
 from dossier.operators.metric import ranking_metric
-from dossier.operators.selection import best_iteration
 from dossier.operators.splits import (
     assign_splits, class_balance, label_coverage, route_labelled, split_overlap, split_report)
 from dossier.operators.vocabulary import Vocabulary, unseen_levels
-from dossier.plans import model as trees
+from dossier.plans import boosting, model as trees
 from dossier.session import remove_scratch, scratch_path
 from dossier.sources import lineage, registry
 from dossier.sources.artifacts import ensure_vocabulary, load_vocabulary, materialize
@@ -115,9 +114,9 @@ def collapse_job(spark: SparkSession, source: str, out: str, log: str, spec: Ent
 
 
 def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: EntitySpec,
-              params: dict | None = None, patience: int = trees.PATIENCE, every: int = 1,
-              force: bool = False, code_version: str | None = None) -> str:
-    """Fit on the train split, pick the round on the validation split, register the run."""
+              params: dict | None = None, patience: int = trees.PATIENCE, block: int = boosting.BLOCK,
+              l2: float = boosting.L2, force: bool = False, code_version: str | None = None) -> str:
+    """Fit on the train split until the validation split stops improving, register the run."""
     log = f"{split_dir}/lineage"
     source = {n: folder(f"{split_dir}/statements", n) for n in ("train", "validation")}
     truth = {n: folder(f"{split_dir}/labels", n) for n in ("train", "validation")}
@@ -143,38 +142,29 @@ def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: Ent
     expected = [c for c in features["train"].columns if c != spec.id_col]
     levels = code_levels(vocabulary)
     settings = {**trees.PARAMS, "seed": spec.seed, **(params or {})}
-    model = trees.fit_trees(labelled["train"], spec, expected, levels, settings)
-
-    staged_path = scratch_path(spark, "staged")
-    write_table(trees.staged_scores(labelled["validation"], model, spec, levels, every,
-                                    [spec.target_col]), staged_path)
-    staged = trees.staged_metric(spark.read.parquet(staged_path), spec)
-    staged_metrics = scratch_path(spark, "staged-metric")
-    write_table(staged, staged_metrics)
-    by_round = spark.read.parquet(staged_metrics)
-    picked = best_iteration(by_round, patience=patience).first()
-    best = by_round.where(F.col("iteration") == picked.best_iteration).first()
+    boosted = boosting.boost(labelled["train"], labelled["validation"], spec, expected, levels, settings,
+                             patience, block, l2)
 
     run_id = registry.new_run_id(spec.seed)
     meta = {
         "run_id": run_id, "split_id": split_id, "feature_version": FEATURE_VERSION,
         "feature_name": expected, "cat_cols": list(spec.cat_cols), "categories": vocabulary,
-        "categories_digest": json_digest(vocabulary), "best_iteration": picked.best_iteration,
-        "valid_metric": {m: best[m] for m in ("score", "gini", "top4", "auc")},
+        "categories_digest": json_digest(vocabulary), "best_iteration": boosted.best_iteration,
+        "rounds_fitted": len(boosted.trees),
+        "valid_metric": {m: boosted.best[m] for m in boosting.METRICS},
         "params": {k: str(v) for k, v in settings.items()}, "params_digest": json_digest(settings),
         "trained_on": table["train"], "validated_on": table["validation"],
         "inputs": {path: lineage.split_id_of(spark, log, path)
                    for path in (*table.values(), *truth.values())},
         "code_version": code_version, "labels": report,
     }
-    registry.save_run(spark, registry_root, run_id, lambda path: trees.cut_saved_model(
-        spark, model, path, picked.best_iteration), meta)
+    registry.save_run(spark, registry_root, run_id, lambda path: boosted.save(spark, path), meta)
     lineage.record(spark, log, registry.run_dir(registry_root, run_id), split_id=split_id, run_id=run_id,
                    seed=spec.seed, produced_by="train_job", feature_version=FEATURE_VERSION,
                    features=len(expected), customers=report["train"]["rows"],
                    unlabelled=report["train"]["unlabelled"], positives=report["train"]["positives"],
                    levels=sum(map(len, vocabulary.values())), code_version=code_version)
-    remove_scratch(spark, staged_path, staged_metrics, *scratch)
+    remove_scratch(spark, *scratch)
     return run_id
 
 

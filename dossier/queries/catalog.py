@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,7 @@ from dossier.functions.digest import split_digest, table_digest
 from dossier.functions.levels import folded_label, level_label
 from dossier.functions.naming import base_column
 from dossier.functions.numeric import half_round
-from dossier.operators import audits, importance, joins, metric, splits, vocabulary
+from dossier.operators import audits, importance, joins, metric, rounds, splits, vocabulary
 from dossier.operators.collapse import (
     BATCH_AGGREGATES, category_features, collapse, numeric_features)
 from dossier.operators.prefix import prefix_sum
@@ -635,6 +636,40 @@ def run_metadata(spark, sf_dir):
         F.element_at("categories", F.col("split_id"))[1].alias("last_level"))
 
 
+@query
+def statement_tables(spark, sf_dir):
+    """Which tables hold the columns of a statement table, and how many rows they have."""
+    parts = []
+    for name in ("orders", "lineitem", "customer", "events", "documents"):
+        rows, fits = st.table(spark, sf_dir, name), True
+        try:
+            ORDERS.require(rows.columns)
+        except KeyError:
+            fits = False
+        parts.append(rows.agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("tab"), "n_rows", F.lit(fits).alias("is_statements")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def lacking_features(spark, sf_dir):
+    """Features built without one level, where a model expects all: refused, with the feature's name."""
+    rows = st.statements(spark, sf_dir)
+    whole = vocabulary.fit_vocabulary(rows, ORDERS)
+    expected = [c for c in category_features(rows, ORDERS, whole).columns if c != "o_custkey"]
+    fewer = rows.where("o_orderstatus <> 'P'")
+    features = category_features(fewer, ORDERS, vocabulary.fit_vocabulary(fewer, ORDERS) | {
+        "o_orderpriority": whole["o_orderpriority"]})
+    refused = False
+    try:
+        audits.align_features(features, "o_custkey", expected)
+    except KeyError:
+        refused = True
+    return features.agg(F.count("*").alias("n_entities")).select(
+        "n_entities", F.lit(refused).alias("refused"),
+        F.array(*[F.lit(c) for c in expected if c not in features.columns]).alias("lacking"))
+
+
 # --- models ----------------------------------------------------------------
 
 def _fitted(spark, sf_dir):
@@ -713,9 +748,9 @@ def importance_shares(spark, sf_dir):
         "feature", (F.abs(F.col("gain_pct") / 100 - F.col("own")) < 1e-9).alias("agrees"))
 
 
-def _split_run(spark, sf_dir):
+def _split_run(spark, sf_dir, **changes):
     from dossier.plans.workflow import split_job
-    spec = replace(ORDERS, target_col="target")
+    spec = replace(ORDERS, target_col="target", **changes)
     out = scratch_path(spark, "split-job")
     return split_job(spark, st.statements(spark, sf_dir), st.customer_labels(spark, sf_dir), out, spec), out, spec
 
@@ -736,7 +771,7 @@ def trained_run(spark, sf_dir):
     """The shipped settings but for the number of rounds: split, train, register, predict, guard."""
     from pyspark.ml import PipelineModel
 
-    from dossier.plans.workflow import check_model_fits, folder, predict_job, train_job
+    from dossier.plans.workflow import folder, predict_job, train_job
     cut, out, spec = _split_run(spark, sf_dir)
     root = scratch_path(spark, "runs")
     run = train_job(spark, out, root, spec, {"maxIter": 5})
@@ -745,9 +780,10 @@ def trained_run(spark, sf_dir):
     predictions, scored, audit = predict_job(
         spark, folder(cut.statements, "test"), out, root, scratch_path(spark, "predicted"), spec,
         labels=folder(cut.labels, "test"))
+    other, elsewhere, _ = _split_run(spark, sf_dir, seed=7)
     refused = False
     try:
-        check_model_fits(meta, "another split")
+        predict_job(spark, folder(other.statements, "test"), elsewhere, root, scratch_path(spark, "refused"), spec)
     except ValueError:
         refused = True
     kept = trees.trees_of(PipelineModel.load(path)).getNumTrees
@@ -760,6 +796,60 @@ def trained_run(spark, sf_dir):
         "same_split boolean, same_score boolean, refused boolean")
 
 
+@query
+def stopped_run(spark, sf_dir):
+    """A run that patience ends long before ``maxIter``, held against ranking every round of its saved trees."""
+    from pyspark.ml import PipelineModel
+
+    from dossier.plans.workflow import folder, train_job
+    cut, out, spec = _split_run(spark, sf_dir)
+    root, patience, block = scratch_path(spark, "runs"), 3, 4
+    train_job(spark, out, root, spec, {
+        "maxIter": 200, "maxDepth": 3, "minInstancesPerNode": 5, "stepSize": 0.5}, patience, block)
+    path = registry.resolve_model(spark, root)
+    meta = registry.load_meta(spark, path)
+    model = PipelineModel.load(path)
+    features = collapse(spark.read.parquet(folder(cut.statements, "validation")), spec, meta["categories"])
+    labelled = joins.join_labels(features, spark.read.parquet(folder(cut.labels, "validation")), spec)
+    staged = spark.read.parquet(writers.write_table(trees.staged_scores(
+        labelled, model, spec, code_levels(meta["categories"]), 1, ["target"]), scratch_path(spark, "staged")))
+    by_round = trees.staged_metric(staged, spec)
+    picked = best_iteration(by_round, patience=patience).first()
+    kept, fitted = meta["best_iteration"], meta["rounds_fitted"]
+    return spark.createDataFrame(
+        [(staged.where("iteration = 1").count(), trees.trees_of(model).getNumTrees == kept == picked.best_iteration,
+          kept + patience <= fitted < kept + patience + block, fitted < 200,
+          abs(picked.best_score - meta["valid_metric"]["score"]) < 1e-12)],
+        "n_validation long, keeps_best boolean, stops_in_time boolean, stops_early boolean, same_score boolean")
+
+
+@query
+def round_histograms(spark, sf_dir):
+    """Orders scored in three rounds: the metric of each, and whether the histogram's bounds hold it."""
+    x = F.col("prediction") / 250_000 - 1
+    tied = (F.col("o_orderkey") * 7919 % 1000).cast("double") / 1000
+    rows = st.order_scores(spark, sf_dir).select("o_orderkey", "target", F.array(x, -x, tied).alias("margins"))
+    bounds = rounds.round_bounds(rounds.round_histogram(rows, "target")).select("place", "low", "high")
+    exact = rounds.exact_rounds(rows, "o_orderkey", "target", [0, 1, 2])
+    return metric.rounded_metric(exact.join(bounds, "place").withColumn(
+        "inside", F.col("score").between(F.col("low"), F.col("high"))).drop("low", "high"))
+
+
+@query
+def importance_report(spark, sf_dir):
+    """The report as a job: a loose model, its rankings as CSV files, read back."""
+    from dossier.plans.workflow import importance_job
+    model, levels, _, _, expected = _fitted(spark, sf_dir)
+    path, out = scratch_path(spark, "loose-model"), scratch_path(spark, "report")
+    model.write().save(path)
+    registry.save_meta(spark, f"{path}.meta", {
+        "feature_name": expected, "cat_cols": list(ORDERS.cat_cols), "categories": levels})
+    importance_job(spark, scratch_path(spark, "no-runs"), out, model_path=path)
+    merged = readers.read_statements(spark, f"{out}/gain_merged", kind="csv")
+    return merged.select("feature", F.col("parts").cast("bigint").alias("parts"),
+                         F.col("gain_pct").between(0, 100).alias("in_share"))
+
+
 @query
 def gbt_importance(spark, sf_dir):
     model, _, _, _, expected = _fitted(spark, sf_dir)

@@ -513,4 +513,26 @@ SELECT 'labels', split, NULL, count(*), CAST(sum(target) AS BIGINT), 42, true FR
 ORACLES["trained_run"] = f"""{HELD_OUT}
 SELECT n AS n_scored, n AS n_evaluated, 0::BIGINT AS n_unlabelled, true AS logged, true AS cut_to_best,
   true AS same_split, true AS same_score, true AS refused FROM held"""
+ORACLES["stopped_run"] = f"""
+WITH {ROUTED}
+SELECT count(DISTINCT o_custkey) AS n_validation, true AS keeps_best, true AS stops_in_time, true AS stops_early,
+  true AS same_score FROM routed WHERE split = 'validation'"""
+ORACLES["round_histograms"] = metric_sql("""
+sc AS (SELECT o_orderkey AS id, k AS grp, CAST(o_orderstatus = 'F' AS INTEGER) AS target,
+              CASE k WHEN 0 THEN o_totalprice WHEN 1 THEN -o_totalprice
+                     ELSE (o_orderkey * 7919 % 1000)::DOUBLE END AS prediction
+       FROM orders, (VALUES (0), (1), (2)) r(k))""", "grp").replace("{name}", "place").replace(
+    "n_rows, n_positive FROM sums", "n_rows, n_positive, true AS inside FROM sums")
+ORACLES["importance_report"] = """
+SELECT base AS feature, parts, true AS in_share FROM (
+  VALUES ('amount', 4::BIGINT), ('half', 4::BIGINT)) v(base, parts)
+UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus) + 2, true FROM orders
+UNION ALL SELECT 'o_orderpriority',
+  count(DISTINCT o_orderpriority) FILTER (WHERE o_orderpriority <> '4-NOT SPECIFIED') + 2, true FROM orders"""
+ORACLES["statement_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS tab, count(*) AS n_rows, {'true' if name == 'orders' else 'false'} AS is_statements FROM {name}"
+    for name in ("orders", "lineitem", "customer", "events", "documents"))
+ORACLES["lacking_features"] = """
+SELECT count(DISTINCT o_custkey) AS n_entities, true AS refused, ['o_orderstatus_P'] AS lacking FROM orders
+WHERE o_orderstatus <> 'P'"""
 ORACLES["stream_snapshot"] = ORACLES["stream_collapse"]

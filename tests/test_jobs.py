@@ -270,7 +270,7 @@ def test_split_train_predict_evaluate_report(spark, folder):
     params = {"maxIter": 6, "maxDepth": 3, "subsamplingRate": 1.0, "minInstancesPerNode": 5,
               "featureSubsetStrategy": "all", "stepSize": 0.3}
     run = workflow.train_job(spark, f"{folder}/split", f"{folder}/runs", SPEC, params,
-                             patience=3, every=1)
+                             patience=3, block=2)
     meta = registry.load_meta(spark, f"{folder}/runs/{run}/model")
     assert meta["split_id"] == cut.split_id and 1 <= meta["best_iteration"] <= 6
     assert registry.list_runs(spark, f"{folder}/runs").first().score == meta["valid_metric"]["score"]
