@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from dossier.functions.levels import is_fractional, present
 from dossier.functions.numeric import HALF_MAX
-from dossier.operators.prefix import quantile_bounds, with_range
+from dossier.operators.prefix import TIE_DIGITS, quantile_bounds, tie_hash, with_range
 from dossier.session import width
 from dossier.spec import EntitySpec
 
@@ -30,33 +30,64 @@ def entity_uniqueness(df: DataFrame, id_col: str) -> DataFrame:
             .withColumn("is_unique", F.col("n_rows") == F.col("n_entities")))
 
 
+def _blocks(segments: DataFrame, place: list[str], entities: DataFrame) -> DataFrame:
+    """Blocks from segments (``place``, first_id, last_id, inside) that follow one another in order of ``place``."""
+    # Bounded: one row per segment.
+    order = Window.orderBy(*place)
+    seams = segments.select(
+        "inside", (F.lag(F.lit(1)).over(order).isNull()
+                   | ~F.col("first_id").eqNullSafe(F.lag("last_id").over(order))).alias("opens"))
+    n_blocks = F.coalesce("n_blocks", F.lit(0))
+    return (seams.agg((F.sum("inside") + F.count_if("opens")).alias("n_blocks"))
+            .select("n_blocks", entities.scalar().alias("n_entities"))
+            .select(n_blocks.alias("n_blocks"), "n_entities", (n_blocks == F.col("n_entities")).alias("contiguous")))
+
+
 def contiguity_audit(df: DataFrame, id_col: str, seq_col: str,
                      ranges: int | None = None) -> DataFrame:
     """Blocks of consecutive rows (by ``seq_col``) of one entity, against distinct entities.
 
-    Changes are counted inside ranges of the sequence; the last id of a range is
-    then compared with the first id of the next, over one row per range.
+    Rows of one place in the sequence stand in order of a hash of their id, so repeated ids there are one; a
+    place that many rows share is cut by that hash, and rows without a place come last. Changes are counted
+    inside ranges; the last id of a range is then compared with the first id of the next.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(seq_col).alias("seq"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(seq_col).alias("seq")).distinct()
     bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession, rows.count()))
     placed = with_range(rows, "seq", bounds, descending=False)
-    before = F.lag("id").over(Window.partitionBy("_range").orderBy("seq"))
-    place = F.lag("seq").over(Window.partitionBy("_range").orderBy("seq"))
-    changed = placed.withColumn("changed", place.isNotNull() & ~F.col("id").eqNullSafe(before))
-    per_range = changed.groupBy("_range").agg(
+    tie = F.coalesce(tie_hash("id"), F.lit(""))
+    placed = placed.withColumn("tie", tie).withColumn(
+        "part", F.when(F.col("_single"), F.substring("tie", 1, TIE_DIGITS)).otherwise(F.lit("")))
+    order = F.struct("_value", "seq", "tie")
+    inside = Window.partitionBy("_range", "part").orderBy("_value", "seq", "tie")
+    first = F.row_number().over(inside) == 1
+    changed = placed.withColumn("changed", ~first & ~F.col("id").eqNullSafe(F.lag("id").over(inside)))
+    segments = changed.groupBy("_range", "part").agg(
+        F.count_if("changed").alias("inside"),
+        F.min_by("id", order).alias("first_id"), F.max_by("id", order).alias("last_id"))
+    return _blocks(segments, ["_range", "part"], rows.agg(F.countDistinct("id").alias("n_entities")))
+
+
+#: Rows of a file that are looked at together.
+FILE_PART = 1_000_000
+
+
+def file_contiguity_audit(df: DataFrame, id_col: str, part_rows: int = FILE_PART) -> DataFrame:
+    """Blocks of rows of one entity as they lie in parquet files, against distinct entities.
+
+    Files follow one another by name, rows by their place in the file. A file is cut into parts of ``part_rows``
+    rows; a part sums up as its first id, its last id and the changes between, and parts join up at their ends.
+    ``df`` is a frame read from parquet files, not changed since.
+    """
+    rows = df.select(
+        F.col(id_col).alias("id"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row")).withColumn("part", F.floor(F.col("row") / part_rows))
+    inside = Window.partitionBy("file", "part").orderBy("row")
+    changed = rows.withColumn("changed", F.lag("row").over(inside).isNotNull()
+                              & ~F.col("id").eqNullSafe(F.lag("id").over(inside)))
+    segments = changed.groupBy("file", "part").agg(
         F.count_if("changed").alias("inside"),
-        F.min_by("id", "seq").alias("first_id"), F.max_by("id", "seq").alias("last_id"))
-    # Bounded: one row per range.
-    by_range = Window.orderBy("_range")
-    seams = per_range.select(
-        "inside",
-        (F.lag("_range").over(by_range).isNull()
-         | ~F.col("first_id").eqNullSafe(F.lag("last_id").over(by_range))).alias("opens"))
-    blocks = seams.agg((F.sum("inside") + F.count_if("opens")).alias("n_blocks"))
-    entities = rows.agg(F.countDistinct("id").alias("n_entities"))
-    return (blocks.select("n_blocks", entities.scalar().alias("n_entities"))
-            .select(F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"), "n_entities",
-                    (F.coalesce("n_blocks", F.lit(0)) == F.col("n_entities")).alias("contiguous")))
+        F.min_by("id", "row").alias("first_id"), F.max_by("id", "row").alias("last_id"))
+    return _blocks(segments, ["file", "part"], rows.agg(F.countDistinct("id").alias("n_entities")))
 
 
 def order_audit(df: DataFrame, id_col: str, date_col: str, seq_col: str,

@@ -432,6 +432,24 @@ def contiguity_audit(spark, sf_dir):
     return audits.contiguity_audit(st.table(spark, sf_dir, "events"), "user_id", "event_id")
 
 
+@query
+def contiguity_tied(spark, sf_dir):
+    """Half of the events share one place in the sequence, a fifth has none."""
+    key = F.col("event_id")
+    rows = st.table(spark, sf_dir, "events").select("user_id", F.when(key % 5 != 0, F.when(
+        key % 2 == 0, 1000).otherwise(key)).alias("seq"))
+    return audits.contiguity_audit(rows, "user_id", "seq")
+
+
+@query
+def contiguity_of_files(spark, sf_dir):
+    """Events written in another order to several files, judged as the files hold them."""
+    path, group = scratch_path(spark, "event-files"), F.col("user_id") % 7
+    (st.table(spark, sf_dir, "events").withColumn("part", group).repartitionByRange(4, "part", "event_id")
+     .sortWithinPartitions("part", "event_id").write.parquet(path))
+    return audits.file_contiguity_audit(spark.read.parquet(path), "user_id", part_rows=1000)
+
+
 @query
 def order_audit(spark, sf_dir):
     return audits.order_audit(st.table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate",
@@ -511,6 +529,22 @@ def csv_late_types(spark, sf_dir):
     return readers.read_statements(spark, path)
 
 
+@query
+def csv_strict_types(spark, sf_dir):
+    """Texts that only look like numbers stay as they are, next to numbers in every notation."""
+    key = F.col("o_orderkey")
+    rows = st.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(key % 3 == 0, "1d").when(key % 3 == 1, "01").otherwise("1").alias("level"),
+        F.when(key % 5 == 0, "007").otherwise(key.cast("string")).alias("padded"),
+        F.when(key % 4 == 0, "1e3").when(key % 4 == 1, "NaN").when(key % 4 == 2, ".5").otherwise("-12").alias("number"),
+        F.when(key % 2 == 0, F.concat(F.lit("9007199254"), F.lpad(key.cast("string"), 8, "0"))).otherwise("0.5")
+        .alias("precise"),
+        F.concat(F.lit("9007199254"), F.lpad(key.cast("string"), 8, "0")).alias("long_key"))
+    got = readers.read_statements(spark, writers.write_csv(rows, scratch_path(spark, "strict-csv")))
+    return got.withColumn("number", F.nanvl("number", F.lit(None).cast("double")))
+
+
 @query
 def format_sniffing(spark, sf_dir):
     """The same rows as parquet and as CSV, both without an extension."""

@@ -355,6 +355,20 @@ SELECT count(*) FILTER (WHERE prev IS NULL OR prev <> user_id) AS n_blocks,
        count(DISTINCT user_id) AS n_entities,
        count(*) FILTER (WHERE prev IS NULL OR prev <> user_id) = count(DISTINCT user_id) AS contiguous
 FROM l"""
+def blocks_sql(rows: str, order: str) -> str:
+    return f"""
+WITH r AS ({rows}),
+l AS (SELECT user_id, lag(user_id) OVER (ORDER BY {order}) AS prev FROM r)
+SELECT count(*) FILTER (WHERE prev IS NULL OR prev <> user_id) AS n_blocks,
+       count(DISTINCT user_id) AS n_entities,
+       count(*) FILTER (WHERE prev IS NULL OR prev <> user_id) = count(DISTINCT user_id) AS contiguous
+FROM l"""
+
+
+ORACLES["contiguity_tied"] = blocks_sql("""
+SELECT DISTINCT user_id, CASE WHEN event_id % 5 <> 0 THEN CASE WHEN event_id % 2 = 0 THEN 1000 ELSE event_id END END
+  AS seq FROM events""", "seq NULLS LAST, md5(CAST(user_id AS VARCHAR))")
+ORACLES["contiguity_of_files"] = blocks_sql("SELECT user_id, event_id FROM events", "user_id % 7, event_id")
 ORACLES["order_audit"] = """
 WITH l AS (
   SELECT o_custkey, o_orderdate,
@@ -421,6 +435,12 @@ WITH o AS (
   SELECT o_orderkey, o_custkey, o_orderkey > (SELECT max(o_orderkey) FROM orders) * 0.9 AS late FROM orders)
 SELECT o_orderkey, o_custkey + CASE WHEN late THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS v,
   CASE WHEN late THEN 'text ' || o_orderkey END AS w FROM o"""
+ORACLES["csv_strict_types"] = """
+SELECT o_orderkey, ['1d', '01', '1'][o_orderkey % 3 + 1] AS level,
+  CASE WHEN o_orderkey % 5 = 0 THEN '007' ELSE CAST(o_orderkey AS VARCHAR) END AS padded,
+  [1000, NULL, 0.5, -12][o_orderkey % 4 + 1]::DOUBLE AS number,
+  CASE WHEN o_orderkey % 2 = 0 THEN '9007199254' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') ELSE '0.5' END AS precise,
+  900719925400000000 + o_orderkey AS long_key FROM orders"""
 ORACLES["format_sniffing"] = f"""
 WITH {STATEMENTS} SELECT kind, count(*) AS n_rows, count(amount) AS n_amounts, CAST(sum(amount) AS BIGINT) AS amount
 FROM st, (VALUES ('parquet'), ('csv')) k(kind) GROUP BY kind"""

@@ -8,12 +8,18 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Types a CSV column may turn out to have, narrowest first.
-PROBED_TYPES = ("bigint", "date", "timestamp", "double")
-DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# A value's text may be read as some of these; a column is what all of its values may be read as.
+WHOLE, FRACTION, DAY, MOMENT = 1, 2, 4, 8
+PROBED_TYPES = ((WHOLE, "bigint"), (DAY, "date"), (MOMENT, "timestamp"), (FRACTION, "double"))
+ANY = WHOLE | FRACTION | DAY | MOMENT
+# Only texts that the number gives back: no sign but a minus, no leading zeros, no suffix letters.
+SHORT_WHOLE = "^(0|-?[1-9][0-9]{0,14})$"       # also exact as a double
+LONG_WHOLE = "^-?[1-9][0-9]{15,18}$"
+NUMBER = ("^(-?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][-+]?[0-9]{1,2})?|NaN|nan|-?(Infinity|inf))$")
+DATE_TEXT = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+TIME_TEXT = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9]"
 # Control characters, and the mark a decoder leaves for bytes that are no text.
 NOT_TEXT = "[\\x00-\\x08\\x0E-\\x1F\uFFFD]"
-TIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d"
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -22,55 +28,72 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, probed: bool = False) -> DataFrame:
     """A CSV table under a fixed schema: no inference pass, and splits read in parallel.
 
     A value that is not of its column's type, or a row with too many or too few
-    values, fails the job; nothing is turned into a null.
+    values, fails the job; nothing but an empty text is turned into a null, and no number into another.
+    ``probed`` says that ``probe_schema`` found the schema, so that values need no second test.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (spark.read.schema(texts).option("header", True).option("enforceSchema", False)
            .option("mode", "FAILFAST").csv(path))
-    return raw.select(*[_typed(F.col(f"`{f.name}`"), f) for f in schema.fields])
+    return raw.select(*[_typed(F.col(f"`{f.name}`"), f, probed) for f in schema.fields])
 
 
-def _typed(text: Column, field: T.StructField) -> Column:
-    """A text as its column's type, or an error that shows it."""
+def readable_as(text: Column) -> Column:
+    """A bit per type that a text may be read as without changing it; a missing or empty text fits them all.
+
+    The tests come in an order in which most texts need one: each sees the whole text once. A number of more
+    digits than a double tells apart is no fraction, so a column that also holds fractions stays text.
+    """
+    digits = text.rlike(SHORT_WHOLE)
+    return (
+        F.when(text.isNull() | (text == ""), ANY)
+        .when(digits, WHOLE | FRACTION)
+        .when(text.rlike(LONG_WHOLE), F.when(text.try_cast("bigint").isNotNull(), WHOLE).otherwise(0))
+        .when(text.rlike(NUMBER) & ~text.rlike("^-?[0-9]{16}"), FRACTION)
+        .when(text.rlike(DATE_TEXT), F.when(text.try_cast("date").isNotNull(), DAY).otherwise(0))
+        .when(text.rlike(TIME_TEXT), F.when(text.try_cast("timestamp").isNotNull(), MOMENT).otherwise(0))
+        .otherwise(0))
+
+
+_BITS = {"bigint": WHOLE, "int": WHOLE, "smallint": WHOLE, "tinyint": WHOLE, "double": FRACTION, "float": FRACTION}
+
+
+def _typed(text: Column, field: T.StructField, probed: bool) -> Column:
+    """A text as its column's type, or an error that shows it; the texts of a probed column are known to fit."""
     if isinstance(field.dataType, T.StringType):
         return text.alias(field.name)
     kind = field.dataType.simpleString()
+    if probed:
+        return F.nullif(text, F.lit("")).cast(kind).alias(field.name)
     value = text.try_cast(kind)
+    fits = value.isNotNull()
+    if kind in _BITS:
+        fits &= readable_as(text).bitwiseAND(_BITS[kind]) != 0
     odd = F.raise_error(F.concat(F.lit(f"column {field.name} holds a value that is no {kind}: "), text))
-    return F.when(text.isNotNull() & value.isNull(), odd.cast(kind)).otherwise(value).alias(field.name)
+    return F.when(text.isNotNull() & (text != "") & ~fits, odd.cast(kind)).otherwise(value).alias(field.name)
 
 
 def probe_schema(spark: SparkSession, path: str,
                  text_cols: list[str] | tuple[str, ...] = ()) -> T.StructType:
     """The schema of a CSV table, judged by all of its rows in one aggregate.
 
-    A column without any value counts as a number; ``text_cols`` (ids) stay text
-    whatever they look like. A file that holds control characters or bytes that
-    are no text is refused.
+    Every value says as what it may be read, and a column is what all of them allow: ``1d`` and ``007`` are text,
+    and so is a column that holds one of them. A column without any value counts as a number; ``text_cols`` (ids)
+    stay text whatever they look like. A file that holds control characters or bytes that are no text is refused.
     """
     raw = spark.read.option("header", True).csv(path)
-
-    def all_match(test):
-        return F.coalesce(F.bool_and(test), F.lit(True))
-
     checks = []
     for i, name in enumerate(raw.columns):
         c = F.col(f"`{name}`")
         checks += [
-            (F.count(c) == 0).alias(f"{i}_empty"),
-            F.coalesce(F.bool_or(c.rlike(NOT_TEXT)), F.lit(False)).alias(f"{i}_odd"),
-            all_match(F.nullif(c, F.lit("")).try_cast("bigint").isNotNull() | c.isNull())
-            .alias(f"{i}_bigint"),
-            all_match(c.rlike(DATE_TEXT) & c.try_cast("date").isNotNull()).alias(f"{i}_date"),
-            all_match(c.rlike(TIME_TEXT) & c.try_cast("timestamp").isNotNull())
-            .alias(f"{i}_timestamp"),
-            all_match(c.try_cast("double").isNotNull() | c.isNull()).alias(f"{i}_double"),
-        ]
+            F.count(F.nullif(c, F.lit(""))).alias(f"{i}_values"),
+            F.coalesce(F.bool_or(c.rlike(NOT_TEXT)), F.lit(False)).alias(f"{i}_odd")]
+        if name not in text_cols:
+            checks.append(F.coalesce(F.bit_and(readable_as(c)), F.lit(ANY)).alias(f"{i}_types"))
     verdict = raw.agg(*checks).first()
     fields = []
     for i, name in enumerate(raw.columns):
@@ -78,10 +101,10 @@ def probe_schema(spark: SparkSession, path: str,
             raise ValueError(f"{path} is not a text table: column {i + 1} holds control characters")
         if name in text_cols:
             kind = "string"
-        elif verdict[f"{i}_empty"]:
+        elif not verdict[f"{i}_values"]:
             kind = "double"
         else:
-            kind = next((t for t in PROBED_TYPES if verdict[f"{i}_{t}"]), "string")
+            kind = next((t for bit, t in PROBED_TYPES if verdict[f"{i}_types"] & bit), "string")
         fields.append(T.StructField(name, T._parse_datatype_string(kind)))
     return T.StructType(fields)
 
@@ -115,7 +138,7 @@ def read_statements(spark: SparkSession, path: str, schema: T.StructType | str |
             if kind == "parquet" or not _no_parquet(error):
                 raise
     if rows is None:
-        rows = read_csv(spark, path, schema or probe_schema(spark, path, text_cols))
+        rows = read_csv(spark, path, schema or probe_schema(spark, path, text_cols), probed=schema is None)
     if id_col and id_col not in rows.columns:
         raise ValueError(f"{path} has no column {id_col}: it is no statement table")
     return rows

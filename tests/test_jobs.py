@@ -152,6 +152,28 @@ def test_a_failed_rebuild_leaves_the_earlier_table(spark, folder):
     assert artifacts.materialize(spark, lambda: broken, path, key).count() == 3
 
 
+@pytest.mark.parametrize("values, kind, want", [
+    (["1d", "2f", "3"], "string", ["1d", "2f", "3"]), (["01", "1", "007"], "string", ["01", "1", "007"]),
+    (["1e3", "2.5", "NaN", ".5", "-0"], "double", [1000.0, 2.5, None, 0.5, 0.0]), (["-7", "", "12"], "bigint", [-7, None, 12]),
+    (["9223372036854775807", "-5"], "bigint", [2 ** 63 - 1, -5]), (["9223372036854775808"], "string", None),
+    (["1234567890123456", "0.5"], "string", None), (["1e400", "2"], "string", None), (["+5", "1"], "string", None),
+    (["0x1F", "1"], "string", None), (["1_000"], "string", None), (["Infinity", "-inf", "1"], "double", None),
+    (["2024-1-05", "2024-02-29"], "date", None), (["2024-02-30"], "string", None), (["2024-01-01", "5"], "string", None),
+    (["2024-01-01 10:00:00", ""], "timestamp", None), (["1L", "2"], "string", None), (["--1"], "string", None), (["."], "string", None)])
+def test_csv_types_change_no_value(spark, folder, values, kind, want):
+    with open(f"{folder}/t.csv", "w") as out:
+        out.write("k,v\n" + "".join(f'{i},"{v}"\n' for i, v in enumerate(values)))
+    got = readers.read_statements(spark, f"{folder}/t.csv")
+    assert got.schema["v"].dataType.simpleString() == kind
+    rows = [r.v for r in got.orderBy("k").collect()]
+    assert want is None or [None if r != r else r for r in rows] == want
+    if kind == "string":
+        assert rows == values
+        with pytest.raises(PySparkException, match="no (bigint|double)"):
+            for number in ("bigint", "double"):
+                readers.read_csv(spark, f"{folder}/t.csv", f"k bigint, v {number}").collect()
+
+
 def test_late_csv_values_are_neither_lost_nor_mistyped(spark, folder):
     rows = [(i, None) for i in range(12_000)] + [(f"{i}.5", f"text {i}") for i in range(500)]
     path = f"{folder}/late.csv"

@@ -201,6 +201,32 @@ def test_order_audits(spark):
     assert audits.contiguity_audit(sorted_rows, "id", "seq").first().contiguous
 
 
+def test_contiguity_with_one_heavy_place(spark):
+    rows = [(f"e{i % 9}", None if i % 4 == 0 else 5 if i % 4 < 3 else i) for i in range(400)] + [(None, 5), (None, 6)]
+    df = spark.createDataFrame(rows, "id string, seq long")
+    last = float("inf")
+    tie = lambda r: hashlib.md5(r[0].encode()).hexdigest() if r[0] else ""
+    order = sorted(set(rows), key=lambda r: (last if r[1] is None else r[1], tie(r)))
+    blocks = sum(i == 0 or order[i][0] != order[i - 1][0] for i in range(len(order)))
+    for ranges in (2, 30):
+        got = audits.contiguity_audit(df, "id", "seq", ranges=ranges).first()
+        assert (got.n_blocks, got.n_entities, got.contiguous) == (blocks, 9, False)
+
+
+def test_contiguity_of_files(spark, tmp_path):
+    ids = [None if i // 7 % 5 == 0 else f"e{i // 7 % 5}" for i in range(500)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "n long, id string")
+    df.repartitionByRange(3, "n").sortWithinPartitions("n").write.parquet(f"{tmp_path}/t")
+    blocks = sum(i == 0 or ids[i] != ids[i - 1] for i in range(500))
+    for part_rows in (10, 64, 1000):
+        got = audits.file_contiguity_audit(spark.read.parquet(f"{tmp_path}/t"), "id", part_rows).first()
+        assert (got.n_blocks, got.n_entities) == (blocks, 4)
+    empty = spark.read.parquet(f"{tmp_path}/t").where("n < 0")
+    assert audits.file_contiguity_audit(empty, "id").first().n_blocks == 0
+    once = spark.read.parquet(f"{tmp_path}/t").where("n >= 7 and n < 35")
+    assert audits.file_contiguity_audit(once, "id").first().contiguous
+
+
 def test_overflow_audit(spark):
     inf, nan = float("inf"), float("nan")
     df = spark.createDataFrame([(1.0, -70000.0, inf, nan, None), (2.0, 0.0, 1.0, 65504.0, None)],
