@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 WHOLE, FRACTION, DAY, MOMENT = 1, 2, 4, 8
 PROBED_TYPES = ((WHOLE, "bigint"), (DAY, "date"), (MOMENT, "timestamp"), (FRACTION, "double"))
 ANY = WHOLE | FRACTION | DAY | MOMENT
+# Beside the types: bytes that are no text.
+ODD = 16
 # Only texts that the number gives back: no sign but a minus, no leading zeros, no suffix letters.
 SHORT_WHOLE = "^(0|-?[1-9][0-9]{0,14})$"       # also exact as a double
 LONG_WHOLE = "^-?[1-9][0-9]{15,18}$"
@@ -48,15 +50,15 @@ def readable_as(text: Column) -> Column:
     The tests come in an order in which most texts need one: each sees the whole text once. A number of more
     digits than a double tells apart is no fraction, so a column that also holds fractions stays text.
     """
-    digits = text.rlike(SHORT_WHOLE)
+    many_digits = (F.length(text) > 15) & text.rlike("^-?[0-9]{16}")
     return (
         F.when(text.isNull() | (text == ""), ANY)
-        .when(digits, WHOLE | FRACTION)
-        .when(text.rlike(LONG_WHOLE), F.when(text.try_cast("bigint").isNotNull(), WHOLE).otherwise(0))
-        .when(text.rlike(NUMBER) & ~text.rlike("^-?[0-9]{16}"), FRACTION)
+        .when(text.rlike(SHORT_WHOLE), WHOLE | FRACTION)
+        .when(text.rlike(NUMBER), F.when(~many_digits, FRACTION).when(
+            text.rlike(LONG_WHOLE) & text.try_cast("bigint").isNotNull(), WHOLE).otherwise(0))
         .when(text.rlike(DATE_TEXT), F.when(text.try_cast("date").isNotNull(), DAY).otherwise(0))
         .when(text.rlike(TIME_TEXT), F.when(text.try_cast("timestamp").isNotNull(), MOMENT).otherwise(0))
-        .otherwise(0))
+        .when(text.rlike(NOT_TEXT), ODD).otherwise(0))
 
 
 _BITS = {"bigint": WHOLE, "int": WHOLE, "smallint": WHOLE, "tinyint": WHOLE, "double": FRACTION, "float": FRACTION}
@@ -86,22 +88,19 @@ def probe_schema(spark: SparkSession, path: str,
     stay text whatever they look like. A file that holds control characters or bytes that are no text is refused.
     """
     raw = spark.read.option("header", True).csv(path)
-    checks = []
-    for i, name in enumerate(raw.columns):
-        c = F.col(f"`{name}`")
-        checks += [
-            F.count(F.nullif(c, F.lit(""))).alias(f"{i}_values"),
-            F.coalesce(F.bool_or(c.rlike(NOT_TEXT)), F.lit(False)).alias(f"{i}_odd")]
-        if name not in text_cols:
-            checks.append(F.coalesce(F.bit_and(readable_as(c)), F.lit(ANY)).alias(f"{i}_types"))
-    verdict = raw.agg(*checks).first()
+    marks = raw.select(*[
+        (F.when(F.col(f"`{name}`").rlike(NOT_TEXT), ODD).otherwise(ANY) if name in text_cols
+         else readable_as(F.col(f"`{name}`"))).alias(f"c{i}") for i, name in enumerate(raw.columns)])
+    verdict = marks.agg(*[one for i in range(len(raw.columns)) for one in (
+        F.coalesce(F.bit_and(f"c{i}"), F.lit(ANY)).alias(f"{i}_types"),
+        F.coalesce(F.bit_or(f"c{i}"), F.lit(0)).alias(f"{i}_marks"))]).first()
     fields = []
     for i, name in enumerate(raw.columns):
-        if verdict[f"{i}_odd"] or re.search(NOT_TEXT, name):
+        if verdict[f"{i}_marks"] & ODD or re.search(NOT_TEXT, name):
             raise ValueError(f"{path} is not a text table: column {i + 1} holds control characters")
         if name in text_cols:
             kind = "string"
-        elif not verdict[f"{i}_values"]:
+        elif verdict[f"{i}_types"] == ANY:      # no value at all
             kind = "double"
         else:
             kind = next((t for bit, t in PROBED_TYPES if verdict[f"{i}_types"] & bit), "string")
