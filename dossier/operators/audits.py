@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from dossier.functions.levels import is_fractional, present
 from dossier.functions.numeric import HALF_MAX
-from dossier.operators.prefix import TIE_DIGITS, quantile_bounds, tie_hash, with_range
-from dossier.session import width
+from dossier.operators.prefix import LITERAL_RANGES, in_ranges, tie_hash
 from dossier.spec import EntitySpec
 
 
@@ -43,28 +42,26 @@ def _blocks(segments: DataFrame, place: list[str], entities: DataFrame) -> DataF
             .select(n_blocks.alias("n_blocks"), "n_entities", (n_blocks == F.col("n_entities")).alias("contiguous")))
 
 
-def contiguity_audit(df: DataFrame, id_col: str, seq_col: str,
-                     ranges: int | None = None) -> DataFrame:
+def contiguity_audit(df: DataFrame, id_col: str, seq_col: str, ranges: int | None = None,
+                     literal: int = LITERAL_RANGES) -> DataFrame:
     """Blocks of consecutive rows (by ``seq_col``) of one entity, against distinct entities.
 
     Rows of one place in the sequence stand in order of a hash of their id, so repeated ids there are one; a
     place that many rows share is cut by that hash, and rows without a place come last. Changes are counted
     inside ranges; the last id of a range is then compared with the first id of the next.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(seq_col).alias("seq")).distinct()
-    bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession, rows.count()))
-    placed = with_range(rows, "seq", bounds, descending=False)
+    rows = df.select(F.col(id_col).alias("id"), F.col(seq_col).alias("seq"))
     tie = F.coalesce(tie_hash("id"), F.lit(""))
-    placed = placed.withColumn("tie", tie).withColumn(
-        "part", F.when(F.col("_single"), F.substring("tie", 1, TIE_DIGITS)).otherwise(F.lit("")))
-    order = F.struct("_value", "seq", "tie")
-    inside = Window.partitionBy("_range", "part").orderBy("_value", "seq", "tie")
-    first = F.row_number().over(inside) == 1
-    changed = placed.withColumn("changed", ~first & ~F.col("id").eqNullSafe(F.lag("id").over(inside)))
-    segments = changed.groupBy("_range", "part").agg(
+    placed = in_ranges(rows, "seq", False, tie, ranges, literal).dropDuplicates(
+        ["_range", "_part", "_value", "seq", "id"])
+    order = F.struct("_value", "seq", "_tie")
+    inside = Window.partitionBy("_range", "_part").orderBy("_value", "seq", "_tie")
+    changed = placed.withColumn("changed", (F.row_number().over(inside) > 1)
+                                & ~F.col("id").eqNullSafe(F.lag("id").over(inside)))
+    segments = changed.groupBy("_range", "_part").agg(
         F.count_if("changed").alias("inside"),
         F.min_by("id", order).alias("first_id"), F.max_by("id", order).alias("last_id"))
-    return _blocks(segments, ["_range", "part"], rows.agg(F.countDistinct("id").alias("n_entities")))
+    return _blocks(segments, ["_range", "_part"], rows.agg(F.countDistinct("id").alias("n_entities")))
 
 
 #: Rows of a file that are looked at together.
@@ -91,7 +88,7 @@ def file_contiguity_audit(df: DataFrame, id_col: str, part_rows: int = FILE_PART
 
 
 def order_audit(df: DataFrame, id_col: str, date_col: str, seq_col: str,
-                ranges: int | None = None) -> DataFrame:
+                ranges: int | None = None, literal: int = LITERAL_RANGES) -> DataFrame:
     """Entities whose dates go backwards in ``seq_col`` order, with how often.
 
     Each entity's rows are cut by ranges of the sequence, so a very long history
@@ -100,8 +97,7 @@ def order_audit(df: DataFrame, id_col: str, date_col: str, seq_col: str,
     """
     rows = df.select(F.col(id_col).alias(id_col), F.col(date_col).alias("date"),
                      F.col(seq_col).alias("seq")).where(F.col("date").isNotNull())
-    bounds = quantile_bounds(rows, "seq", ranges or width(df.sparkSession, rows.count()))
-    placed = with_range(rows, "seq", bounds, descending=False)
+    placed = in_ranges(rows, "seq", False, None, ranges, literal)
     inside = Window.partitionBy(id_col, "_range").orderBy("seq")
     marked = placed.withColumn("back", F.lag("date").over(inside) > F.col("date"))
     pieces = marked.groupBy(id_col, "_range").agg(

@@ -9,6 +9,11 @@ only real shuffle is the one that groups rows by range.
 Ties cannot overload a range: a score value heavy enough to be a boundary gets
 a range to itself, and since all its rows tie there, that range is cut further
 by prefixes of the tie-breaking hash.
+
+Boundaries in the plan are for up to ``LITERAL_RANGES`` ranges. Beyond, rows are
+sent through Spark's range partitioner, by value and tie-breaking hash, and written
+with the number of their partition; totals go by that number. Neither the plan nor
+what the driver sketches then grows with the rows, for one more shuffle.
 """
 
 from __future__ import annotations
@@ -19,10 +24,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from dossier.functions.levels import is_fractional
-from dossier.session import width
+from dossier.session import scratch_path, width
 
 EXACT = float(1 << 53)      # whole numbers below it are doubles of their own
 TIE_DIGITS = 2      # hex digits of the tie hash that split a tied range: 256 parts
+#: More ranges than this are made by Spark's range partitioner instead of boundaries in the plan.
+LITERAL_RANGES = 1000
 
 _RANGE, _PART, _CARRY = "_range", "_part", "_is_row"
 
@@ -67,6 +74,33 @@ def with_range(df: DataFrame, col: str, bounds: list[float], descending: bool) -
             .drop("_slot"))
 
 
+def in_ranges(df: DataFrame, col: str, descending: bool, tie: Column | None = None,
+              ranges: int | None = None, literal: int = LITERAL_RANGES) -> DataFrame:
+    """Rows with ``_range`` and ``_part``, in order of ``col`` and then of ``tie``; also ``_value`` and ``_tie``.
+
+    ``_value`` is the column as a double, null where it has none; those rows come last.
+    """
+    ranges = ranges or width(df.sparkSession, df.count())
+    tied = df.withColumn("_tie", F.lit("") if tie is None else tie)
+    if ranges <= literal:
+        placed = with_range(tied, col, quantile_bounds(df, col, ranges), descending)
+        cut = F.lit(False) if tie is None else F.col("_single")
+        return placed.withColumn(_PART, F.when(cut, F.substring("_tie", 1, TIE_DIGITS)).otherwise(F.lit("")))
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "ranges")
+    valued = tied.withColumn("_value", F.nanvl(F.col(f"`{col}`").cast("double"), F.lit(None).cast("double")))
+    # Written before it is read: sampled again, the partitioner might cut elsewhere.
+    (valued.repartitionByRange(ranges, *sort_keys(valued, col, descending))
+     .withColumn(_RANGE, F.spark_partition_id()).withColumn(_PART, F.lit("")).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def sort_keys(placed: DataFrame, col: str, descending: bool) -> list[Column]:
+    """Sort keys of placed rows: the double only picks the range; inside it the column's own values are compared."""
+    value = F.col("_value") if is_fractional(placed.schema[col].dataType) and not isinstance(
+        placed.schema[col].dataType, T.DecimalType) else F.col(f"`{col}`")
+    return [value.desc_nulls_last() if descending else value.asc_nulls_last(), F.col("_tie")]
+
+
 def running_sums(rows: DataFrame, sums: dict[str, str], groups: list[str],
                  order: list[Column]) -> DataFrame:
     """Running and overall sums for rows that already carry ``_range`` and ``_part``.
@@ -99,25 +133,15 @@ def running_sums(rows: DataFrame, sums: dict[str, str], groups: list[str],
 
 def prefix_sum(df: DataFrame, order_col: str, id_col: str, sums: dict[str, str],
                groups: list[str] | None = None, descending: bool = True,
-               ranges: int | None = None) -> DataFrame:
+               ranges: int | None = None, literal: int = LITERAL_RANGES) -> DataFrame:
     """Running sums in ``order_col`` order, ties broken by a hash of ``id_col``.
 
     With ``groups``, one running sum per group. The ranges are cut over all
     rows, so no group, however large, makes a range larger than its share.
     Rows without an ``order_col`` value sort last.
     """
-    groups = groups or []
-    ranges = ranges or width(df.sparkSession, df.count())
-    bounds = quantile_bounds(df, order_col, ranges)
-    placed = with_range(df, order_col, bounds, descending)
-    placed = placed.withColumn("_tie", tie_hash(id_col))
-    placed = placed.withColumn(
-        _PART, F.when(F.col("_single"), F.substring("_tie", 1, TIE_DIGITS)).otherwise(F.lit("")))
-    # The double only picks the range; inside it the column's own values are compared.
-    value = F.col("_value") if is_fractional(df.schema[order_col].dataType) and not isinstance(
-        df.schema[order_col].dataType, T.DecimalType) else F.col(f"`{order_col}`")
-    order = [value.desc_nulls_last() if descending else value.asc_nulls_last(), F.col("_tie")]
-    return running_sums(placed, sums, groups, order).drop("_tie")
+    placed = in_ranges(df, order_col, descending, tie_hash(id_col), ranges, literal)
+    return running_sums(placed, sums, groups or [], sort_keys(placed, order_col, descending)).drop("_tie")
 
 
 def hash_rank(df: DataFrame, hash_col: str, groups: list[str], digits: int = 3) -> DataFrame:

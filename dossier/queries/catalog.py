@@ -400,6 +400,16 @@ def running_total(spark, sf_dir):
         "o_orderkey", "o_orderstatus", "cum_amount", "cum_amount_total")
 
 
+@query
+def running_total_partitioned(spark, sf_dir):
+    """The same total over ranges that Spark's range partitioner makes, one value shared by a tenth of the rows."""
+    rows = st.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 10 == 0, 150_000.0).otherwise(
+            F.col("o_totalprice")).alias("price"), st.cents("o_totalprice").alias("amount"))
+    return prefix_sum(rows, "price", "o_orderkey", {"amount": "cum_amount"}, ["o_orderstatus"], literal=0).select(
+        "o_orderkey", "o_orderstatus", "cum_amount", "cum_amount_total")
+
+
 @query
 def best_iteration_by_run(spark, sf_dir):
     """Users are runs, days are rounds, the day's highest value is the score."""

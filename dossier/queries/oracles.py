@@ -314,6 +314,9 @@ SELECT o_orderkey, o_orderstatus,
     AS BIGINT) AS cum_amount_total
 FROM orders"""
 
+ORACLES["running_total_partitioned"] = ORACLES["running_total"].replace(
+    "ORDER BY o_totalprice DESC", "ORDER BY CASE WHEN o_orderkey % 10 = 0 THEN 150000.0 ELSE o_totalprice END DESC")
+
 # The round a run stops at is the first one 6 or more past its best so far.
 ORACLES["best_iteration_by_run"] = """
 WITH daily AS (SELECT user_id, day(ts) AS it, max(value) AS score FROM events GROUP BY ALL),

@@ -195,12 +195,26 @@ def test_order_audits(spark):
     assert (got.n_blocks, got.n_entities, got.contiguous) == (blocks, 2, False)
     back = {i: sum(a > b for a, b in zip(d, d[1:]))
             for i in "ab" for d in [[r[2] for r in rows if r[0] == i]]}
-    out = audits.order_audit(df, "id", "date", "seq", ranges=6).collect()
-    assert {r.id: r.n_backward for r in out} == {i: n for i, n in back.items() if n}
+    for literal in (0, 1000):
+        out = audits.order_audit(df, "id", "date", "seq", ranges=6, literal=literal).collect()
+        assert {r.id: r.n_backward for r in out} == {i: n for i, n in back.items() if n}
     sorted_rows = df.where("id = 'a'")
     assert audits.contiguity_audit(sorted_rows, "id", "seq").first().contiguous
 
 
+@pytest.mark.parametrize("descending", [True, False])
+def test_ranges_of_the_partitioner_give_the_same_sums(spark, descending):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("ab"), rng.choice([None, float("nan"), 1.0, 1.0, 1.0, rng.random() * 3]), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, g string, x double, v long")
+    sums = [sorted(map(str, prefix_sum(df, "x", "id", {"v": "s"}, ["g"], descending, 12, literal).collect()))
+            for literal in (0, 1000)]
+    assert sums[0] == sums[1]
+    few, many = (prefix_sum(df, "x", "id", {"v": "s"}, ranges=n, literal=0)._jdf.queryExecution().optimizedPlan()
+                 .toString() for n in (8, 300))
+    assert len(many) < len(few) + 100
+
+
 def test_contiguity_with_one_heavy_place(spark):
     rows = [(f"e{i % 9}", None if i % 4 == 0 else 5 if i % 4 < 3 else i) for i in range(400)] + [(None, 5), (None, 6)]
     df = spark.createDataFrame(rows, "id string, seq long")
@@ -208,8 +222,8 @@ def test_contiguity_with_one_heavy_place(spark):
     tie = lambda r: hashlib.md5(r[0].encode()).hexdigest() if r[0] else ""
     order = sorted(set(rows), key=lambda r: (last if r[1] is None else r[1], tie(r)))
     blocks = sum(i == 0 or order[i][0] != order[i - 1][0] for i in range(len(order)))
-    for ranges in (2, 30):
-        got = audits.contiguity_audit(df, "id", "seq", ranges=ranges).first()
+    for ranges, literal in ((2, 1000), (30, 1000), (30, 0)):
+        got = audits.contiguity_audit(df, "id", "seq", ranges=ranges, literal=literal).first()
         assert (got.n_blocks, got.n_entities, got.contiguous) == (blocks, 9, False)
 
 
