@@ -9,7 +9,10 @@ Weights: for a unigram model an arc weighs the piece's negative score. For a mer
 nothing and a pair of neighbouring pieces weighs infinity where the merge order would have joined across
 their border, so exactly one path is finite: the one that merging gives (checked against the sentencepiece
 library in the tests). No piece goes on past a blank after another character, so an input falls into
-segments whose shortest paths are independent; a worker keeps those of recent segments.
+segments whose shortest paths are independent; where no piece joins a Latin letter to another ASCII character
+either, they are cut there too. A worker keeps the paths of recent segments, bounded by bytes. A walk looks no
+further than the longest piece, and a long run of blanks repeats its longest piece (verified when compiled), so
+the work is linear in a text of any kind.
 
 A null text encodes like an empty one, to no ids. Every row gives a row; extra columns are ignored; an empty
 table gives an empty result. Any text round-trips: decoding gives the text with ``▁`` read as a blank.
@@ -29,8 +32,16 @@ from dossier.llm.common import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-_KEPT = 150_000
+#: Bytes of segments and their paths that a worker keeps, the longest segment it keeps, and its pairs of pieces.
+KEPT, LONGEST, PAIRS = 64 << 20, 64, 300_000
+#: Bytes that an entry takes beside its own.
+_ENTRY = 150
+# Latin letters, and the other ASCII characters.
+_LETTER, _OTHER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ", "\x00-@\\[-`{-\x7f"
 _SEGMENT = re.compile("▁*[^▁]+|▁+")
+_FINE_SEGMENT = re.compile(
+    f"▁*[{_LETTER}]+(?=[▁{_OTHER}]|\\Z)|▁*[{_OTHER}]+(?=[▁{_LETTER}]|\\Z)|▁*[^▁]+|▁+")
+_MIXED = re.compile(f"[{_LETTER}][{_OTHER}]|[{_OTHER}][{_LETTER}]")
 
 
 def _fields(data: bytes):
@@ -96,10 +107,13 @@ class Transducer:
         self.rank = {i: -scores[i] for i in self.ids.values()}
         # What a unigram model pays for a character that is no piece: more than for any piece.
         self.unknown = max(self.rank.values()) + 10
+        self.longest = max(map(len, self.ids))
+        self.segments = _SEGMENT if any(map(_MIXED.search, self.ids)) else _FINE_SEGMENT
         self.made: dict[int, tuple[int, int] | None] = {}
         self.when: dict[int, float] = {}
         if self.merges:
             self._merge_trees()
+            self._blank_runs()
         else:
             self.made = dict.fromkeys(self.ids.values())
         self.tree: dict[str, tuple[int, dict]] = {}
@@ -136,6 +150,20 @@ class Transducer:
                 self.made[i] = pair
                 self.when[i] = max(self.rank[i], self.when[pair[0]], self.when[pair[1]])
 
+    def _blank_runs(self) -> None:
+        """What runs of blanks merge to, as far as they differ: beyond, the longest piece repeats in front."""
+        self.widest = max([len(t) for t in self.ids if not t.strip(BLANK)], default=1)
+        self.runs = [[self.ids[p] for p in self._merged([BLANK] * n)] if BLANK in self.ids else []
+                     for n in range(4 * self.widest + 1)]
+        front = [self.ids[BLANK * self.widest]] if BLANK in self.ids else []
+        if any(self.runs[n] != front + self.runs[n - self.widest] for n in range(2 * self.widest, len(self.runs))):
+            raise ValueError("runs of blanks do not repeat their longest piece")
+
+    def blank_run(self, n: int) -> list[int]:
+        """The pieces that ``n`` blanks merge to."""
+        more = max(0, n // self.widest - 2)
+        return self.runs[self.widest][:1] * more + self.runs[n - more * self.widest]
+
     def _edge(self, piece: int, side: int) -> list[tuple[int, float]]:
         """The pieces that stand at one end while ``piece`` is being made, and when each is merged away."""
         out, until = [], float("inf")
@@ -162,7 +190,7 @@ class Encoder(dict):
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.t, self.pairs, self.before = transducer, {}, {}
+        self.t, self.pairs, self.before, self.size = transducer, {}, {}, 0
 
     def _shortest(self, s: str) -> tuple[int, ...]:
         """The shortest path through the lattice of one segment: the input walks the tree of pieces.
@@ -171,7 +199,7 @@ class Encoder(dict):
         arcs weigh nothing or infinity, so its one finite path is found without walking all of the lattice.
         """
         t, n = self.t, len(s)
-        tree, merges, pairs = t.tree, t.merges, self.pairs
+        tree, merges, pairs, longest = t.tree, t.merges, self.pairs, t.longest
         done, back, last = [False] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         waiting: list[tuple[float, int, int, int]] = []
         push, pop = (list.append, list.pop) if merges else (heappush, heappop)
@@ -181,7 +209,7 @@ class Encoder(dict):
             arcs, end = tree, at
             if s[at] not in arcs or arcs[s[at]][0] < 0:  # byte fallback
                 push(waiting, (here if merges else here + t.unknown, at, at + 1, -1))
-            for c in s[at:]:
+            for c in s[at:at + longest]:
                 step = arcs.get(c)
                 if step is None:
                     break
@@ -220,17 +248,20 @@ class Encoder(dict):
             return self._shortest(s)
         rest = self._shortest(s[blanks - 1:])
         alone = rest[0] == self.t.ids.get(BLANK)
-        run = self.t._merged([BLANK] * (blanks if alone else blanks - 1))
-        return tuple(self.t.ids[p] for p in run) + (rest[1:] if alone else rest)
+        run = self.t.blank_run(blanks if alone else blanks - 1)
+        return tuple(run) + (rest[1:] if alone else rest)
 
     def __missing__(self, s: str) -> bytes:
         """The ids of a segment's path, as the bytes of 32-bit numbers."""
-        if len(self) >= _KEPT:  # the segments used since the last time stay within reach
-            self.before = dict(self)
-            self.clear()
-        if len(self.pairs) >= 2 * _KEPT:
-            self.pairs.clear()
         got = self.before.get(s) or np.array(self.segment(s), np.int32).tobytes()
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        if len(s) > LONGEST:
+            return got
+        if self.size > KEPT // 2:  # the segments used since the last time stay within reach
+            self.before, self.size = dict(self), 0
+            self.clear()
+        self.size += _ENTRY + len(s) + len(got)
         self[s] = got
         return got
 
@@ -239,7 +270,7 @@ class Encoder(dict):
         if not text:
             return b""
         flat = text.replace(" ", BLANK)
-        return b"".join(map(self.__getitem__, _SEGMENT.findall(BLANK + flat if self.t.prefix else flat)))
+        return b"".join(map(self.__getitem__, self.t.segments.findall(BLANK + flat if self.t.prefix else flat)))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), np.int32).tolist()

@@ -186,3 +186,35 @@ def test_unigram_paths_against_all_segmentations():
         assert encoder.decode(ids) == text
         paid = sum(cost[pieces_of[i]] if i >= 256 else t.unknown for i in ids)
         assert paid == pytest.approx(cheapest("▁" + text.replace(" ", "▁")))
+
+
+def test_texts_of_one_kind_take_linear_time(spark):
+    import time
+
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    encoder = pieces.Encoder(pieces.Transducer())
+    for unit in ("a", " ", "漢字", ".", "ab c"):
+        start = time.process_time()
+        encoder.encode_bytes(unit * (1_000_000 // len(unit)))
+        assert time.process_time() - start < 20
+        assert encoder.encode(unit * 3000) == library.encode(unit * 3000)
+    for n in [*range(1, 150), 1000, 4099]:
+        for text in (" " * n, "a" + " " * n + "b", "." + " " * n):
+            assert encoder.encode(text) == library.encode(text)
+
+
+def test_kept_paths_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT", 4000)
+    encoder = pieces.Encoder(pieces.Transducer())
+    for i in range(2000):
+        encoder.encode_bytes(f"word{i} " + "漢" * 300)
+    held = [*encoder.items(), *encoder.before.items()]
+    assert sum(150 + len(s) + len(ids) for s, ids in held) < 5000 and max(len(s) for s, _ in held) <= pieces.LONGEST
+
+
+def test_letters_and_stops_are_cut_only_where_no_piece_joins_them():
+    transducer = pieces.Transducer()
+    assert transducer.segments is pieces._FINE_SEGMENT
+    assert transducer.segments.findall("▁word,▁12b.\n▁▁né漢.x") == [
+        "▁word", ",", "▁12", "b", ".\n", "▁▁né漢.x"]
