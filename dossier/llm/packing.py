@@ -43,7 +43,7 @@ QUADRATIC = 1 / 4608
 # Full sequences of one group.
 GROUP = 256
 #: Bytes of segments and their ids that a worker keeps, and the longest segment it keeps.
-KEPT, LONGEST = 64 << 20, 64
+KEPT, LONGEST = 160 << 20, 64
 
 #: Bytes that an entry takes beside its own.
 _ENTRY = 150
@@ -53,7 +53,9 @@ _LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 # Segments: blanks and a word of Latin letters, or a stop, or all up to the next blank.
 _SEGMENT = re.compile(
     rf"[{_SPACE}]?[{_LETTER}]+(?=[{_SPACE}!-@\[-`{{-~])|[.,](?=[{_SPACE}A-Za-z0-9])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_BLANK_FIRST = re.compile(rf"[{_SPACE}]+[^{_SPACE}]")
+
+
+_BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_SPACE}]", c))
 
 
 class Segments(dict):
@@ -73,7 +75,7 @@ class Segments(dict):
 
     def _learn(self, new: list[str], found: dict[str, bytes]) -> None:
         """Encode segments: those that begin with a blank as one text, cut by the bytes of its tokens."""
-        joined = [s for s in new if _BLANK_FIRST.match(s)]
+        joined = [s for s in new if s[0] in _BLANKS and s[-1] not in _BLANKS]
         if len(joined) < len(new):
             rest = list(set(new).difference(joined))
             found.update(zip(rest, (ids.tobytes() for ids in self._ids(rest))))
