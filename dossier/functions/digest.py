@@ -37,6 +37,51 @@ def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         F.coalesce(F.sum(row_number_of(columns or df.columns)), F.lit(0)).cast("string").alias("digest"))
 
 
+#: Lanes of a content digest: as many times 32 bits of a row's sha256.
+LANES = 8
+
+
+def _lane(text: Column, k: int) -> Column:
+    """Lane ``k`` of a row: eight hex digits of its sha256, as a number that sums without overflow."""
+    return F.conv(F.substring(F.sha2(text, 256), 8 * k + 1, 8), 16, 10).cast("decimal(20,0)")
+
+
+def content_digest(df: DataFrame, columns: list[str] | None = None, by: list[Column] | None = None) -> DataFrame:
+    """``n_rows`` and ``lanes``: a digest of a multiset of rows that adds up over its parts.
+
+    Rows add up lane by lane, so order and partitioning do not matter, repeated rows count, and the digest of
+    two tables together is the sum of theirs (``add_digests``). ``by`` gives one digest per group, such as per
+    file. Combines map-side into one row per task and group.
+    """
+    rows = df.select(*(by or []), row_text(columns or df.columns).alias("_text"))
+    groups = [c for c in rows.columns if c != "_text"]
+    sums = rows.groupBy(*groups).agg(F.count("*").alias("n_rows"), *[
+        F.coalesce(F.sum(_lane(F.col("_text"), k)), F.lit(0)).cast("decimal(38,0)").alias(f"_{k}") for k in range(LANES)])
+    return sums.select(*groups, "n_rows", F.array(*[f"_{k}" for k in range(LANES)]).alias("lanes"))
+
+
+def add_digests(digests: DataFrame, sign: Column | None = None) -> DataFrame:
+    """The digest of all parts together; ``sign`` -1 takes a part away again."""
+    sign = (F.lit(1) if sign is None else sign).cast("int")
+    return digests.agg(
+        F.coalesce(F.sum(F.col("n_rows") * sign), F.lit(0)).alias("n_rows"),
+        F.array(*[F.coalesce(F.sum((F.col("lanes")[k] * sign).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)")
+                  for k in range(LANES)]).alias("lanes"))
+
+
+def digest_text(n_rows: Column, lanes: Column) -> Column:
+    """A content digest as hex digits: its row count and lanes, hashed."""
+    return F.sha2(F.concat_ws(":", n_rows.cast("string"), F.transform(lanes, lambda x: x.cast("string"))), 256)
+
+
+def file_digests(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``file, n_rows, lanes`` per file of a frame read from files, by what the files hold.
+
+    A copied file has the digest of its original; one rewritten in place, with its size and time kept, has not.
+    """
+    return content_digest(df, columns or df.columns, [F.col("_metadata.file_path").alias("file")])
+
+
 def files_digest(df: DataFrame) -> str:
     """A digest of the files behind a frame: paths, sizes and write times.
 

@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dossier.functions.digest import split_digest, table_digest
+from dossier.functions.digest import (
+    add_digests, content_digest, digest_text, file_digests, split_digest, table_digest)
 from dossier.functions.levels import folded_label, level_label
 from dossier.functions.naming import base_column
 from dossier.functions.numeric import half_round
@@ -601,6 +602,20 @@ def table_digests(spark, sf_dir):
     return table_digest(rows)
 
 
+@query
+def content_digests(spark, sf_dir):
+    """Orders in files of their own: what is left after taking the second half's files away again."""
+    orders = st.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = scratch_path(spark, "order-files")
+    orders.repartition(6, "o_custkey").write.parquet(path)
+    per_file = file_digests(spark.read.parquet(path))
+    late = content_digest(orders.where("o_orderkey % 2 = 1"))
+    left = add_digests(
+        per_file.select("n_rows", "lanes", F.lit(1).alias("sign")).unionByName(
+            late.withColumn("sign", F.lit(-1))), F.col("sign"))
+    return left.select("n_rows", digest_text(F.col("n_rows"), F.col("lanes")).alias("digest"))
+
+
 @query
 def split_id(spark, sf_dir):
     """Labels and statements both go into the id."""

@@ -468,6 +468,12 @@ ORACLES["table_digests"] = f"""
 SELECT count(*) AS n_rows, CAST({digest_sum("o_orderkey", "o_custkey", "o_orderstatus",
     "CAST(round(o_totalprice * 100) AS BIGINT)")} AS VARCHAR) AS digest
 FROM orders"""
+ORACLES["content_digests"] = f"""
+WITH h AS (SELECT sha256({row_text("o_orderkey", "o_custkey", "o_orderstatus")}) AS x FROM orders
+           WHERE o_orderkey % 2 <> 1)
+SELECT count(*) AS n_rows, sha256(CAST(count(*) AS VARCHAR) || ':' || {" || ':' || ".join(
+    f"CAST(sum(CAST('0x' || substr(x, {8 * k + 1}, 8) AS BIGINT)) AS VARCHAR)" for k in range(8))}) AS digest
+FROM h"""
 ORACLES["split_id"] = f"""
 WITH d AS (
   SELECT count(*) AS n, {digest_sum("c_custkey", "CAST(c_acctbal < 0 AS INTEGER)")} AS digest FROM customer),

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from dossier import EntitySpec
+from dossier.functions import digest
 from dossier.functions.digest import json_digest, table_digest
 from dossier.functions.levels import folded_label, level_code, level_order
 from dossier.functions.naming import base_column, feature_names
@@ -233,6 +234,24 @@ def test_digests(spark):
     assert table_digest(a).first() == table_digest(b).first() != table_digest(c).first()
 
 
+def test_content_digests_add_up(spark, tmp_path):
+    rows = [(i % 7, f"v{i % 5}" if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "a int, b string")
+    whole = digest.content_digest(df).first()
+    assert whole == digest.content_digest(df.repartition(9)).first()
+    assert whole != digest.content_digest(df.distinct()).first() and whole.n_rows == 200
+    for name in ("one", "copy"):
+        df.limit(120).write.parquet(f"{tmp_path}/{name}")
+    df.subtract(df.limit(0)).write.parquet(f"{tmp_path}/other")
+    one, copy = (digest.file_digests(spark.read.parquet(f"{tmp_path}/{n}")) for n in ("one", "copy"))
+    plain = lambda d: sorted((r.n_rows, tuple(r.lanes)) for r in d.collect())
+    assert plain(one) == plain(copy)
+    both = digest.add_digests(one.unionByName(copy)).first()
+    assert both == digest.content_digest(df.limit(120).unionByName(df.limit(120))).first()
+    back = digest.add_digests(one.withColumn("s", F.lit(1)).unionByName(copy.withColumn("s", F.lit(-1))), F.col("s"))
+    assert back.first() == digest.content_digest(df.limit(0)).first()
+
+
 def test_digest_of_a_known_vocabulary():
     # The vocabulary of the public statement data and its digest.
     known = {
