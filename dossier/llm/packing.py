@@ -23,6 +23,7 @@ other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from bisect import insort
@@ -43,7 +44,7 @@ QUADRATIC = 1 / 4608
 # Full sequences of one group.
 GROUP = 256
 #: Bytes of segments and their ids that a worker keeps, and the longest segment it keeps.
-KEPT, LONGEST = 160 << 20, 64
+KEPT, LONGEST = 256 << 20, 64
 
 #: Bytes that an entry takes beside its own.
 _ENTRY = 150
@@ -111,6 +112,7 @@ def _pieces_of(model: str, capacity: int, end: int):
     last = np.array([end], "<u4").tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]):
+        gc.set_threshold(200_000)  # nothing here makes cycles, and long lists of segments are dear to walk
         segments = Segments(model)
         for part in slices(batches, 500):
             doc_ids, columns = [], [[], [], [], []]
