@@ -200,9 +200,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "features"), "rules")
     rows = table.where(~F.col("base_failed"))
     every = max(1, -(-rows.count() // SAMPLE))
-    sample = np.array([r["features"] for r in rows.where(
-        F.pmod(F.xxhash64("doc_id", "features"), F.lit(every)) == 0).limit(2 * SAMPLE).select(
-        "features").collect()], float).reshape(-1, sum(map(len, FAMILIES.values())))
+    # By hash, so that neither the files' layout nor the tasks' order says which rows are drawn or where they stand.
+    ticket = F.xxhash64("doc_id", "features")
+    sample = np.array([r["features"] for r in rows.where(F.pmod(ticket, F.lit(every)) == 0).orderBy(
+        ticket, "features").limit(2 * SAMPLE).select("features").collect()], float).reshape(
+        -1, sum(map(len, FAMILIES.values())))
     forests, at = [], 0
     for features in FAMILIES.values():
         forests.append(fit_forest(sample[:, at:at + len(features)]) if len(sample) else ([], 1))

@@ -283,3 +283,10 @@ def test_pages_of_the_test_tables(spark, sf):
         want[r["page_id"]] = " ".join(html.unescape(article).split())
     got = {r["page_id"]: r["text"] for r in mainhtml.main_text(pages).collect()}
     assert got == want
+
+
+def test_quality_rules_do_not_depend_on_the_layout(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    once, again = (sorted(map(tuple, quality.quality_rules(docs.repartition(n, by), labels).select(
+        "doc_id", "score", "kept").collect())) for n, by in ((1, "doc_id"), (7, "source")))
+    assert once == again
