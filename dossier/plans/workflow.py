@@ -21,7 +21,7 @@ from dossier.operators.splits import (
     assign_splits, class_balance, label_coverage, route_labelled, split_overlap, split_report)
 from dossier.operators.vocabulary import Vocabulary, unseen_levels
 from dossier.plans import boosting, model as trees
-from dossier.session import remove_scratch, scratch_path
+from dossier.session import leaves_no_scratch, scratch_path, scratch_scope
 from dossier.sources import lineage, registry
 from dossier.sources.artifacts import ensure_vocabulary, load_vocabulary, materialize
 from dossier.sources.writers import write_csv, write_splits, write_table
@@ -51,6 +51,7 @@ def code_levels(vocabulary: Vocabulary) -> dict[str, list[str]]:
     return {last_feature(c): levels for c, levels in vocabulary.items()}
 
 
+@leaves_no_scratch
 def split_job(spark: SparkSession, statements: DataFrame, labels: DataFrame, out: str,
               spec: EntitySpec, narrow: bool = False) -> SplitResult:
     """Cut labels into stratified splits, send statements after them, record where all came from."""
@@ -75,7 +76,6 @@ def split_job(spark: SparkSession, statements: DataFrame, labels: DataFrame, out
     log = f"{out}/lineage"
     counts = {r["split"]: r for r in split_report(routed, spec).collect()}  # one row per split
     balance = {r["split"]: r for r in class_balance(assigned, spec).collect()}
-    remove_scratch(spark, checked)
     for name in spec.ratios:
         common = {"split_id": digest, "seed": spec.seed, "produced_by": "split_job",
                   "ratios": json.dumps(spec.ratios), "source_digest": json_digest(source)}
@@ -93,6 +93,7 @@ def split_job(spark: SparkSession, statements: DataFrame, labels: DataFrame, out
         overflow_audit(statements.select(*numbers)))
 
 
+@leaves_no_scratch
 def collapse_job(spark: SparkSession, source: str, out: str, log: str, spec: EntitySpec,
                  vocabulary: Vocabulary, force: bool = False) -> DataFrame:
     """The feature table of one statement table, built once and recorded."""
@@ -113,6 +114,7 @@ def collapse_job(spark: SparkSession, source: str, out: str, log: str, spec: Ent
     return features
 
 
+@leaves_no_scratch
 def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: EntitySpec,
               params: dict | None = None, patience: int = trees.PATIENCE, block: int = boosting.BLOCK,
               l2: float = boosting.L2, force: bool = False, code_version: str | None = None) -> str:
@@ -130,11 +132,10 @@ def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: Ent
     split_id = lineage.require_same_split(spark, log, *table.values(), *truth.values())
     require_same_columns(features["train"], features["validation"])
 
-    labelled, report, scratch = {}, {}, []
+    labelled, report = {}, {}
     for n in source:
         seen, path = Observation(), scratch_path(spark, f"labelled-{n}")
         write_table(join_labels(features[n], spark.read.parquet(truth[n]), spec, seen), path)
-        scratch.append(path)
         labelled[n] = spark.read.parquet(path)
         shares = class_balance(labelled[n], spec, by=None).first()
         report[n] = {"rows": seen.get["n_rows"], "unlabelled": seen.get["n_unlabelled"],
@@ -164,7 +165,6 @@ def train_job(spark: SparkSession, split_dir: str, registry_root: str, spec: Ent
                    features=len(expected), customers=report["train"]["rows"],
                    unlabelled=report["train"]["unlabelled"], positives=report["train"]["positives"],
                    levels=sum(map(len, vocabulary.values())), code_version=code_version)
-    remove_scratch(spark, *scratch)
     return run_id
 
 
@@ -192,9 +192,10 @@ def predict_job(spark: SparkSession, source: str, split_dir: str, registry_root:
     vocabulary = (meta or {}).get("categories") or load_vocabulary(spark, f"{split_dir}/vocabulary")
     features = collapse_job(spark, source, f"{out}/features", log, spec, vocabulary, force)
     model = PipelineModel.load(path)
-    scored = trees.score(features, model, spec, code_levels(vocabulary),
-                         (meta or {}).get("best_iteration"))
-    write_table(scored, f"{out}/predictions")
+    with scratch_scope(spark):
+        scored = trees.score(features, model, spec, code_levels(vocabulary),
+                             (meta or {}).get("best_iteration"))
+        write_table(scored, f"{out}/predictions")
     lineage.inherit(spark, log, f"{out}/predictions", source,
                     run_id=(meta or {}).get("run_id"), produced_by="predict_job")
     predictions = spark.read.parquet(f"{out}/predictions")
@@ -215,6 +216,7 @@ def score_statements(statements: DataFrame, model: PipelineModel, spec: EntitySp
                        code_levels(vocabulary), rounds, "predicted_probability")
 
 
+@leaves_no_scratch
 def evaluate_job(spark: SparkSession, statements: DataFrame, labels: DataFrame,
                  model: PipelineModel, spec: EntitySpec, vocabulary: Vocabulary,
                  rounds: int | None = None) -> DataFrame:
@@ -234,7 +236,6 @@ def evaluate_job(spark: SparkSession, statements: DataFrame, labels: DataFrame,
         raise ValueError("none of the scored ids has a label: different datasets?")
     auc = ranking_metric(spark.read.parquet(path), spec.id_col, spec.target_col,
                          "predicted_probability").select(F.round("auc", 6)).first()[0]
-    remove_scratch(spark, path)
     return spark.createDataFrame([(auc, evaluated, unmatched)],
                                  "auc double, n_evaluated long, n_unmatched long")
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
@@ -44,9 +47,36 @@ def work_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never handed out twice."""
-    return f"{work_dir(spark)}/dossier/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/dossier/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes at its end every scratch table named inside: for work whose results are written by then."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        remove_scratch(spark, *made)
+
+
+def leaves_no_scratch(job: Callable) -> Callable:
+    """A job that reads none of its scratch tables once it has returned; its first argument is the session."""
+    @wraps(job)
+    def scoped(spark: SparkSession, *args, **kwargs):
+        with scratch_scope(spark):
+            return job(spark, *args, **kwargs)
+    return scoped
 
 
 def remove_scratch(spark: SparkSession, *paths: str) -> None:

@@ -487,3 +487,22 @@ def test_wide_collapse_without_sequence_reads_the_statements_once(spark, folder)
         odd = source.select(F.lit(None).cast("long").alias("id"), "day", *[f"x{i}" for i in range(width)])
         with pytest.raises(PySparkException, match="without an id"):
             collapse(odd, spec, {}, batch=42).collect()
+
+
+def test_jobs_leave_no_scratch(spark, folder):
+    from dossier.session import scratch_path, scratch_scope, work_dir
+    held = lambda: {f.getPath().getName() for f in fs.listStatus(where)} if fs.exists(where) else set()
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/dossier")
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    statements, labels = history(spark, 120)
+    before = held()
+    workflow.split_job(spark, statements, labels, f"{folder}/split", SPEC)
+    workflow.train_job(spark, f"{folder}/split", f"{folder}/runs", SPEC, {
+        "maxIter": 2, "maxDepth": 2, "minInstancesPerNode": 2, "featureSubsetStrategy": "all"}, block=2)
+    workflow.predict_job(spark, workflow.folder(f"{folder}/split/statements", "test"), f"{folder}/split",
+                         f"{folder}/runs", f"{folder}/out", SPEC)
+    assert held() == before
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        spark.range(3).write.parquet(scratch_path(spark, "lost"))
+        1 / 0
+    assert held() == before
