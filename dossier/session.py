@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,7 +13,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, **conf: str) -> SparkSession:
-    """A small local session for tests and benchmarks."""
+    """A small local session for tests and benchmarks; its workers find this package from any folder."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [home, os.environ.get("PYTHONPATH")]))
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("dossier")
         .config("spark.ui.enabled", "false")
