@@ -3,19 +3,25 @@
 A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, then one end token. Training texts are those whose
 crc32(doc_id as text) mod 5 is not 1 (a null id counts as empty text).
 
-Units: each of the most frequent words (at most ``UNITS``) is a unit of its own; any other word belongs to the
-unit of its ending, one of ``ENDINGS`` hash values of its last two characters. Every word of any corpus has a
-unit without a table that grows. Units are put into ``CLASSES`` classes by exchange clustering: starting from
-classes of equal token mass by frequency, in each of ``ROUNDS`` rounds every unit (a hashed half of
-them at a time, so that neighbours do not swap back and forth) moves to the class that raises the likelihood
-of the class bigrams most, given the other units' classes. Unit pairs are counted over all training texts
-and stay in Spark; the driver holds classes of units and class-to-class counts only.
-
-Score: sum over tokens of log10 P(class | class before) + log10 P(token | class). Transitions are smoothed by 0.5 a
-class; an emission is (c + 0.5) / (N_class + 0.5 (V_class + 1)) with the word's own training count c, over
-all words, so unseen words have the rest of their class. Start and end are classes of their own.
-
-Counts of the ``KNOWN`` most frequent words at most go to the tasks; rarer tokens meet their counts in a join.
+Every word of the training texts has a class of its own among ``CLASSES``, found by exchange in three steps:
+
+1. The core, the words of the highest counts (at most ``CORE``), is exchanged until it is still. Starting from classes
+   of equal token mass by frequency, a hashed part of the words at a time moves each word to the class that raises the
+   likelihood of the class bigrams most, given the other words' classes. Moves of one part are judged on the same
+   counts, so a step that lowers the likelihood is taken back and the parts are halved. It ends when no part moves,
+   or when a sweep over all parts raises the likelihood by less than ``LEAST_GAIN`` a token.
+2. The other known words (at most ``KNOWN``) make one such move each, by the classes of their neighbours in the core.
+3. All remaining words make one, by the classes of their known neighbours. There is no limit to their number: their
+   contexts meet in a shuffle by word, and their classes stay in Spark.
+
+Contexts are counted over all training texts. The driver holds the classes of known words and class-to-class counts only.
+A word without such a neighbour, and any word not seen in training, has the open class: the one with most words seen once.
+
+Score: sum over tokens of log10 P(class | class before) + log10 P(token | class). Transitions are counted over all
+training tokens and smoothed by 0.5 a class; an emission is (c + 0.5) / (N_class + 0.5 (V_class + 1)) with the
+word's own training count c, so unseen words have the rest of their class. Start and end are classes of their own.
+
+Texts are read twice, for the counts and for the numbers of their words; what follows works on the numbers.
 Null and empty texts are one end token. Repeated rows count and score each; extra columns are
 ignored; an empty table gives an empty result, and with no training text every count is zero.
 """
@@ -23,7 +29,6 @@ ignored; an empty table gives an empty result, and with no training text every c
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -32,12 +37,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from dossier.llm.common import raw, slices, written
 
-UNITS = 8192
-ENDINGS = 1024
+CORE = 8192
 CLASSES = 48
-ROUNDS = 6
+LEAST_GAIN = 1e-5
 KNOWN = 131_072
 _HELD = 400_000
+_RARE = 255
+_ENTRIES = 50_000
 END = b"\n"  # no word holds a line feed
 
 
@@ -72,82 +78,82 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """The words whose count is in the highest bands that together hold at most ``most`` words."""
+    """About ``most`` words of the highest counts, by bands of counts; a hash picks words of the last band."""
     band = F.floor(F.log2("n") * 16)
     bands = sorted(((r["band"], r["size"]) for r in counts.groupBy(band.alias("band")).agg(
         F.count("*").alias("size")).collect()), reverse=True)
-    least, total = None, 0
+    chosen, total = F.lit(False), 0
     for value, size in bands:
-        if total + size > most:
+        share = min(1.0, (most - total) / size)
+        chosen |= (band == value) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        total += size
+        if total >= most:
             break
-        least, total = value, total + size
-    if least is None:
-        return {}
-    return {bytes(r["word"]): r["n"] for r in counts.where(band >= least).collect()}
+    return {bytes(r["word"]): r["n"] for r in counts.where(chosen).collect()}
 
 
-class Units:
-    """The unit of any word: 0 start, 1 end, then the frequent words, then the endings."""
+class _Numbers(dict):
+    """The number of a known word; -1 for any other."""
 
-    def __init__(self, words: list[bytes]):
-        self.own = {END: 1} | {w: i + 2 for i, w in enumerate(words)}
-        self.first = len(words) + 2
-        self.n = self.first + ENDINGS
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
-    def of(self, word: bytes) -> int:
-        own = self.own.get(word)
-        if own is not None:
-            return own
-        return self.first + zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
 
-    def table(self) -> "_Table":
-        return _Table(self)
+def numbered(docs: DataFrame, words: list[bytes], sizes: np.ndarray) -> DataFrame:
+    """Each row with the numbers of its words: 0 start, 1 end, then ``words``; other words stand in ``rare``.
 
+    ``sizes`` has the training counts by number. ``seen`` counts the known words, ``logs`` adds up their log10(c + 0.5).
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(
+        ({END: 1} | {w: i + 2 for i, w in enumerate(words)}, np.log10(sizes + 0.5), int(sizes[1] == 0)))
 
-class _Table(dict):
-    """Units by word, as a task meets them; bounded."""
+    def scan(batches):
+        numbers, logs, no_end = shared.value  # no_end: without training texts the end is not known either
+        number = _Numbers(numbers).__getitem__
+        for part in slices(batches, 500):
+            rows = []
+            for text in raw(part.column(2)):
+                tokens = words_of(text)
+                tokens.append(END)
+                ids = np.array(list(map(number, tokens)), np.int32)
+                rare = np.flatnonzero(ids < 0).tolist()
+                rows.append((len(ids), len(ids) - len(rare) - no_end, float(logs[ids[ids >= 0]].sum()), ids.tobytes(),
+                             [tokens[i] for i in rare]))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:2], part.column(3), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((
+                    pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.binary()))))],
+                ["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "ids", "rare"])
 
-    def __init__(self, units: Units):
-        super().__init__()
-        self.units = units
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out").mapInArrow(
+        scan, f"row long, doc_id {id_type}, held_out boolean, n_tokens long, seen long, logs double, ids binary, "
+              "rare array<binary>")
+
+
+_START = np.zeros(1, np.int32).tobytes()
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _HELD:
-            self.clear()
-        got = self[word] = self.units.of(word)
-        return got
 
+def _chain(column: pa.Array) -> np.ndarray:
+    """The numbers of several rows, one after the other, each after a start."""
+    return np.frombuffer(b"".join(_START + ids for ids in column.to_pylist()), np.int32)
 
-def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
-    """u, v and n: how often unit v follows unit u in the texts, start and end included."""
-    shared = texts.sparkSession.sparkContext.broadcast(units)
 
+def _counted(tokens: DataFrame, keys_of, name: str) -> DataFrame:
+    """key and n over the rows; ``keys_of`` gives the keys of a chain. Each task adds up what it can hold."""
     def scan(batches):
-        table = shared.value.table()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def merged():
             keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            sums = np.bincount(place, weights=np.concatenate([n for _, n in held])).astype(np.int64)
-            held[:] = [(keys, sums)]
+            held[:] = [(keys, np.bincount(place, weights=np.concatenate([n for _, n in held])).astype(np.int64))]
             return len(keys)
 
         def out():
-            keys, n = held[0]
-            return pa.RecordBatch.from_arrays(
-                [pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)),
-                 pa.array(n)], ["u", "v", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], [name, "n"])
 
         waiting = 0
         for part in slices(batches, 200):
-            ids: list[int] = []
-            for text in raw(part.column(0)):
-                ids.append(0)
-                ids.extend(map(table.__getitem__, words_of(text)))
-                ids.append(1)
-            row = np.array(ids, np.int64)
-            keys = row[:-1] << 32 | row[1:]
-            keys, n = np.unique(keys[row[:-1] != 1], return_counts=True)
+            keys, n = np.unique(keys_of(_chain(part.column(0))), return_counts=True)
             held.append((keys, n))
             waiting += len(keys)
             if waiting > 4 * _HELD:
@@ -160,8 +166,37 @@ def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
             merged()
             yield out()
 
-    return texts.select("text").mapInArrow(scan, "u int, v int, n long").groupBy("u", "v").agg(
-        F.sum("n").alias("n"))
+    return tokens.select("ids").mapInArrow(scan, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n"))
+
+
+def core_pairs(tokens: DataFrame, core: int) -> DataFrame:
+    """u, v and n: how often v follows u in the rows, both start, end or core (numbers below ``core``)."""
+    def keys_of(chain):
+        u, v = chain[:-1].astype(np.int64), chain[1:]
+        return (u << 32 | v)[(u != 1) & (u >= 0) & (v >= 0) & (u < core) & (v < core)]
+
+    return _counted(tokens, keys_of, "pair").select(
+        F.shiftright("pair", 32).cast("int").alias("u"), F.col("pair").bitwiseAND(0x7FFFFFFF).cast("int").alias("v"), "n")
+
+
+def core_contexts(pairs: DataFrame) -> DataFrame:
+    """A row per core word: its neighbours (2 x number + side, side 1 after it) and their counts, as buffers.
+
+    A word has at most two neighbours per core word, so a row is bounded.
+    """
+    def pack(batches):
+        for part in slices(batches, 100):
+            rows = part.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0),
+                 pa.array([np.array([2 * e["other"] + e["side"] for e in r], np.int32).tobytes() for r in rows], pa.binary()),
+                 pa.array([np.array([e["n"] for e in r], np.int64).tobytes() for r in rows], pa.binary())],
+                ["unit", "at", "n"])
+
+    both = pairs.select(F.col("v").alias("unit"), F.col("u").alias("other"), F.lit(0).alias("side"), "n").unionByName(
+        pairs.select(F.col("u").alias("unit"), F.col("v").alias("other"), F.lit(1).alias("side"), "n"))
+    return both.groupBy("unit").agg(F.collect_list(F.struct("other", "side", "n")).alias("entries")).mapInArrow(
+        pack, "unit int, at binary, n binary")
 
 
 def _xlogx(x):
@@ -201,137 +236,320 @@ def best_class(own: int, left: np.ndarray, right: np.ndarray, loop: float,
     return best if gain[best] > gain[own] + 1e-9 else own
 
 
-def exchange(pairs: DataFrame, sizes: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """The class of every unit. ``sizes``: tokens of each unit."""
-    spark = pairs.sparkSession
+def joined_class(word: np.ndarray, context: np.ndarray, n: np.ndarray, words: int, pairs: np.ndarray) -> np.ndarray:
+    """For words that have no class yet, the class each would join by ``best_class``'s measure; -1 without a context.
+
+    An entry says: ``word`` stands ``n`` times next to ``context``, which is a class before it, or k + a class after it.
+    """
+    k = len(pairs)
+    key, place = np.unique(word * (2 * k) + context, return_inverse=True)
+    n = np.bincount(place, weights=n)
+    word, context = key // (2 * k), key % (2 * k)
+    side = context >= k
+    gain = np.zeros((words, k))
+    found = np.zeros(words, bool)
+    found[word] = True
+    lines = np.concatenate([pairs, pairs.T])  # counts with every class to join: after a class, before a class
+    known = _xlogx(lines)
+    starts = np.flatnonzero(np.diff(word, prepend=-1))
+    ends = np.append(starts[1:], len(word))
+    low = 0
+    while low < len(starts):  # a few words at a time, for the memory
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + _ENTRIES)))
+        first, last = starts[low], ends[high - 1]
+        at = context[first:last]
+        step = _xlogx(lines[at] + n[first:last, None]) - known[at]
+        gain[word[starts[low:high]]] = np.add.reduceat(step, starts[low:high] - first)
+        low = high
+    # A class on both sides of the word: its corner was raised twice, apart.
+    both, a, b = np.intersect1d(key[~side], key[side] - k, return_indices=True)
+    c = both % (2 * k)
+    left, right, corner = n[~side][a], n[side][b], pairs[c, c]
+    gain[both // (2 * k), c] += (
+        _xlogx(corner + left + right) - _xlogx(corner + left) - _xlogx(corner + right) + _xlogx(corner))
+    # Sums of a class: what it had, its own tokens next to the word, and the word's tokens if it joins.
+    for sums, own in ((pairs.sum(axis=1), side), (pairs.sum(axis=0), ~side)):
+        total = np.bincount(word[own], n[own], words)
+        sums = np.repeat(sums[None, :], words, axis=0)
+        sums[word[~own], context[~own] % k] += n[~own]
+        gain -= _xlogx(sums + total[:, None]) - _xlogx(sums)
+    gain[:, :2] = -np.inf
+    best = gain > gain.max(axis=1, keepdims=True) - 1e-7  # ties: the first class
+    return np.where(found, best.argmax(axis=1), -1)
+
+
+def first_classes(sizes: np.ndarray, classes: int) -> np.ndarray:
+    """Classes of equal token mass, by frequency; start and end apart."""
     of = np.zeros(len(sizes), np.int64)
     order = np.argsort(-sizes[2:], kind="stable") + 2
     mass = np.cumsum(sizes[order])
-    of[order] = 2 + np.minimum((mass - sizes[order]) * (classes - 2) // max(1, mass[-1]), classes - 3).astype(np.int64)
+    if len(order):
+        of[order] = 2 + np.minimum(
+            (mass - sizes[order]) * (classes - 2) // max(1, mass[-1]), classes - 3).astype(np.int64)
     of[:2] = (0, 1)
-    # Both directions as one table of unit contexts; loops apart.
-    context = written(
-        pairs.select(F.col("v").alias("unit"), F.col("u").alias("other"), F.lit(0).alias("side"), "n").unionByName(
-            pairs.select(F.col("u").alias("unit"), F.col("v").alias("other"), F.lit(1).alias("side"), "n")),
-        "unit-contexts")
-    for turn in range(rounds):
-        known = spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "other int, class int")
-        # ``known`` has one row per unit, at most UNITS + ENDINGS + 2.
-        seen = context.join(F.broadcast(known), "other").groupBy("unit", "side", "class").agg(
-            F.sum("n").alias("n"), F.sum(F.when(F.col("unit") == F.col("other"), F.col("n")).otherwise(0)).alias("loop"))
-        seen = written(seen, "class-contexts")
-        matrix = np.zeros((classes, classes))
-        mine = spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "unit int, own int")
-        for r in seen.where("side = 1").join(F.broadcast(mine), "unit").groupBy("own", "class").agg(
-                F.sum("n").alias("n")).collect():
-            matrix[r["own"], r["class"]] = r["n"]
-        rows, columns = matrix.sum(axis=1), matrix.sum(axis=0)
-
-        def move(batches, of=of, matrix=matrix, rows=rows, columns=columns):
-            for batch in batches:
-                out = []
-                for unit, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    left, right, loop = np.zeros(classes), np.zeros(classes), 0.0
-                    for e in entries:
-                        (right if e["side"] else left)[e["class"]] += e["n"]
-                        loop += e["loop"] if e["side"] else 0
-                    out.append(best_class(int(of[unit]), left, right, loop, matrix, rows, columns))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int32())], ["unit", "best"])
-
-        half = F.pmod(F.xxhash64("unit"), F.lit(2)) == turn % 2
-        moved = (
-            seen.where("unit > 1").where(half).groupBy("unit")
-            .agg(F.collect_list(F.struct("side", "class", "n", "loop")).alias("entries"))  # at most two per class
-            .mapInArrow(move, "unit int, best int").collect())
-        changed = 0
-        of = of.copy()
-        for r in moved:
-            changed += of[r["unit"]] != r["best"]
-            of[r["unit"]] = r["best"]
-        if not changed and turn:
-            break
     return of
 
 
-def score(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and class_perplexity of every row."""
-    spark = docs.sparkSession
+def class_matrix(contexts: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """How often a core word of one class follows one of another; a task sends at most a matrix."""
+    def add(batches):
+        sums = np.zeros(classes * classes)
+        for batch in batches:
+            for unit, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                at = np.frombuffer(at, np.int32)
+                after = at & 1 == 1
+                here = of[unit] * classes
+                sums[here:here + classes] += np.bincount(
+                    of[at[after] >> 1], np.frombuffer(n, np.int64)[after], classes)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(sums[some].astype(np.int64))], ["cell", "n"])
+
+    matrix = np.zeros(classes * classes)
+    for r in contexts.mapInArrow(add, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        matrix[r["cell"]] = r["n"]
+    return matrix.reshape(classes, classes)
+
+
+def likelihood(matrix: np.ndarray) -> float:
+    """Log likelihood of the class bigrams, but for a part that no class changes."""
+    return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(axis=1)).sum() - _xlogx(matrix.sum(axis=0)).sum())
+
+
+def moves(contexts: DataFrame, of: np.ndarray, matrix: np.ndarray, part: int, parts: int) -> dict[int, int]:
+    """The words of one part that some other class suits better, and that class; at most ``CORE`` words."""
+    rows, columns, k = matrix.sum(axis=1), matrix.sum(axis=0), len(matrix)
+
+    def move(batches):
+        for batch in batches:
+            units, best = [], []
+            for unit, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                at, n = np.frombuffer(at, np.int32), np.frombuffer(n, np.int64)
+                after = at & 1 == 1
+                other, own = at >> 1, int(of[unit])
+                got = best_class(
+                    own, np.bincount(of[other[~after]], n[~after], k), np.bincount(of[other[after]], n[after], k),
+                    float(n[after & (other == unit)].sum()), matrix, rows, columns)
+                if got != own:
+                    units.append(unit)
+                    best.append(got)
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), pa.array(best, pa.int32())], ["unit", "best"])
+
+    chosen = contexts.where("unit > 1").where(F.pmod(F.xxhash64("unit"), F.lit(parts)) == part)
+    return {r["unit"]: r["best"] for r in chosen.mapInArrow(move, "unit int, best int").collect()}
+
+
+def exchange(contexts: DataFrame, sizes: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """The class of every core word and the class bigrams. ``sizes``: tokens of each."""
+    of = first_classes(sizes, classes)
+    matrix = class_matrix(contexts, of, classes)
+    value, least = likelihood(matrix), LEAST_GAIN * max(1.0, matrix.sum())
+    parts, part, still, before = 2, 0, 0, value
+    while still < parts:
+        moved = moves(contexts, of, matrix, part, parts)
+        still = 0 if moved else still + 1
+        if moved:
+            tried = of.copy()
+            tried[list(moved)] = list(moved.values())
+            counts = class_matrix(contexts, tried, classes)
+            if likelihood(counts) <= value:
+                parts, part, still, before = 2 * parts, 0, 0, value
+                continue
+            of, matrix, value = tried, counts, likelihood(counts)
+        part = (part + 1) % parts
+        if part == 0:
+            if value - before < least:
+                break
+            before = value
+    return of, matrix
+
+
+def known_classes(tokens: DataFrame, of: np.ndarray, matrix: np.ndarray, words: int) -> np.ndarray:
+    """The classes of all known words: those of the core, then each other word's by its neighbours in the core."""
+    core, k = len(of), len(matrix)
+
+    def keys_of(chain):
+        known = chain >= 0
+        inner = known & (chain < core)
+        cls = np.where(inner, of[np.where(inner, chain, 0)], 0)
+        outer = np.flatnonzero(known & ~inner)  # a start comes before it and an end after it at the latest
+        unit = chain[outer].astype(np.int64) * (2 * k)
+        left, right = inner[outer - 1], inner[outer + 1]
+        return np.concatenate([(unit + cls[outer - 1])[left], (unit + k + cls[outer + 1])[right]])
+
+    def join(batches):
+        for part in slices(batches, 5000):
+            entries = part.column(1)
+            word = np.repeat(np.arange(part.num_rows), np.diff(entries.offsets.to_numpy()))
+            flat = entries.flatten()
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(joined_class(
+                    word, flat.field(0).to_numpy(), flat.field(1).to_numpy(), part.num_rows, matrix).astype(np.int32))],
+                ["unit", "class"])
+
+    full = np.full(words, -1, np.int64)
+    full[:core] = of
+    if words > core:
+        seen = _counted(tokens, keys_of, "key").select(
+            F.expr(f"CAST(key DIV {2 * k} AS INT)").alias("unit"), (F.col("key") % (2 * k)).alias("context"), "n")
+        found = seen.groupBy("unit").agg(F.collect_list(F.struct("context", "n")).alias("entries"))  # at most 2 k each
+        for r in found.mapInArrow(join, "unit int, class int").collect():
+            full[r["unit"]] = r["class"]
+    return full
+
+
+def rare_classes(tokens: DataFrame, of: np.ndarray, matrix: np.ndarray) -> DataFrame:
+    """word, n and class (-1 without a known neighbour) of every training word that is not known."""
+    k = len(matrix)
+    shared = tokens.sparkSession.sparkContext.broadcast(of)
+
+    def scan(batches):
+        of = shared.value
+        for part in slices(batches, 500):
+            chain = _chain(part.column(0))
+            cls = np.where(chain >= 0, of[np.maximum(chain, 0)], -1) + 1
+            at = np.flatnonzero(chain < 0)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(1).flatten(), pa.array((cls[at - 1] * (k + 1) + cls[at + 1]).astype(np.int32))],
+                ["word", "around"])
+
+    def join(batches):
+        for part in slices(batches, 20_000):
+            entries = part.column(1)
+            word = np.repeat(np.arange(part.num_rows), np.diff(entries.offsets.to_numpy()))
+            flat = entries.flatten()
+            around, n = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            left, right = around // (k + 1) - 1, around % (k + 1) - 1
+            best = joined_class(
+                np.concatenate([word[left >= 0], word[right >= 0]]),
+                np.concatenate([left[left >= 0], k + right[right >= 0]]),
+                np.concatenate([n[left >= 0], n[right >= 0]]), part.num_rows, matrix)
+            total = np.bincount(word, n, part.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(total), pa.array(best.astype(np.int32))], ["word", "n", "class"])
+
+    # One shuffle by word serves both groupings; no rare word holds more than one in ``KNOWN`` of all tokens.
+    return (
+        tokens.where(F.size("rare") > 0).select("ids", "rare").mapInArrow(scan, "word binary, around int")
+        .repartition("word").groupBy("word", "around").agg(F.count("*").alias("n"))
+        .groupBy("word").agg(F.collect_list(F.struct("around", "n")).alias("entries"))  # at most (k + 1) squared
+        .mapInArrow(join, "word binary, n long, class int"))
+
+
+def paths(tokens: DataFrame, rare: DataFrame, of: np.ndarray, open_class: int) -> DataFrame:
+    """Each row with the classes of its tokens as bytes, and the counts and logs of all its words."""
+    shared = tokens.sparkSession.sparkContext.broadcast(np.where(of < 0, open_class, of).astype(np.uint8))
+    kept = ["row", "doc_id", "held_out", "n_tokens", "seen", "logs"]
+    id_type = tokens.schema["doc_id"].dataType.simpleString()
+    fields = f"row long, doc_id {id_type}, held_out boolean, n_tokens long, seen long, logs double"
+
+    def known(batches):
+        of = shared.value
+        for batch in batches:
+            found = []
+            for ids in batch.column(6).to_pylist():
+                ids = np.frombuffer(ids, np.int32)
+                found.append(np.where(ids < 0, _RARE, of[np.maximum(ids, 0)]).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(found, pa.binary())], [*kept, "path"])
+
+    def whole(batches):
+        for batch in batches:
+            found = []
+            for path, marks in zip(batch.column(6).to_pylist(), batch.column(7).to_pylist()):
+                if marks:
+                    path = np.frombuffer(path, np.uint8).copy()
+                    path[path == _RARE] = np.sort(np.array(marks, np.int64)) & 255
+                    path = path.tobytes()
+                found.append(path)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(found, pa.binary())], [*kept, "path"])
+
+    # A mark is a rare word's place among those of its row, and its class.
+    met = (
+        tokens.select("row", F.posexplode("rare").alias("k", "word")).join(rare, "word", "left")
+        .groupBy("row").agg(
+            F.count("n").alias("more"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more_logs"),
+            F.collect_list(F.col("k").cast("long") * 256 + F.when(
+                F.col("class") >= 0, F.col("class")).otherwise(open_class)).alias("marks")))
+    return (
+        tokens.select(*kept, "ids").mapInArrow(known, f"{fields}, path binary").join(met, "row", "left")
+        .select("row", "doc_id", "held_out", "n_tokens", (F.col("seen") + F.coalesce("more", F.lit(0))).alias("seen"),
+                (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("logs"), "path", "marks")
+        .mapInArrow(whole, f"{fields}, path binary"))
+
+
+def transitions(rows: DataFrame, classes: int) -> np.ndarray:
+    """How often one class follows another in the paths; a task sends at most a matrix."""
+    def add(batches):
+        sums = np.zeros(classes * classes, np.int64)
+        for part in slices(batches, 500):
+            chain = np.frombuffer(b"".join(b"\0" + p for p in part.column(0).to_pylist()), np.uint8).astype(np.int64)
+            steps = (chain[:-1] * classes + chain[1:])[chain[:-1] != 1]
+            sums += np.bincount(steps, minlength=classes * classes)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some])], ["cell", "n"])
+
+    matrix = np.zeros(classes * classes)
+    for r in rows.select("path").mapInArrow(add, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        matrix[r["cell"]] = r["n"]
+    return matrix.reshape(classes, classes)
+
+
+def score(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row."""
+    if not 3 <= classes < _RARE:
+        raise ValueError(f"{classes} classes: at least 3 and fewer than {_RARE}")
     docs = docs.select("doc_id", "text", held_out().alias("held_out"))
-    training = docs.where("NOT held_out")
-    counts = written(word_counts(training), "word-counts")
+    counts = written(word_counts(docs.where("NOT held_out")), "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    tokens, distinct = total["n"] or 0, total["v"]
+    all_tokens, distinct = total["n"] or 0, total["v"]
+    ends = counts.where(F.col("word") == F.lit(bytearray(END))).agg(F.sum("n")).first()[0] or 0
     known = most_frequent(counts, KNOWN)
-    frequent = sorted((w for w in known if w != END), key=lambda w: (-known[w], w))[:UNITS]
-    units = Units(frequent)
-    pairs = written(unit_pairs(training, units), "unit-pairs")
-
-    shared_units = spark.sparkContext.broadcast(units)
-
-    def by_unit(batches):
-        n, v = np.zeros(shared_units.value.n, np.int64), np.zeros(shared_units.value.n, np.int64)
-        for part in slices(batches, 10_000):
-            own = np.array([shared_units.value.of(w) for w in part.column(0).to_pylist()], np.int64)
-            np.add.at(n, own, part.column(1).to_numpy())
-            np.add.at(v, own, 1)
-        some = np.flatnonzero(v)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array(n[some]), pa.array(v[some])], ["unit", "n", "v"])
-
-    sizes, kinds = np.zeros(units.n, np.int64), np.zeros(units.n, np.int64)
-    for r in counts.mapInArrow(by_unit, "unit int, n long, v long").groupBy("unit").agg(
-            F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        sizes[r["unit"]], kinds[r["unit"]] = r["n"], r["v"]
-    of = exchange(pairs, sizes, classes, rounds)
-
-    steps = np.zeros((classes, classes))
-    named = spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "unit int, class int")
-    first = named.select(F.col("unit").alias("u"), F.col("class").alias("a"))
-    second = named.select(F.col("unit").alias("v"), F.col("class").alias("b"))
-    for r in pairs.join(F.broadcast(first), "u").join(F.broadcast(second), "v").groupBy("a", "b").agg(
-            F.sum("n").alias("n")).collect():
-        steps[r["a"], r["b"]] = r["n"]
+    words = sorted((w for w in known if w != END), key=lambda w: (-known[w], w))
+    sizes = np.array([0, ends, *(known[w] for w in words)], np.int64)
+    core = min(CORE, len(words)) + 2
+    tokens = written(numbered(docs, words, sizes), "numbered-rows")
+    training = tokens.where("NOT held_out")
+
+    contexts = written(core_contexts(core_pairs(training, core)), "core-contexts")
+    of, matrix = exchange(contexts, sizes[:core], classes)
+    of = known_classes(training, of, matrix, len(sizes))
+    rare = written(rare_classes(training, of, matrix), "rare-classes")
+
+    placed = of >= 0
+    class_n = np.bincount(of[placed], sizes[placed], classes)
+    class_v = np.bincount(of[placed], sizes[placed] > 0, classes)
+    once = np.bincount(of[placed], sizes[placed] == 1, classes)
+    more = {r["class"]: r for r in rare.groupBy("class").agg(
+        F.sum("n").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("n") == 1, 1)).alias("once")).collect()}
+    for c, r in more.items():
+        if c >= 0:
+            class_n[c], class_v[c], once[c] = class_n[c] + r["n"], class_v[c] + r["v"], once[c] + r["once"]
+    open_class = 2 + int((once[2:] if once[2:].any() else class_v[2:]).argmax())
+    class_n[open_class] += sizes[~placed].sum() + (more[-1]["n"] if -1 in more else 0)
+    class_v[open_class] += (~placed).sum() + (more[-1]["v"] if -1 in more else 0)
+
+    rows = written(paths(tokens, rare, of, open_class), "class-paths")
+    steps = transitions(rows.where("NOT held_out"), classes)
     transition = np.log10((steps + 0.5) / (steps.sum(axis=1, keepdims=True) + 0.5 * classes))
-    class_n, class_v = np.bincount(of, sizes, classes), np.bincount(of, kinds, classes)
     emission_base = np.log10(class_n + 0.5 * (class_v + 1))
-    base_all = math.log10(tokens + 0.5 * (distinct + 1))
-    shared = spark.sparkContext.broadcast((units, of, transition, emission_base, known))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def scan(batches):
-        units, of, transition, emission_base, known = shared.value
-        table = units.table()
-        logs = {w: math.log10(n + 0.5) for w, n in known.items()}
-        for part in slices(batches, 500):
-            rows = []
-            for text in raw(part.column(2)):
-                words = words_of(text)
-                words.append(END)
-                path = of[np.array([0, *map(table.__getitem__, words)], np.int64)]
-                own = transition[path[:-1], path[1:]].sum() - emission_base[path[1:]].sum()
-                found = list(map(logs.get, words))
-                rare = Counter(w for w, x in zip(words, found) if x is None) if None in found else {}
-                seen = len(words) - sum(rare.values())
-                rows.append((len(words), seen, math.fsum(filter(None, found)), float(own), list(rare), list(rare.values())))
+    base_all = math.log10(all_tokens + 0.5 * (distinct + 1))
+    step = transition - emission_base
+
+    def own(batches):
+        for batch in batches:
+            found = []
+            for path in batch.column(5).to_pylist():
+                path = np.frombuffer(b"\0" + path, np.uint8)
+                found.append(float(step[path[:-1], path[1:]].sum()))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:2], part.column(3), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((
-                    pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))))],
-                ["row", "doc_id", "held_out", "n_tokens", "seen", "logs", "own", "rare", "times"])
-
-    rows = written(
-        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out").mapInArrow(
-            scan, f"row long, doc_id {id_type}, held_out boolean, n_tokens long, seen long, logs double, own double, "
-                  "rare array<binary>, times array<long>"), "scored-rows")
-    rare = (
-        rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-        .select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")))
-    met = rare.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + 0.5)).alias("more_logs"))
-    all_logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
-    result = rows.drop("rare", "times").join(met, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("seen") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (all_logs - F.lit(base_all) * F.col("n_tokens")).alias("base_score"),
-        (all_logs + F.col("own")).alias("score"))
-    return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+                [*batch.columns[:5], pa.array(found, pa.float64())],
+                ["doc_id", "held_out", "n_tokens", "n_known", "logs", "own"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    scored = rows.select("doc_id", "held_out", "n_tokens", F.col("seen").alias("n_known"), "logs", "path").mapInArrow(
+        own, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, logs double, own double")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(all_tokens).cast("long").alias("train_tokens"),
+        (F.col("logs") - F.lit(base_all) * F.col("n_tokens")).alias("base_score"),
+        (F.col("logs") + F.col("own")).alias("score"),
+    ).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

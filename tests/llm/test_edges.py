@@ -24,7 +24,7 @@ def labels(spark):
 @pytest.fixture(scope="module")
 def operators(items, labels):
     return {
-        "simhash": simhash.near_duplicates, "brown": lambda d: brown.score(d, classes=6, rounds=2),
+        "simhash": simhash.near_duplicates, "brown": lambda d: brown.score(d, classes=6),
         "langid": langid.identify, "substrings": substrings.substring_dedup,
         "quality": lambda d: quality.quality_rules(d, labels), "license": license.license_scan,
         "lines": lines.line_dedup, "pieces": pieces.encode,

@@ -102,7 +102,7 @@ def base_scores(rows):
 def test_base_scores(mixed, monkeypatch, known):
     monkeypatch.setattr(brown, "KNOWN", known)  # few known words: nearly all counts come by the join
     rows = [(r["doc_id"], r["text"]) for r in mixed.collect()]
-    got = brown.score(mixed, classes=8, rounds=2).collect()
+    got = brown.score(mixed, classes=8).collect()
     want = base_scores(rows)
     for r in got:
         a = want[r["doc_id"]]
@@ -111,7 +111,7 @@ def test_base_scores(mixed, monkeypatch, known):
 
 
 def test_classes_beat_the_base_on_held_out_rows(mixed):
-    rows = [r for r in brown.score(mixed, classes=8, rounds=4).collect() if r["held_out"]]
+    rows = [r for r in brown.score(mixed, classes=8).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
@@ -141,45 +141,148 @@ def test_best_class_against_likelihood_of_every_move():
         assert values[best] == pytest.approx(max(values.values()), abs=1e-6)
 
 
-def test_model_scores_against_plain_sums(mixed, monkeypatch):
-    """Transitions and emissions counted one token at a time, under given classes."""
+def test_joined_class_against_likelihood_of_every_class():
+    rng = random.Random(5)
+    k, n_words = 6, 60
+    m = np.array([[rng.choice([0, 0, 1, 5, 40]) for _ in range(k)] for _ in range(k)], float)
+    m[:, 0] = m[1, :] = 0
+    entries = [(w, rng.choice([c for c in range(2 * k) if c not in (k, 1)]), rng.randint(1, 9))
+               for w in range(n_words) for _ in range(rng.randint(0, 6)) if w % 7]
+    word, context, n = (np.array(x, np.int64) for x in zip(*entries))
+    got = brown.joined_class(word, context, n, n_words, m)
+    f = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
+    for w in range(n_words):
+        values = {}
+        for c in range(2, k):
+            t = m.copy()
+            for u, at, count in entries:
+                if u == w:
+                    t[(at, c) if at < k else (c, at - k)] += count
+            values[c] = f(t) - f(t.sum(axis=1)) - f(t.sum(axis=0))
+        if w % 7 == 0 or not any(u == w for u, _, _ in entries):
+            assert got[w] == -1
+        else:
+            assert values[int(got[w])] == pytest.approx(max(values.values()), abs=1e-6)
+
+
+def plain_exchange(pairs, of, k, part_of, least):
+    """The loop of ``exchange``, every likelihood counted from the pairs."""
+    value = likelihood(pairs, of, k)[0]
+    steps, parts, part, still, before = [value], 2, 0, 0, value
+    while still < parts:
+        _, m = likelihood(pairs, of, k)
+        tried = list(of)
+        for u in range(2, len(of)):
+            if part_of(u, parts) == part:
+                own = likelihood(pairs, of, k)[0]
+                by = {c: likelihood(pairs, of[:u] + [c] + of[u + 1:], k)[0] for c in range(2, k)}
+                best = max(by, key=lambda c: (by[c], -c))
+                tried[u] = best if by[best] > own + 1e-7 else of[u]
+        still = 0 if tried != of else still + 1
+        if tried != of:
+            new = likelihood(pairs, tried, k)[0]
+            if new <= value:
+                parts, part, still, before = 2 * parts, 0, 0, value
+                continue
+            of, value = tried, new
+            steps.append(value)
+        part = (part + 1) % parts
+        if part == 0:
+            if value - before < least:
+                break
+            before = value
+    return of, steps
+
+
+def test_exchange_against_a_plain_loop(spark, monkeypatch):
+    rng = random.Random(11)
+    k, words = 5, 14
+    kinds = [rng.randint(0, 2) for _ in range(words)]
+    chains = [[0, *(2 + rng.choice([w for w in range(words) if kinds[w] == i % 3]) for i in range(30)), 1] for _ in range(40)]
+    pairs = Counter((a, b) for c in chains for a, b in zip(c, c[1:]))
+    sizes = np.bincount([x for c in chains for x in c], minlength=words + 2)
+    sizes[0] = 0
+    contexts = brown.core_contexts(
+        spark.createDataFrame([(u, v, n) for (u, v), n in pairs.items()], "u int, v int, n long")).cache()
+    hashes = {r["unit"]: r["h"] for r in spark.sql(
+        f"SELECT CAST(id AS INT) unit, xxhash64(CAST(id AS INT)) h FROM range({words + 2})").collect()}
+    monkeypatch.setattr(brown, "LEAST_GAIN", 0.0)
+    of, matrix = brown.exchange(contexts, sizes, k)
+    first = [int(c) for c in brown.first_classes(sizes, k)]
+    want, steps = plain_exchange(pairs, first, k, lambda u, parts: hashes[u] % parts, 0.0)
+    assert all(a < b for a, b in zip(steps, steps[1:])) and len(steps) > 2
+    assert [int(c) for c in of] == want
+    value, m = likelihood(pairs, want, k)
+    assert np.array_equal(m, matrix) and value == pytest.approx(steps[-1])
+
+
+@pytest.mark.parametrize("core,known", [(8192, 131_072), (12, 131_072), (12, 40), (0, 0)])
+def test_model_scores_against_plain_sums(mixed, monkeypatch, core, known):
+    """All three steps of the classes, transitions and emissions, counted one token at a time."""
     k, seen = 7, {}
-
-    def classes_of(pairs, sizes, classes, rounds):
-        seen["of"] = np.array([0, 1] + [2 + i % (classes - 2) for i in range(len(sizes) - 2)])
-        return seen["of"]
-
-    made = brown.Units.__init__
-
-    def keep(self, words):
-        made(self, words)
-        seen["units"] = self
-
-    monkeypatch.setattr(brown, "exchange", classes_of)
-    monkeypatch.setattr(brown.Units, "__init__", keep)
-    monkeypatch.setattr(brown, "UNITS", 30)
-    got = {r["doc_id"]: r["score"] for r in brown.score(mixed, classes=k).collect()}
+    monkeypatch.setattr(brown, "CORE", core)
+    monkeypatch.setattr(brown, "KNOWN", known)
+    made, numbered = brown.exchange, brown.numbered
+    monkeypatch.setattr(brown, "exchange", lambda *a: seen.setdefault("core", made(*a)))
+    monkeypatch.setattr(brown, "numbered", lambda d, words, sizes: (seen.update(words=words), numbered(d, words, sizes))[1])
+    got = {r["doc_id"]: r for r in brown.score(mixed, classes=k).collect()}
     rows = [(r["doc_id"], (r["text"] or "").encode().lower().split() + [b"\n"]) for r in mixed.collect()]
-    unit = {w: seen["units"].of(w) for _, t in rows for w in t}
-    label = {w: int(seen["of"][u]) for w, u in unit.items()}
-    train = [t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
-    count = Counter(w for t in train for w in t)
+    train = [[b"", *t] for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
+    count = Counter(w for t in train for w in t if w)
+    label = {w: int(c) for w, c in zip([b"", b"\n", *seen["words"]], seen["core"][0])}
+    matrix = seen["core"][1]
+    f = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
+    for names in (seen["words"], [w for w in count if w not in set(seen["words"])]):
+        new = {}
+        for w in names:
+            if w in label or w in new:
+                continue
+            sides = Counter((side, label[t[i + d]]) for t in train for i, x in enumerate(t) if x == w
+                            for side, d in ((0, -1), (1, 1)) if t[i + d] in label)
+            values = []
+            for c in range(2, k):
+                m = matrix.copy()
+                for (side, other), n in sides.items():
+                    m[(c, other) if side else (other, c)] += n
+                values.append(f(m) - f(m.sum(axis=1)) - f(m.sum(axis=0)))
+            if sides:
+                new[w] = 2 + min(i for i, x in enumerate(values) if x > max(values) - 1e-7)
+        label |= new
+    once = Counter(label[w] for w, n in count.items() if n == 1 and w in label and label[w] > 1)
+    assert once
+    open_class = min(once, key=lambda c: (-once[c], c))
+    named = lambda w: label.get(w, open_class)
     tokens, kinds = Counter(), Counter()
     for w, n in count.items():
-        tokens[label[w]] += n
-        kinds[label[w]] += 1
-    steps = Counter((a, b) for t in train for a, b in zip([0] + [label[w] for w in t], [label[w] for w in t]))
+        tokens[named(w)] += n
+        kinds[named(w)] += 1
+    steps = Counter((named(a), named(b)) for t in train for a, b in zip(t, t[1:]))
     out = Counter()
     for (a, _), n in steps.items():
         out[a] += n
     for d, t in rows:
         want, before = 0.0, 0
         for w in t:
-            c = label[w]
+            c = named(w)
             want += math.log10((steps[before, c] + 0.5) / (out[before] + 0.5 * k))
             want += math.log10((count[w] + 0.5) / (tokens[c] + 0.5 * (kinds[c] + 1)))
             before = c
-        assert got[d] == pytest.approx(want, abs=1e-6)
+        assert got[d]["score"] == pytest.approx(want, abs=1e-6)
+        assert got[d]["perplexity"] == pytest.approx(10 ** (-want / len(t)))
+
+
+def test_rows_without_training_texts_know_no_token(docs_of):
+    held = [d for d in range(200) if zlib.crc32(str(d).encode()) % 5 == 1][:3]
+    got = brown.score(docs_of([(d, "some words") for d in held])).collect()
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got] == [(3, 0, 0)] * 3
+    assert all(math.isfinite(r["score"]) for r in got)
+
+
+def test_rare_words_meet_in_one_shuffle(docs_of):
+    docs = docs_of(["a b c"]).selectExpr("doc_id", "text", "false held_out")
+    tokens = brown.numbered(docs, [b"a"], np.array([0, 1, 1]))
+    plan = brown.rare_classes(tokens, np.array([0, 1, 2]), np.zeros((3, 3)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def brute_rules(text):
