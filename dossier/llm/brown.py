@@ -39,11 +39,12 @@ from dossier.llm.common import raw, slices, written
 
 CORE = 8192
 CLASSES = 48
-LEAST_GAIN = 1e-5
+LEAST_GAIN = 1e-3
 KNOWN = 131_072
 _HELD = 400_000
 _RARE = 255
 _ENTRIES = 50_000
+_PARTS = 32
 END = b"\n"  # no word holds a line feed
 
 
@@ -195,12 +196,14 @@ def core_contexts(pairs: DataFrame) -> DataFrame:
 
     both = pairs.select(F.col("v").alias("unit"), F.col("u").alias("other"), F.lit(0).alias("side"), "n").unionByName(
         pairs.select(F.col("u").alias("unit"), F.col("v").alias("other"), F.lit(1).alias("side"), "n"))
-    return both.groupBy("unit").agg(F.collect_list(F.struct("other", "side", "n")).alias("entries")).mapInArrow(
+    # As many parts as tasks: the table is small, the moves are not.
+    return both.repartition(_PARTS, "unit").groupBy("unit").agg(
+        F.collect_list(F.struct("other", "side", "n")).alias("entries")).mapInArrow(
         pack, "unit int, at binary, n binary")
 
 
 def _xlogx(x):
-    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+    return x * np.log(np.maximum(x, 1))  # x: counts
 
 
 def best_class(own: int, left: np.ndarray, right: np.ndarray, loop: float,
