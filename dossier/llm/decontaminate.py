@@ -12,7 +12,8 @@ place. Only such places are verified, with Myers' bit-parallel distance, and the
 text is returned; nothing within the budget is lost.
 
 Items are read in blocks of about ``BLOCK_CHARS`` characters, dealt by a hash, so that what goes to the
-driver and the tasks at once is bounded however many items there are; every text meets every block.
+driver and the tasks at once is bounded however many items there are; every text meets every block. The matches of
+a block are written, and its items dropped from the tasks, before the next block is read.
 
 Null and empty texts and items hold nothing; items shorter than ten characters must occur exactly.
 Repeated text rows give repeated results, repeated item rows one. Ties go to the first stretch. Extra columns are
@@ -181,15 +182,19 @@ def decontamination(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_
                      *(pa.array([m[i] for m in got], pa.int32()) for i in (1, 2, 3))],
                     ["doc_id", "item_id", "distance", "start", "end"])
 
-        found = found.unionByName(texts.mapInArrow(scan, schema))
+        found = found.unionByName(written(texts.mapInArrow(scan, schema), "matches"))
+        shared.unpersist()
     return found
 
 
 def decontamination_stage(docs: DataFrame, items: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` that hold no item: each block of items filters what the one before left."""
     schema, columns, at = docs.schema, docs.columns, docs.columns.index("text")
-    left, filtered = docs, False
+    left, shared = docs, None
     for block in item_blocks(items, block_chars):
+        if shared is not None:  # the rows that the block before left
+            left = written(left, "filtered")
+            shared.unpersist()
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def scan(batches, shared=shared):
@@ -198,6 +203,5 @@ def decontamination_stage(docs: DataFrame, items: DataFrame, block_chars: int =
                 clean = [not (t and finder.matches(plain(t))) for t in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays(part.filter(pa.array(clean, pa.bool_())).columns, columns)
 
-        left = (written(left, "filtered") if filtered else left).mapInArrow(scan, schema)
-        filtered = True
+        left = left.mapInArrow(scan, schema)
     return left
