@@ -4,8 +4,9 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-c
 rolling 2-gram of a text is hashed and joined to the positions of the same hash in the templates; a hit
 at text word p and template word t votes for the diagonal p - t. Diagonals of one template that lie
 within ``SLACK`` of each other, and whose spans are no further apart than the template is long, are
-merged, so a few inserted or dropped words do not end a match. A merged span is verified: it must hold
-the share ``LEAST`` of the template's 2-grams, each template position counted once.
+merged, so a few inserted or dropped words do not end a match. A merged span is verified by its words: the 2-grams hit
+must cover the share ``LEAST`` of the template's words, each position counted once, so one replaced word costs one
+word. The template's deciding words, which tell it from other licenses, must be among those covered.
 
 The four base phrases are templates whose span must be whole on a single diagonal; one such diagonal is
 one place. The other templates add labels of their own. ``score`` is the largest verified share
@@ -27,26 +28,26 @@ BASE = (
     ("mit license", "mit"),
 )
 
-# Sentences of well-known licenses and notices, and the label each adds.
+# Sentences of well-known licenses and notices, the label each adds, and its deciding words.
 TEMPLATES = (
-    ("licensed under the apache license version 2 0", "apache-2.0"),
-    ("you may not use this file except in compliance with the license", "apache-2.0"),
-    ("released under the mit license", "mit-notice"),
+    ("licensed under the apache license version 2 0", "apache-2.0", "apache 2"),
+    ("you may not use this file except in compliance with the license", "apache-2.0", "compliance license"),
+    ("released under the mit license", "mit-notice", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software "
-     "and associated documentation files", "mit-notice"),
-    ("licensed under the gnu general public license version 3", "gpl-3.0"),
-    ("gnu general public license version 2", "gpl-2.0"),
-    ("under the terms of the gnu lesser general public license", "lgpl"),
-    ("under the terms of the gnu affero general public license", "agpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc-4.0"),
-    ("licensed under cc by sa 4 0", "cc-by-sa-4.0"),
-    ("licensed under a creative commons attribution 4 0 international license", "cc-by-4.0"),
+     "and associated documentation files", "mit-notice", "permission documentation"),
+    ("licensed under the gnu general public license version 3", "gpl-3.0", "general 3"),
+    ("gnu general public license version 2", "gpl-2.0", "general 2"),
+    ("under the terms of the gnu lesser general public license", "lgpl", "lesser"),
+    ("under the terms of the gnu affero general public license", "agpl", "affero"),
+    ("licensed under cc by nc 4 0", "cc-by-nc-4.0", "cc nc 4"),
+    ("licensed under cc by sa 4 0", "cc-by-sa-4.0", "cc sa 4"),
+    ("licensed under a creative commons attribution 4 0 international license", "cc-by-4.0", "commons 4"),
     ("redistribution and use in source and binary forms with or without modification are permitted",
-     "bsd"),
+     "bsd", "redistribution binary"),
     ("permission to use copy modify and or distribute this software for any purpose with or without "
-     "fee is hereby granted", "isc"),
-    ("subject to the terms of the mozilla public license", "mpl"),
-    ("this is free and unencumbered software released into the public domain", "unlicense"),
+     "fee is hereby granted", "isc", "permission purpose"),
+    ("subject to the terms of the mozilla public license", "mpl", "mozilla"),
+    ("this is free and unencumbered software released into the public domain", "unlicense", "unencumbered"),
 )
 
 GRAM = 2
@@ -70,13 +71,15 @@ def grams_of(words):
 
 
 def template_positions(spark: SparkSession, base=BASE, templates=TEMPLATES) -> DataFrame:
-    """gram, template, t (position), n (2-grams of the template), is_base, label."""
-    rows = [(i, phrase, label, True) for i, (phrase, label) in enumerate(base)]
-    rows += [(len(base) + i, phrase, label, False) for i, (phrase, label) in enumerate(templates)]
-    table = spark.createDataFrame(rows, "template int, phrase string, label string, is_base boolean")
+    """gram, template, t (position), n (words of the template), is_base, label and the deciding positions."""
+    rows = [(i, phrase, label, True, []) for i, (phrase, label) in enumerate(base)]
+    rows += [(len(base) + i, phrase, label, False, [phrase.split().index(w) for w in deciding.split()])
+             for i, (phrase, label, deciding) in enumerate(templates)]
+    table = spark.createDataFrame(
+        rows, "template int, phrase string, label string, is_base boolean, deciding array<int>")
     table = table.withColumn("words", F.split("phrase", " ")).withColumn("grams", grams_of(F.col("words")))
     return table.select(
-        "template", "label", "is_base", F.size("grams").alias("n"),
+        "template", "label", "is_base", "deciding", F.size("words").alias("n"),
         F.posexplode("grams").alias("t", "gram"))
 
 
@@ -92,7 +95,7 @@ def license_scan(docs: DataFrame, base=BASE, templates=TEMPLATES) -> DataFrame:
         every.join(F.broadcast(positions), "gram", "left")
         .where(F.col("template").isNotNull() | F.coalesce(F.col("p"), F.lit(0)).eqNullSafe(0)))
     diagonals = (
-        hits.groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "n",
+        hits.groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "deciding", "n",
                      (F.col("p") - F.col("t")).alias("diagonal"))
         .agg(F.collect_set("t").alias("ts"), F.min("p").alias("p0"), F.max("p").alias("p1")))
     # Merge neighbouring diagonals: a new group starts where diagonal or span is too far from the last.
@@ -102,13 +105,14 @@ def license_scan(docs: DataFrame, base=BASE, templates=TEMPLATES) -> DataFrame:
         | (F.col("p0") > F.lag("p1").over(order) + F.col("n")) | F.col("is_base"))
     grouped = diagonals.withColumn("span", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order))
     spans = (
-        grouped.groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "n", "span")
+        grouped.groupBy("row", "doc_id", "n_words", "template", "label", "is_base", "deciding", "n", "span")
         .agg(F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"),
              F.min("p0").alias("p0"), F.max("p1").alias("p1")))
-    share = F.when(F.col("template").isNotNull(), F.size("ts") / F.col("n"))
-    whole = F.col("is_base") & (share == 1.0)
+    covered = F.array_union("ts", F.transform("ts", lambda t: t + GRAM - 1))
+    share = F.when(F.col("template").isNotNull(), F.size(covered) / F.col("n"))
+    whole = F.col("is_base") & (F.size("ts") == F.col("n") - GRAM + 1)
     good = F.when(F.col("is_base"), whole).otherwise(
-        (share >= LEAST) & (F.col("p1") - F.col("p0") <= 2 * F.col("n") + SLACK))
+        (share >= LEAST) & (F.size(F.array_except("deciding", covered)) == 0) & (F.col("p1") - F.col("p0") <= 2 * F.col("n") + SLACK))
     verified = spans.withColumn("share", share).withColumn("whole", whole).withColumn("good", good)
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
     return (

@@ -45,6 +45,30 @@ def test_diagonals_stand_small_changes(docs_of):
     assert got[4]["labels"] == "mit,mit-notice" and got[4]["base_labels"] == "mit"
 
 
+def test_a_replaced_word_costs_one_word(docs_of):
+    """Every template is found with any one inner word replaced that does not decide, and not with one that does."""
+    rows, want = [], {}
+    for phrase, label, deciding in license.TEMPLATES:
+        words = phrase.split()
+        for i in range(1, len(words) - 1):
+            d = len(rows)
+            rows.append((d, "so it is " + " ".join(words[:i] + ["qqq"] + words[i + 1:]) + " and more"))
+            kept = {j for j in range(len(words)) if j != i}
+            alone = {j for j in kept if j - 1 not in kept and j + 1 not in kept}  # no 2-gram left: one word at either end
+            kept -= alone | ({0} if i == 1 else set()) | ({len(words) - 1} if i == len(words) - 2 else set())
+            own = len(kept) / len(words) >= license.LEAST and all(phrase.split().index(w) in kept for w in deciding.split())
+            want[d] = (label, own)
+    got = {r["doc_id"]: r["labels"].split(",") for r in license.license_scan(docs_of(rows)).collect()}
+    others = {d: {x for p, x, _ in license.TEMPLATES if p in t} for d, t in rows}
+    for d, (label, own) in want.items():
+        if label not in others[d]:
+            assert (label in got[d]) == own, rows[d]
+    named = docs_of([(1, "Licensed under the Apache Licence, Version 2.0"), (2, "released under an MIT license"),
+                     (3, "licensed under CC BY-SA 4.0"), (4, "the GNU General Public License, version 3")])
+    got = {r["doc_id"]: r["labels"] for r in license.license_scan(named).collect()}
+    assert got == {1: "apache-2.0", 2: "mit,mit-notice", 3: "cc-by,cc-by-sa-4.0", 4: "gpl,gpl-3.0"}
+
+
 def test_scan_runs_no_python(docs_of):
     plan = license.license_scan(docs_of(["a b"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
