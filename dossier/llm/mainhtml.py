@@ -23,6 +23,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +49,14 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp "
     "small span strike strong sub sup time tt u var center nobr "
     "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
-    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
-#: Formula rows and cells are inline, but words of two of them do not run together.
-CELLS = frozenset("mtable mtr mtd".split())
-UNSEEN = frozenset(
-    "script style noscript template svg iframe textarea select button title object canvas audio video "
-    "annotation annotation-xml".split())
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics "
+    "svg g defs symbol use path circle ellipse line polygon polyline rect image text tspan textpath clippath mask pattern "
+    "marker filter lineargradient radialgradient stop".split())
+#: Formula rows and cells and the labels of a drawing are inline, but words of two of them do not run together.
+CELLS = frozenset("mtable mtr mtd text".split())
+RAW = frozenset("script style iframe textarea title".split())
+UNSEEN = RAW | frozenset(
+    "noscript template select button object canvas audio video annotation annotation-xml desc metadata".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split())
@@ -61,6 +65,7 @@ IMPLIED = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
     "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
 }
+OPTIONS = frozenset("option optgroup".split())
 OFF_TAGS = frozenset("nav aside header footer form".split())
 
 # Pages with their content marked (data-main) and what stands inside it but is none (data-off).
@@ -113,6 +118,12 @@ _ATTRIBUTE = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 _WORD = re.compile(r"[a-z]+")
 
 
+@cache
+def _same(tag: str) -> re.Pattern:
+    """An end of an unseen element; for one that is not raw text also the start of another."""
+    return re.compile(rf"<(/{'' if tag in RAW else '?'}){re.escape(tag)}(?=[\s/>]|\Z)", re.I)
+
+
 class Page:
     """The tree of one page: parents, depths, traits of the nodes, and the text parts in page order."""
 
@@ -159,11 +170,26 @@ class Page:
 
     def _read(self, source: str, hide: bool) -> None:
         stack, at, in_link, size = [("#page", 0)], 0, False, len(source)
-        lower = None
+        opened: Counter[str] = Counter()  # tags of the stack
+        unseen = 0  # place in the stack of an unseen element without an end of its own
+
+        def shut(places: int) -> None:
+            nonlocal unseen
+            while len(stack) > max(1, places):
+                opened[stack.pop()[0]] -= 1
+            if len(stack) <= unseen:
+                unseen = 0
+
+        def last(tag: str) -> int:
+            i = len(stack) - 1
+            while stack[i][0] != tag:
+                i -= 1
+            return i
+
         while at < size:
             found = _TOKEN.search(source, at)
             end = found.start() if found else size
-            if end > at:
+            if end > at and not unseen:
                 self._text(source[at:end], stack[-1][1], in_link)
             if not found:
                 break
@@ -177,41 +203,39 @@ class Page:
                 if tag in CELLS:
                     self.parts.append((-1, " "))
                 continue
-            if tag in UNSEEN:
-                if not closing and not attributes.endswith("/"):
-                    lower = source.lower() if lower is None else lower
-                    if len(lower) != size:  # a letter whose lower case is longer: match in the source itself
-                        past = re.compile(f"</{re.escape(tag)}", re.I).search(source, at)
-                        stop = past.start() if past else -1
-                    else:
-                        stop = lower.find("</" + tag, at)
-                    at = size if stop < 0 else stop
-                self.parts.append((-1, " "))
-                continue
             self.parts.append((-1, " "))
             if tag in VOID:
                 continue
-            names = [t for t, _ in stack]
+            if tag in UNSEEN and not closing:
+                if not attributes.endswith("/"):
+                    past = _same(tag).search(source, at)
+                    if past and past.group(1):
+                        at = past.start()
+                    elif tag in RAW:
+                        at = size
+                    else:  # it ends at the next block, or with its parent
+                        unseen = unseen or len(stack)
+                        stack.append((tag, stack[-1][1]))
+                        opened[tag] += 1
+                continue
             if closing:
-                if tag in names:
-                    while stack[-1][0] != tag:
-                        stack.pop()
-                    if len(stack) > 1:
-                        stack.pop()
+                if opened[tag]:
+                    shut(last(tag))
             else:
-                if tag in CLOSES_P and "p" in names:
-                    while stack[-1][0] != "p":
-                        stack.pop()
-                    stack.pop()
-                elif tag in IMPLIED:
-                    shut, until = IMPLIED[tag]
+                if unseen and tag not in OPTIONS:
+                    shut(unseen)
+                if tag in CLOSES_P and opened["p"]:
+                    shut(last("p"))
+                elif tag in IMPLIED and any(opened[t] for t in IMPLIED[tag][0]):
+                    over, until = IMPLIED[tag]
                     for i in range(len(stack) - 1, 0, -1):
                         if stack[i][0] in until:
                             break
-                        if stack[i][0] in shut:
-                            del stack[i:]
+                        if stack[i][0] in over:
+                            shut(i)
                             break
                 self._open(tag, attributes, stack, hide)
+                opened[tag] += 1
             in_link = False
 
     def content(self, chosen) -> str:
