@@ -3,13 +3,14 @@
 A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, then one end token. Training texts are those whose
 crc32(doc_id as text) mod 5 is not 1 (a null id counts as empty text).
 
-Units: each of the most frequent words (at most ``UNITS``) is a unit of its own; any other word belongs to the
-unit of its ending, one of ``ENDINGS`` hash values of its last two characters. Every word of any corpus has a
-unit without a table that grows. Units are put into ``CLASSES`` classes by exchange clustering: starting from
-classes of equal token mass by frequency, in each of ``ROUNDS`` rounds every unit (a hashed half of
-them at a time, so that neighbours do not swap back and forth) moves to the class that raises the likelihood
-of the class bigrams most, given the other units' classes. Unit pairs are counted over all training texts
-and stay in Spark; the driver holds classes of units and class-to-class counts only.
+Units: each word that occurs ``LEAST`` times or more (the ``KNOWN`` most frequent, if there are more) is a unit of its own;
+any other word belongs to the unit of its ending, one of ``ENDINGS`` hash values of its last two characters, which has a
+class for words never seen too. Units are put into ``CLASSES`` classes by exchange clustering: starting from classes of
+equal token mass by frequency, a hashed part of the units at a time moves each to the class that raises the likelihood
+of the class bigrams most, given the other units' classes. Moves of one part are judged on the same counts, so where
+together they lower the likelihood, only the half with the greatest gains is tried, and so on: the likelihood never
+falls. It ends when a sweep over all parts raises it by ``LEAST_GAIN`` a token or less. Unit pairs are counted over all
+training texts and stay in Spark; the driver holds classes of units and class-to-class counts only.
 
 Score: sum over tokens of log10 P(class | class before) + log10 P(token | class). Transitions are smoothed by 0.5 a
 class; an emission is (c + 0.5) / (N_class + 0.5 (V_class + 1)) with the word's own training count c, over
@@ -32,12 +33,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from dossier.llm.common import raw, slices, written
 
-UNITS = 8192
+LEAST = 5
 ENDINGS = 1024
 CLASSES = 48
-ROUNDS = 6
+LEAST_GAIN = 3e-3
+PARTS = 2
 KNOWN = 131_072
 _HELD = 400_000
+_TASKS = 32
 END = b"\n"  # no word holds a line feed
 
 
@@ -72,18 +75,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """The words whose count is in the highest bands that together hold at most ``most`` words."""
+    """About ``most`` words of the highest counts, by bands of counts; a hash picks words of the last band."""
     band = F.floor(F.log2("n") * 16)
     bands = sorted(((r["band"], r["size"]) for r in counts.groupBy(band.alias("band")).agg(
         F.count("*").alias("size")).collect()), reverse=True)
-    least, total = None, 0
+    chosen, total = F.lit(False), 0
     for value, size in bands:
-        if total + size > most:
+        share = min(1.0, (most - total) / size)
+        chosen |= (band == value) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        total += size
+        if total >= most:
             break
-        least, total = value, total + size
-    if least is None:
-        return {}
-    return {bytes(r["word"]): r["n"] for r in counts.where(band >= least).collect()}
+    return {bytes(r["word"]): r["n"] for r in counts.where(chosen).collect()}
 
 
 class Units:
@@ -164,13 +167,35 @@ def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
         F.sum("n").alias("n"))
 
 
+def unit_contexts(pairs: DataFrame) -> DataFrame:
+    """A row per unit: its neighbours (2 x number + side, side 1 after it) and their counts, as buffers.
+
+    A unit has at most two neighbours per unit, so a row is bounded.
+    """
+    def pack(batches):
+        for part in slices(batches, 100):
+            rows = part.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0),
+                 pa.array([np.array([2 * e["other"] + e["side"] for e in r], np.int32).tobytes() for r in rows], pa.binary()),
+                 pa.array([np.array([e["n"] for e in r], np.int64).tobytes() for r in rows], pa.binary())],
+                ["unit", "at", "n"])
+
+    both = pairs.select(F.col("v").alias("unit"), F.col("u").alias("other"), F.lit(0).alias("side"), "n").unionByName(
+        pairs.select(F.col("u").alias("unit"), F.col("v").alias("other"), F.lit(1).alias("side"), "n"))
+    # As many parts as tasks: the table is small, the moves are not.
+    return both.repartition(_TASKS, "unit").groupBy("unit").agg(
+        F.collect_list(F.struct("other", "side", "n")).alias("entries")).mapInArrow(
+        pack, "unit int, at binary, n binary")
+
+
 def _xlogx(x):
-    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+    return x * np.log(np.maximum(x, 1))  # x: counts
 
 
-def best_class(own: int, left: np.ndarray, right: np.ndarray, loop: float,
-               pairs: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> int:
-    """The class that makes the class bigrams likeliest for one unit.
+def class_gains(own: int, left: np.ndarray, right: np.ndarray, loop: float,
+                pairs: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """What each class, joined by one unit, adds to the likelihood of the class bigrams.
 
     ``left``/``right``: its tokens after/before each class; ``loop``: of them those next to itself; ``pairs``: class bigram
     counts; ``rows``/``columns``: their sums. All still hold the unit in its own class.
@@ -197,64 +222,102 @@ def best_class(own: int, left: np.ndarray, right: np.ndarray, loop: float,
     gain = into + out - twice + _xlogx(corner + left + right + loop) - _xlogx(corner)
     gain -= _xlogx(row + total_out) - _xlogx(row) + _xlogx(column + total_in) - _xlogx(column)
     gain[:2] = -np.inf  # start and end are classes of their own
-    best = int(gain.argmax())
-    return best if gain[best] > gain[own] + 1e-9 else own
+    return gain
 
 
-def exchange(pairs: DataFrame, sizes: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """The class of every unit. ``sizes``: tokens of each unit."""
-    spark = pairs.sparkSession
+def first_classes(sizes: np.ndarray, classes: int) -> np.ndarray:
+    """Classes of equal token mass, by frequency; start and end apart."""
     of = np.zeros(len(sizes), np.int64)
     order = np.argsort(-sizes[2:], kind="stable") + 2
     mass = np.cumsum(sizes[order])
-    of[order] = 2 + np.minimum((mass - sizes[order]) * (classes - 2) // max(1, mass[-1]), classes - 3).astype(np.int64)
+    if len(order):
+        of[order] = 2 + np.minimum(
+            (mass - sizes[order]) * (classes - 2) // max(1, mass[-1]), classes - 3).astype(np.int64)
     of[:2] = (0, 1)
-    # Both directions as one table of unit contexts; loops apart.
-    context = written(
-        pairs.select(F.col("v").alias("unit"), F.col("u").alias("other"), F.lit(0).alias("side"), "n").unionByName(
-            pairs.select(F.col("u").alias("unit"), F.col("v").alias("other"), F.lit(1).alias("side"), "n")),
-        "unit-contexts")
-    for turn in range(rounds):
-        known = spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "other int, class int")
-        # ``known`` has one row per unit, at most UNITS + ENDINGS + 2.
-        seen = context.join(F.broadcast(known), "other").groupBy("unit", "side", "class").agg(
-            F.sum("n").alias("n"), F.sum(F.when(F.col("unit") == F.col("other"), F.col("n")).otherwise(0)).alias("loop"))
-        seen = written(seen, "class-contexts")
-        matrix = np.zeros((classes, classes))
-        mine = spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "unit int, own int")
-        for r in seen.where("side = 1").join(F.broadcast(mine), "unit").groupBy("own", "class").agg(
-                F.sum("n").alias("n")).collect():
-            matrix[r["own"], r["class"]] = r["n"]
-        rows, columns = matrix.sum(axis=1), matrix.sum(axis=0)
-
-        def move(batches, of=of, matrix=matrix, rows=rows, columns=columns):
-            for batch in batches:
-                out = []
-                for unit, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    left, right, loop = np.zeros(classes), np.zeros(classes), 0.0
-                    for e in entries:
-                        (right if e["side"] else left)[e["class"]] += e["n"]
-                        loop += e["loop"] if e["side"] else 0
-                    out.append(best_class(int(of[unit]), left, right, loop, matrix, rows, columns))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int32())], ["unit", "best"])
-
-        half = F.pmod(F.xxhash64("unit"), F.lit(2)) == turn % 2
-        moved = (
-            seen.where("unit > 1").where(half).groupBy("unit")
-            .agg(F.collect_list(F.struct("side", "class", "n", "loop")).alias("entries"))  # at most two per class
-            .mapInArrow(move, "unit int, best int").collect())
-        changed = 0
-        of = of.copy()
-        for r in moved:
-            changed += of[r["unit"]] != r["best"]
-            of[r["unit"]] = r["best"]
-        if not changed and turn:
-            break
     return of
 
 
-def score(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and class_perplexity of every row."""
+def class_matrix(contexts: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """How often a unit of one class follows one of another; a task sends at most a matrix."""
+    def add(batches):
+        sums = np.zeros(classes * classes)
+        for batch in batches:
+            for unit, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                at = np.frombuffer(at, np.int32)
+                after = at & 1 == 1
+                here = of[unit] * classes
+                sums[here:here + classes] += np.bincount(
+                    of[at[after] >> 1], np.frombuffer(n, np.int64)[after], classes)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(sums[some].astype(np.int64))], ["cell", "n"])
+
+    matrix = np.zeros(classes * classes)
+    for r in contexts.mapInArrow(add, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        matrix[r["cell"]] = r["n"]
+    return matrix.reshape(classes, classes)
+
+
+def likelihood(matrix: np.ndarray) -> float:
+    """Log likelihood of the class bigrams, but for a part that no class changes."""
+    return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(axis=1)).sum() - _xlogx(matrix.sum(axis=0)).sum())
+
+
+def moves(contexts: DataFrame, of: np.ndarray, matrix: np.ndarray, part: int, parts: int) -> list[tuple[int, int]]:
+    """The units of one part that some other class suits better, and that class, the greatest gain first.
+
+    At most ``KNOWN`` + ``ENDINGS`` units.
+    """
+    rows, columns, k = matrix.sum(axis=1), matrix.sum(axis=0), len(matrix)
+
+    def move(batches):
+        for batch in batches:
+            units, best, gains = [], [], []
+            for unit, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                at, n = np.frombuffer(at, np.int32), np.frombuffer(n, np.int64)
+                after = at & 1 == 1
+                other, own = at >> 1, int(of[unit])
+                gain = class_gains(
+                    own, np.bincount(of[other[~after]], n[~after], k), np.bincount(of[other[after]], n[after], k),
+                    float(n[after & (other == unit)].sum()), matrix, rows, columns)
+                got = int(gain.argmax())
+                if gain[got] > gain[own] + 1e-9:
+                    units.append(unit)
+                    best.append(got)
+                    gains.append(float(gain[got] - gain[own]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(units, pa.int32()), pa.array(best, pa.int32()), pa.array(gains, pa.float64())],
+                ["unit", "best", "gain"])
+
+    chosen = contexts.where("unit > 1").where(F.pmod(F.xxhash64("unit"), F.lit(parts)) == part)
+    found = chosen.mapInArrow(move, "unit int, best int, gain double").collect()
+    return [(r["unit"], r["best"]) for r in sorted(found, key=lambda r: (-r["gain"], r["unit"]))]
+
+
+def exchange(contexts: DataFrame, sizes: np.ndarray, classes: int = CLASSES,
+             least_gain: float = LEAST_GAIN) -> tuple[np.ndarray, np.ndarray]:
+    """The class of every unit and the class bigrams. ``sizes``: tokens of each."""
+    of = first_classes(sizes, classes)
+    matrix = class_matrix(contexts, of, classes)
+    value, least = likelihood(matrix), least_gain * max(1.0, matrix.sum())
+    while True:
+        before = value
+        for part in range(PARTS):
+            found = moves(contexts, of, matrix, part, PARTS)
+            while found:
+                tried = of.copy()
+                tried[[u for u, _ in found]] = [c for _, c in found]
+                counts = class_matrix(contexts, tried, classes)
+                if likelihood(counts) > value:
+                    of, matrix, value = tried, counts, likelihood(counts)
+                    break
+                found = found[:len(found) // 2]  # one move alone raises it by its gain
+        if value - before <= least:
+            return of, matrix
+
+
+def score(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", held_out().alias("held_out"))
     training = docs.where("NOT held_out")
@@ -262,9 +325,9 @@ def score(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> Data
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = total["n"] or 0, total["v"]
     known = most_frequent(counts, KNOWN)
-    frequent = sorted((w for w in known if w != END), key=lambda w: (-known[w], w))[:UNITS]
+    frequent = sorted((w for w in known if w != END and known[w] >= LEAST), key=lambda w: (-known[w], w))
     units = Units(frequent)
-    pairs = written(unit_pairs(training, units), "unit-pairs")
+    contexts = written(unit_contexts(unit_pairs(training, units)), "unit-contexts")
 
     shared_units = spark.sparkContext.broadcast(units)
 
@@ -282,15 +345,7 @@ def score(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> Data
     for r in counts.mapInArrow(by_unit, "unit int, n long, v long").groupBy("unit").agg(
             F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         sizes[r["unit"]], kinds[r["unit"]] = r["n"], r["v"]
-    of = exchange(pairs, sizes, classes, rounds)
-
-    steps = np.zeros((classes, classes))
-    named = spark.createDataFrame([(i, int(c)) for i, c in enumerate(of)], "unit int, class int")
-    first = named.select(F.col("unit").alias("u"), F.col("class").alias("a"))
-    second = named.select(F.col("unit").alias("v"), F.col("class").alias("b"))
-    for r in pairs.join(F.broadcast(first), "u").join(F.broadcast(second), "v").groupBy("a", "b").agg(
-            F.sum("n").alias("n")).collect():
-        steps[r["a"], r["b"]] = r["n"]
+    of, steps = exchange(contexts, sizes, classes)
     transition = np.log10((steps + 0.5) / (steps.sum(axis=1, keepdims=True) + 0.5 * classes))
     class_n, class_v = np.bincount(of, sizes, classes), np.bincount(of, kinds, classes)
     emission_base = np.log10(class_n + 0.5 * (class_v + 1))
