@@ -4,6 +4,10 @@ One ``groupBy(id).agg(...)`` does all of it. Every aggregate has a fixed-width
 buffer, so Spark plans hash aggregation with map-side partials: an entity that
 holds a third of all rows reaches the shuffle as one row per map task. Row
 order never matters, because "last" is the value at the greatest order key.
+
+Partial rows of a wide table are several times as wide as its rows, and a task
+would hold one for every entity in its share of a file. So the rows of a wide
+table are first brought together by id, as ``_gathered`` says.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ LAST_DAY = "9999-12-31"
 # aggregates pass the 8000 bytes up to which the JVM compiles a method.
 BATCH_AGGREGATES = 42
 
+# Aggregates up to which rows go into partials where they are read: some 300 bytes an entity.
+NARROW_AGGREGATES = 20
+
 
 def order_key(df: DataFrame, spec: EntitySpec) -> Column:
     """One number that orders the rows of an entity by date, then sequence.
@@ -92,6 +99,17 @@ def _batches(groups: dict[str, list[str]], limit: int | None) -> list[list[str]]
     return batches
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """The same rows, those of an id side by side, in partitions of bounded size.
+
+    The partitions come from a rebalance, which cuts the one of a hot id into several; so a
+    task's partial rows take memory by its partition's ids, not by the split of a file. It goes
+    by a hash of the id: by the id itself, Spark would leave out the exchange behind the
+    partials, and could not cut.
+    """
+    return rows.select("*", F.hash("id").alias("place")).hint("rebalance", "place").drop("place")
+
+
 def collapse(df: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
              value_type: str = "float", code_type: str = "tinyint",
              batch: int | None = None) -> DataFrame:
@@ -134,13 +152,15 @@ def collapse(df: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
     if batch:
         coded = coded.withColumn("id", F.when(F.col("id").isNotNull(), F.col("id")).otherwise(
             F.raise_error(F.lit("statements without an id")).cast(types[spec.id_col])))
+    wide = not df.isStreaming and max(sum(len(sums[c]) for c in b) for b in batches) > NARROW_AGGREGATES
     if len(batches) > 1 and not spec.seq_col:
         path = scratch_path(df.sparkSession, "keyed-statements")
         coded.write.parquet(path)
-        coded = df.sparkSession.read.parquet(path)
+        coded, wide = df.sparkSession.read.parquet(path), False
     grouped = None
     for columns in batches:
         rows = coded.select("id", "key", *columns)
+        rows = _gathered(rows) if wide else rows
         counted = ["count(*) AS n_rows"] if grouped is None else []
         part = rows.groupBy("id").agg(
             *[F.expr(e) for e in (counted + [e for c in columns for e in sums[c]] or ["count(*)"])])

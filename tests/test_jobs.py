@@ -506,3 +506,21 @@ def test_jobs_leave_no_scratch(spark, folder):
         spark.range(3).write.parquet(scratch_path(spark, "lost"))
         1 / 0
     assert held() == before
+
+
+def _exchanges(frame):
+    """The shuffles of the plan that ran, with the rows each wrote in its partitions."""
+    text = frame._jdf.queryExecution().toString()
+    return text.count("REBALANCE_PARTITIONS_BY_COL"), text.count("ENSURE_REQUIREMENTS")
+
+
+def test_wide_collapse_gathers_rows_before_it_aggregates(spark):
+    """A wide collapse holds partial rows of its partition's ids only; a hot id keeps its partials."""
+    spec = EntitySpec(id_col="id", date_col="day", seq_col="seq", cat_cols=())
+    rows = spark.range(400).select(
+        (F.col("id") % 7).alias("id"), F.lit(dt.date(2024, 1, 1)).alias("day"), F.col("id").alias("seq"),
+        *[F.col("id").alias(f"x{i}") for i in range(8)])
+    for batch in (None, 21):
+        moved, combined = _exchanges(collapse(rows, spec, {}, "double", batch=batch))
+        assert moved >= 1 and combined >= 1
+    assert _exchanges(collapse(rows.drop("x6", "x7"), spec, {}, "double"))[0] == 0
