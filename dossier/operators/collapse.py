@@ -13,6 +13,7 @@ table are first brought together by id, as ``_gathered`` says.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -34,6 +35,9 @@ BATCH_AGGREGATES = 42
 # Aggregates up to which rows go into partials where they are read: some 300 bytes an entity.
 NARROW_AGGREGATES = 20
 
+# How a bigint is cut to be shuffled: lowest bit, bits, and the type that holds them.
+PLANES = ((0, 8, "tinyint"), (8, 8, "tinyint"), (16, 16, "smallint"), (32, 32, "int"))
+
 
 def order_key(df: DataFrame, spec: EntitySpec) -> Column:
     """One number that orders the rows of an entity by date, then sequence.
@@ -99,15 +103,32 @@ def _batches(groups: dict[str, list[str]], limit: int | None) -> list[list[str]]
     return batches
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
+def _gathered(rows: DataFrame, cut_longs: bool = False) -> DataFrame:
     """The same rows, those of an id side by side, in partitions of bounded size.
 
     The partitions come from a rebalance, which cuts the one of a hot id into several; so a
     task's partial rows take memory by its partition's ids, not by the split of a file. It goes
     by a hash of the id: by the id itself, Spark would leave out the exchange behind the
-    partials, and could not cut.
+    partials, and could not cut. With ``cut_longs`` bigints travel as arrays of their ``PLANES``:
+    like bits lie side by side, and the zeros of small numbers compress away.
     """
-    return rows.select("*", F.hash("id").alias("place")).hint("rebalance", "place").drop("place")
+    longs = [f.name for f in rows.schema.fields
+             if cut_longs and isinstance(f.dataType, T.LongType) and f.name not in ("id", "key")]
+
+    def cut(c: str, low: int, bits: int, kind: str) -> Column:
+        return F.shiftright(F.shiftleft(F.col(c), 64 - low - bits), 64 - bits).cast(kind)
+
+    def restored(i: int) -> Column:
+        parts = [F.shiftleft(F.get(F.col(f"bits{low}"), F.lit(i)).cast("bigint")
+                             .bitwiseAND(F.lit((1 << bits) - 1)), low) for low, bits, _ in PLANES]
+        return reduce(Column.bitwiseOR, parts)
+
+    arrays = [F.array(*[cut(c, low, bits, kind) for c in longs]).alias(f"bits{low}")
+              for low, bits, kind in PLANES if longs]
+    moved = rows.select(*[c for c in rows.columns if c not in longs], *arrays,
+                        F.hash("id").alias("place")).hint("rebalance", "place")
+    back = {c: restored(i).alias(c) for i, c in enumerate(longs)}
+    return moved.select(*[back.get(c, F.col(c)) for c in rows.columns])
 
 
 def collapse(df: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
@@ -124,7 +145,7 @@ def collapse(df: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
     throughput at 40 columns. A batch reads only its own columns and the batches,
     all partitioned by id, join without another shuffle of them. Without a
     ``seq_col`` the order key depends on every column: the rows are then written
-    once with their key, and the batches read from there. With ``batch`` every row
+    once with their key, gathered by id, and the batches read from there. With ``batch`` every row
     must have an id, whatever the width. Use it on tables read from files: any
     other plan is run once per batch. Streams need the single aggregate.
     """
@@ -155,8 +176,8 @@ def collapse(df: DataFrame, spec: EntitySpec, vocabulary: Vocabulary,
     wide = not df.isStreaming and max(sum(len(sums[c]) for c in b) for b in batches) > NARROW_AGGREGATES
     if len(batches) > 1 and not spec.seq_col:
         path = scratch_path(df.sparkSession, "keyed-statements")
-        coded.write.parquet(path)
-        coded, wide = df.sparkSession.read.parquet(path), False
+        _gathered(coded, cut_longs=True).write.parquet(path)
+        coded, wide = df.sparkSession.read.parquet(path), False     # the files hold them side by side
     grouped = None
     for columns in batches:
         rows = coded.select("id", "key", *columns)

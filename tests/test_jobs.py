@@ -524,3 +524,30 @@ def test_wide_collapse_gathers_rows_before_it_aggregates(spark):
         moved, combined = _exchanges(collapse(rows, spec, {}, "double", batch=batch))
         assert moved >= 1 and combined >= 1
     assert _exchanges(collapse(rows.drop("x6", "x7"), spec, {}, "double"))[0] == 0
+
+
+def test_gathered_rows_keep_every_number(spark):
+    """Numbers of any size and sign, missing ones and other types come through the shuffle as they are."""
+    from dossier.operators.collapse import _gathered
+    odd = [0, 1, -1, 127, -128, 255, 256, 32767, -32768, 65535, 65536, 2**31 - 1, -2**31, 2**32, 2**47, -2**47,
+           2**63 - 1, -2**63, None]
+    rows = spark.createDataFrame(
+        [(i % 5 if i else None, i, n, odd[-i], float(i), f"t{i}", i) for i, n in enumerate(odd)],
+        "id long, key long, n0 long, n1 long, n2 double, n3 string, n4 int")
+    for cut in (True, False):
+        for some in (rows, rows.select("id", "key", "n2")):
+            back = _gathered(some, cut)
+            assert back.dtypes == some.dtypes
+            assert sorted(map(repr, back.collect())) == sorted(map(repr, some.collect()))
+
+
+def test_unsequenced_wide_collapse_writes_rows_of_an_id_side_by_side(spark, folder):
+    """Every id lies in one file of the keyed rows, so a batch shuffles one partial row an id."""
+    spec = EntitySpec(id_col="id", date_col="day", cat_cols=())
+    spark.range(3000).repartition(6).select(
+        (F.col("id") % 100).alias("id"), F.lit(dt.date(2024, 1, 1)).alias("day"),
+        *[(F.col("id") * (i + 3) % 101).alias(f"x{i}") for i in range(20)]).write.parquet(f"{folder}/spread")
+    out = collapse(spark.read.parquet(f"{folder}/spread"), spec, {}, "double", batch=42)
+    keyed = spark.read.parquet(*out.inputFiles()).select("id", F.input_file_name().alias("file")).groupBy("id").agg(
+        F.countDistinct("file").alias("files"), F.count("*").alias("n")).collect()
+    assert {(r.files, r.n) for r in keyed} == {(1, 30)} and len(keyed) == 100
