@@ -3,8 +3,10 @@
 import random
 import zlib
 from collections import defaultdict
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -41,6 +43,48 @@ def test_segments_of_odd_characters(text):
     assert segmented([text]) == [whole(text)]
 
 
+SIGNS = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u200b", "\u2028", "\u202f",
+         "\u205f", "\u3000", "a", "Word", "it", "'s", "'LL", "'", "7", "42", "\xbd", ".", ",", "!?", "(", "_", "-", "<", "|", ">",
+         "<|endoftext|>", "\xe9", "\xc0", "\xd7", "\xf7", "\u024f", "\u0250", "\u0301", "\u0436", "\u201c", "\u6f22", "\U0001f600"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SIGNS)).map("".join) | st.none(), max_size=12), st.integers(1, 40))
+def test_texts_encoded_together_give_the_ids_of_each(texts, joined):
+    segments, held = packing.Segments(packing.MODEL), packing.JOINED
+    try:
+        packing.JOINED = joined
+        body, ends = segments.encode_all(pa.array(["cut off", *texts], pa.string()).slice(1))
+    finally:
+        packing.JOINED = held
+    assert [np.frombuffer(bytes(body[a:b]), "<u4").tolist() for a, b in pairwise(ends.tolist())] == [
+        whole(t or "") for t in texts]
+
+
+def test_plain_words_are_joined_only_where_no_token_spans_two():
+    model = packing.Segments(packing.MODEL).tokenizer.model
+    assert not packing._joins(model, {"\u0120the": 0, "\u010a\u010a": 1, "\u0120\xc2\u0142\u0120": 2})
+    assert packing._joins(model, {"e\u0120t": 0}) and packing._joins(model, {"\u010aA": 0})
+
+
+def test_new_words_need_the_pre_tokenizer_no_more(monkeypatch):
+    """The cost of op13: plain words that a worker has not seen went one by one through the library's splitter."""
+    segments, seen = packing.Segments(packing.MODEL), []
+    plainly = segments._ids
+    monkeypatch.setattr(segments, "_ids", lambda texts: seen.extend(texts) or plainly(texts))
+    text = "Blick " + " ".join(f"{a}schöne{b}, {b}{a}wort." for a in "abcdef" for b in "xyz")
+    assert np.frombuffer(segments.encode(text), "<u4").tolist() == whole(text)
+    assert set(b"".join(seen).decode()) <= set("\n.,")
+
+
+def test_blocks_hold_every_row_once():
+    texts = [None, "x" * 5000, "", "y" * (packing.BLOCK + 1), "é" * 10, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["doc_id", "text"])
+    blocks = list(packing._blocks(iter([batch.slice(1), batch.slice(0, 0), batch])))
+    assert [i for b in blocks for i in b.column(0).to_pylist()] == [1, 2, 3, 4, 5, 0, 1, 2, 3, 4, 5]
+    assert len(blocks) > 2
+
+
 def test_kept_segments_stay_bounded(monkeypatch):
     monkeypatch.setattr(packing, "KEPT", 2000)  # a thousand bytes, then one text more
     segments = packing.Segments(packing.MODEL)
